@@ -28,9 +28,9 @@ from .common import coded, ranges, shared_dir, ship, slices, split_bytes, text_b
 
 MAGIC = 0x314B4F5445444957
 SAMPLE = 256
-SHARD_IDS = 8_000_000
+SHARD_IDS = 4_000_000
 #: Different words whose ids a worker keeps; then it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 
 def ef_encode(values: np.ndarray, universe: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,8 +106,10 @@ class WordEncoder:
     """Encodes texts with the tokenizers library, each different run between ASCII white space once.
 
     Exact for tokenizers that drop white space and never join across it, as word_bpe_49k.json: NFC, lower case and its
-    pattern all work within such runs. A full stop or comma after an ASCII letter and before white space is a piece of
-    its own for its pattern, so it is taken off before the look-up; A-Z go to lower case unless a text has "<|".
+    pattern all work within such runs. A run of ASCII punctuation after a letter and before white space is a piece of its
+    own for its pattern (unless an apostrophe begins it), so it is taken off before the look-up; A-Z go to lower case. Both are
+    left out where a batch has "<|", with which the tokenizer's special tokens begin. New runs of letters are encoded many
+    at once: each is one word for the tokenizer, whose last piece ends with the word-end mark.
     """
 
     _kept: dict = {}
@@ -116,41 +118,76 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.start_anew()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
+        self._forget()
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
         """This worker's encoder of the file."""
-        return cls._kept.setdefault(path, None) or cls._kept.__setitem__(path, cls(path)) or cls._kept[path]
-
-    def start_anew(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.at, self.long = np.zeros(1 << 16, np.uint32), [0], 0
-        self.bounds = np.zeros(1, np.int64)
+        if path not in cls._kept:
+            cls._kept[path] = cls(path)
+        return cls._kept[path]
+
+    def _forget(self) -> None:
+        """Keep the runs seen in two batches or more, as long as they take half of the room at most."""
+        known: dict[str, int] = getattr(self, "known", {})
+        old, times = list(known), self.times[: len(known)] if known else np.zeros(0, np.int64)
+        least = 2
+        while (times >= least).sum() > CACHE_WORDS // 2:
+            least += 1
+        kept = np.flatnonzero(times >= least)
+        sizes = (self.bounds[kept + 1] - self.bounds[kept]) if len(kept) else np.zeros(0, np.int64)
+        flat = self.flat[ranges(self.bounds[kept], sizes)] if len(kept) else np.zeros(0, np.uint32)
+        self.known = {old[k]: i for i, k in enumerate(kept.tolist())}
+        self.times = np.zeros(2 * CACHE_WORDS, np.int64)
+        self.times[: len(kept)] = 1
+        self.flat, self.long = np.concatenate([flat, np.zeros(1 << 16, np.uint32)]), len(flat)
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum())), sizes
 
     def _learn(self, words: list[str]) -> None:
-        for w in words:
+        plain = [w for w in words if w.isalpha() and w.islower() and max(w) < "\u0180"]
+        ids, _ = self._ids([" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)])
+        upto = np.flatnonzero(self.ends[ids]) + 1
+        if len(upto) == len(plain):
+            had = set(plain)
+            other, sizes = [w for w in words if w not in had], np.diff(upto, prepend=0)
+        else:
+            plain, other, ids, sizes = [], words, ids[:0], np.zeros(0, np.int64)
+        more, more_sizes = self._ids(other)
+        for w in plain + other:
             self.known[w] = len(self.known)
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        new = np.fromiter((i for x in encoded for i in x), np.uint32, int(sizes.sum()))
+        new, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
         while self.long + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.long : self.long + len(new)] = new
         self.bounds = np.concatenate([self.bounds, self.long + np.cumsum(sizes)])
         self.long += len(new)
+        if len(self.known) > len(self.times):
+            self.times = np.concatenate([self.times, np.zeros(len(self.known), np.int64)])
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, how many each text has), with the end id after each text."""
-        if len(self.known) > CACHE_WORDS:
-            self.start_anew()
         raw, offsets = text_bytes(texts)
         words, bounds = split_bytes(*_apart(raw, offsets))
         codes, different = coded(words)
+        codes = codes.astype(np.int32)
+        del words, raw
         listed = different.to_pylist()
         if fresh := [w for w in listed if w not in self.known]:
-            self._learn(fresh)
+            if len(self.known) + len(fresh) > CACHE_WORDS:
+                self._forget()
+                fresh = [w for w in listed if w not in self.known]
+            for i in range(0, len(fresh), 20_000):
+                self._learn(fresh[i : i + 20_000])
         k = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+        self.times[k] += 1
         starts, sizes = self.bounds[k], self.bounds[k + 1] - self.bounds[k]
         of_word = sizes[codes]
         upto = np.concatenate([[0], np.cumsum(of_word)])[bounds]
@@ -163,25 +200,27 @@ class WordEncoder:
 
 
 def _apart(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower case, and a space before each full stop or comma that stands after an ASCII letter and before white space or the end."""
-    if len(raw) < 2:
+    """Lower case for A-Z, and a space before each run of ASCII punctuation between a letter and white space (or the end)."""
+    if len(raw) < 2 or bool(((raw[:-1] == 60) & (raw[1:] == 124)).any()):
         return raw, offsets
+    raw = np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
+    mark_of = np.zeros(256, bool)
+    mark_of[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
     space = np.zeros(256, bool)
     space[[9, 10, 11, 12, 13, 32]] = True
-    low = raw | 32
-    letter = (low >= 97) & (low <= 122)
-    white = space[raw]
-    last = np.zeros(len(raw), bool)
-    last[offsets[1:][offsets[1:] > 0] - 1] = True
-    first = np.zeros(len(raw) + 1, bool)
-    first[offsets] = True
-    mark = ((raw == 44) | (raw == 46)) & ~first[:-1]
-    mark[1:] &= letter[:-1]
-    mark[0] = False
-    mark &= last | np.r_[white[1:], True]
-    special = bool(((raw[:-1] == 60) & (raw[1:] == 124)).any())
-    if not special:
-        raw = np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
+    punct = mark_of[raw]
+    edge = np.zeros(len(raw) + 1, bool)  # a text begins here
+    edge[offsets] = True
+    begins = punct & (edge[:-1] | ~np.r_[False, punct[:-1]])
+    ends = punct & (edge[1:] | ~np.r_[punct[1:], False])
+    a, b = np.flatnonzero(begins), np.flatnonzero(ends)
+    to_space = edge[b + 1] | space[raw[np.minimum(b + 1, len(raw) - 1)]]
+    p = np.maximum(a - 1, 0)
+    q = np.maximum(a - 2, 0)
+    ascii_letter = (raw[p] >= 97) & (raw[p] <= 122)
+    latin_letter = (raw[q] == 0xC3) & (raw[p] >= 0x80) & (raw[p] <= 0xBF) & (raw[p] != 0x97) & (raw[p] != 0xB7)
+    mark = np.zeros(len(raw), bool)
+    mark[a[to_space & ~edge[a] & (raw[a] != 39) & (ascii_letter | latin_letter)]] = True
     before = np.concatenate([[0], np.cumsum(mark)])
     out = np.full(len(raw) + int(before[-1]), 32, np.uint8)
     out[np.arange(len(raw)) + before[1:]] = raw
@@ -231,7 +270,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2,
             return out.cast(_MANIFEST)
 
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 3 << 20):
                 ids, lengths = encoder.encode(b.column("text"), end_id)
                 if held and size + len(ids) > shard_ids:
                     yield flush()
