@@ -37,9 +37,9 @@ dl AS (SELECT rid, sum(n) AS n_lines, sum(n - 1) AS n_dup_lines FROM ln GROUP BY
 wi AS (SELECT rid, i, array_to_string(list_slice(ws, i, i + 7), ' ') AS w FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM d)),
 rw AS (SELECT rid, count(DISTINCT k) AS n_repeat_words FROM (SELECT rid, unnest(range(i, i + 8)) AS k FROM (SELECT *, count(*) OVER (PARTITION BY rid, w) AS c FROM wi) WHERE c > 1) GROUP BY rid),
 a AS (SELECT d.rid, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-  coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines, (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper
-  FROM d LEFT JOIN dl USING (rid) LEFT JOIN rw USING (rid)),
-r AS (SELECT *, 10000 * n_symbols // greatest(word_chars, 1) AS symbols, 10000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines, 10000 * n_repeat_words // greatest(n_words, 1) AS repeats,
+  coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines, (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper,
+  len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1]))::BIGINT AS n_again FROM d LEFT JOIN dl USING (rid) LEFT JOIN rw USING (rid)),
+r AS (SELECT *, 10000 * n_symbols // greatest(word_chars, 1) AS symbols, 10000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines, 10000 * n_repeat_words // greatest(n_words, 1) AS repeats, 10000 * n_again // greatest(n_words, 1) AS stutter,
   10000 * n_upper // greatest(word_chars, 1) AS upper, 100 * word_chars // greatest(n_words, 1) AS word_length, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a),
 mt AS ({melt}),
 sk AS (SELECT lang, source, measure, greatest(length(bin(v)) - 6, 0) * 32 + (v >> greatest(length(bin(v)) - 6, 0)::INT) AS bucket, count(*) AS n FROM mt GROUP BY ALL),{",".join(ctes)},

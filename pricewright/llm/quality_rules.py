@@ -28,7 +28,7 @@ MIN_GROUP = 50
 #: A fence lies SPREAD interquartile ranges beyond a quartile, and by the measure's margin at least.
 SPREAD = 3
 #: Measures as whole numbers: shares in ten-thousandths, word length in hundredths; (margin, whether small values fail as well).
-MEASURES = {"symbols": (500, False), "dup_lines": (3000, False), "repeats": (1500, False), "upper": (2500, False), "word_length": (300, True)}
+MEASURES = {"symbols": (500, False), "dup_lines": (5000, False), "repeats": (2500, False), "stutter": (1000, False), "upper": (2500, False), "word_length": (300, True)}
 _SUB = 32
 
 _SYMBOL = np.zeros(256, bool)
@@ -38,7 +38,7 @@ _UPPER[65:91] = True
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
+_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_again")
 
 
 def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -89,7 +89,9 @@ def measure_texts(texts: pa.Array) -> list[np.ndarray]:
     codes, different = coded(words)
     chars = pc.utf8_length(different).to_numpy(zero_copy_only=False).astype(np.int64)
     n_lines, n_dup = _lines(raw, offsets)
-    return [np.diff(bounds), _per_text(chars[codes], bounds), _per_text(_SYMBOL[raw], offsets), n_dup, _repeated_words(codes, len(different), bounds), n_lines, _per_text(_UPPER[raw], offsets)]
+    again = np.r_[False, codes[1:] == codes[:-1]][: len(codes)]  # equals the word before it
+    again[bounds[:-1][bounds[:-1] < len(codes)]] = False
+    return [np.diff(bounds), _per_text(chars[codes], bounds), _per_text(_SYMBOL[raw], offsets), n_dup, _repeated_words(codes, len(different), bounds), n_lines, _per_text(_UPPER[raw], offsets), _per_text(again, bounds)]
 
 
 def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -114,7 +116,7 @@ def _share(part: str, whole: str, by: int = 10_000) -> Column:
 def derived(measures: DataFrame) -> DataFrame:
     """With the columns of MEASURES and base_failed."""
     return measures.withColumns({
-        "symbols": _share("n_symbols", "word_chars"), "dup_lines": _share("n_dup_lines", "n_lines"), "repeats": _share("n_repeat_words", "n_words"),
+        "symbols": _share("n_symbols", "word_chars"), "dup_lines": _share("n_dup_lines", "n_lines"), "repeats": _share("n_repeat_words", "n_words"), "stutter": _share("n_again", "n_words"),
         "upper": _share("n_upper", "word_chars"), "word_length": _share("word_chars", "n_words", 100),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     })
