@@ -8,9 +8,10 @@ A document's set is its distinct 2-word shingles (the whole sequence if it has f
 3. Candidates: in each band bucket all nodes are paired with the bucket's smallest and largest node only.
 4. The similarity of a pair is estimated from the packed minima by bit counts, corrected for lanes that agree by
    chance; pairs well below the threshold (6 standard deviations) go. The others are confirmed on their full sets.
-5. Linked nodes form components (large-star, small-star). Then every bucket that still holds several components has
-   the nodes outside its largest component paired with all that are in another one, and these are confirmed too: so
-   each candidate pair either lies within a component or has been compared, without all pairs of a large group.
+5. Linked nodes form components (large-star, small-star). Buckets that still hold several components get an exact second
+   step: their nodes outside the bucket's largest component against all others of such buckets, by an inverted list of the
+   rarest shingles of each set with size and place filters, and confirmed on full sets. So each candidate pair either lies
+   within a component, or was compared, or can't reach the threshold; large groups aren't expanded into all pairs.
 
 Links and components stay in tables in the shared folder; nothing of them comes to the driver but counts.
 """
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACED, coded, materialize, mix64, ship, slices, words_of
@@ -164,27 +165,50 @@ def _pairs(x: DataFrame) -> DataFrame:
 
 
 class _Confirm:
-    """Confirms candidate pairs of nodes by estimate, then on full sets."""
+    """Confirms candidate pairs of nodes: by estimate, then on full sets."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, threshold: int, id_col: str, text_col: str):
-        self.nodes, self.threshold = nodes, threshold
+        self.nodes, self.t = nodes, threshold
         self.docs = docs.select(F.col(id_col).cast("long").alias("first_id"), F.col(text_col).cast("string").alias("text"))
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        n = self.nodes
+    def sets(self, nids: DataFrame) -> DataFrame:
+        """nid and own (the full set), from a row's text for each node: that of its first document.
+
+        Rows with that id and another text fall away by their nid.
+        """
+        need = self.nodes.join(nids, "nid", "left_semi").select(F.col("first_id").alias("of")).distinct()
+        sets = _sets(self.docs.join(need, F.col("first_id").eqNullSafe(F.col("of")), "left_semi"))
+        return materialize(sets.join(nids, "nid", "left_semi").dropDuplicates(["nid"]), "sets")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sizes and estimate don't rule out the threshold."""
+        n, t = self.nodes, self.t
         near = pairs.join(n.select(F.col("nid").alias("a"), F.col("low").alias("la"), F.col("n_shingles").alias("na")), "a").join(n.select(F.col("nid").alias("b"), F.col("low").alias("lb"), F.col("n_shingles").alias("nb")), "b")
-        t = self.threshold
         near = near.filter((F.lit(100) * F.least("na", "nb") >= F.lit(t) * F.greatest("na", "nb")) & (estimate(F.col("la"), F.col("lb")) >= t / 100 - MARGIN))
-        near = materialize(near.select("a", "b", "na", "nb"), "candidates")
-        ends = near.select(F.col("a").alias("nid")).union(near.select(F.col("b").alias("nid"))).distinct()
-        # A row's text for each node: that of its first document; rows with that id and another text fall away by their nid.
-        need = n.join(ends, "nid", "left_semi").select("nid", "first_id")
-        need = need.select(F.col("first_id").alias("of")).distinct()
-        sets = _sets(self.docs.join(need, F.col("first_id").eqNullSafe(F.col("of")), "left_semi"))
-        sets = materialize(sets.join(ends, "nid", "left_semi").dropDuplicates(["nid"]), "sets")
-        both = near.join(sets.select(F.col("nid").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("nid").alias("b"), F.col("own").alias("sb")), "b")
+        return materialize(near.select("a", "b"), "candidates")
+
+    def on_sets(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("nid").alias("a"), F.col("own").alias("sa")), "a").join(sets.select(F.col("nid").alias("b"), F.col("own").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
-        return both.filter(100 * common >= t * (F.col("na") + F.col("nb") - common)).select("a", "b")
+        return both.filter(100 * common >= self.t * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+    def prefix_pairs(self, x: DataFrame, y: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs of a node of x and one of y (both: nid, comp) of other components that can reach the threshold; exact.
+
+        Shingles are put in one order, from the rarest. Sets that reach it share one of their first n - ceil(t n / 100) + 1 shingles, and
+        from the first common one on both have enough left; for a set with many shingles of its own, neither holds with anything.
+        """
+        t = self.t
+        all_ = sets.select("nid", F.size("own").cast("long").alias("n"), F.explode("own").alias("s"))
+        often = all_.groupBy("s").agg(F.count("*").alias("often"))
+        place = F.row_number().over(Window.partitionBy("nid").orderBy("often", "s"))
+        first = all_.join(often, "s").withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t / 100) + 1)
+        first = materialize(first.select("nid", "n", "s", "place"), "prefixes")
+        side = lambda own, k: own.join(first, "nid").select(F.col("nid").alias(f"{k}"), F.col("comp").alias(f"c{k}"), F.col("n").alias(f"n{k}"), F.col("place").alias(f"p{k}"), "s")
+        left = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1
+        fits = (100 * F.least("nx", "ny") >= t * F.greatest("nx", "ny")) & ((100 + t) * left >= t * (F.col("nx") + F.col("ny")))
+        p = side(x, "x").withColumnRenamed("s", "sx").join(side(y, "y"), (F.col("sx") == F.col("s")) & (F.col("cx") != F.col("cy")) & fits)
+        return _pairs(p)
 
 
 def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,18 +227,19 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_
     members = nodes.select("nid", F.explode("bands").alias("key"))
     shared = materialize(members.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).filter("lo <> hi"), "buckets")
     shared_members = materialize(members.join(shared, "key"), "members")
-    star = materialize(_pairs(shared_members.select(F.col("nid").alias("x"), F.explode(F.array("lo", "hi")).alias("y"))), "pairs")
-    edges = materialize(confirm(star), "edges")
+    star = confirm.likely(_pairs(shared_members.select(F.col("nid").alias("x"), F.explode(F.array("lo", "hi")).alias("y"))))
+    ends = star.select(F.col("a").alias("nid")).union(star.select(F.col("b").alias("nid"))).distinct()
+    edges = materialize(confirm.on_sets(star, confirm.sets(ends)), "edges")
     comps = materialize(connected(edges), "labels")
 
-    # Buckets with several components: each node outside the largest one against the nodes of the others.
+    # Buckets with several components: nodes outside the largest one against all nodes of such buckets that are in another one.
     labelled = shared_members.select("key", "nid").join(comps, "nid", "left").select("key", "nid", F.coalesce("comp", "nid").alias("comp"))
     labelled = materialize(labelled, "labelled")
     several = labelled.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = materialize(labelled.join(several.select("key", "major"), "key"), "mixed")
-    rest = mixed.filter("comp <> major").select("key", F.col("nid").alias("x"), F.col("comp").alias("cx")).join(mixed.select("key", F.col("nid").alias("y"), F.col("comp").alias("cy"), "major"), "key").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y"))))
-    rest = _pairs(rest).join(star, ["a", "b"], "left_anti")
-    more = materialize(confirm(materialize(rest, "pairs")), "edges")
+    mixed = materialize(labelled.join(several.select("key", "major"), "key").groupBy("nid", "comp").agg(F.max(F.col("comp") != F.col("major")).alias("minor")), "mixed")
+    sets = confirm.sets(mixed.select("nid"))
+    rest = materialize(confirm.prefix_pairs(mixed.filter("minor").select("nid", "comp"), mixed.select("nid", "comp"), sets).join(star, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(confirm.on_sets(rest, sets), "edges")
     if not more.isEmpty():
         comps = materialize(connected(edges.union(more)), "labels")
 
