@@ -104,7 +104,8 @@ def price_as_of(asked: DataFrame, history: DataFrame, keys: list[str], at: str,
 def finish_runs(runs: DataFrame, finished: DataFrame) -> DataFrame:
     """runs with status, counts, completed_at and duration_seconds (never negative) of those in finished, by id."""
     r = upsert(runs, finished, ["id"], keep=["source", "category", "started_at"])
-    seconds = F.col("completed_at").cast("double") - F.col("started_at").cast("double")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    seconds = (micros("completed_at") - micros("started_at")) / 1e6
     return r.withColumn("duration_seconds", F.when(F.col("completed_at").isNotNull(), F.greatest(seconds, F.lit(0.0))))
 
 

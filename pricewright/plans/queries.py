@@ -1,15 +1,539 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL.
+
+L is the listing view of lineitem and part that stands in for parsed listings: one listing a row, from one of three sources.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import fixed, text
+from ..functions.rules import first_pattern
+from ..operators import attributes, cluster, evaluate, identity, match, ops, quality, store
+from ..sources import discovery
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+TIE = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag"]
+_TIE = ", ".join(TIE)
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+L_SQL = """L AS (SELECT l.*, 's' || (l_suppkey % 3) AS source, l_partkey || '-' || l_suppkey AS pid, trunc(l_extendedprice / l_quantity * 100)::BIGINT AS price_paise,
+  l_linestatus = 'O' AS in_stock, l_shipdate AS observed_at, lower(p_brand) AS brand, p_type AS family, p_name AS model_name, p_size AS ram FROM lineitem l JOIN part ON p_partkey = l_partkey)"""
+
+
+def listings(spark: SparkSession, d: str) -> DataFrame:
+    l, p = table(spark, d, "lineitem"), table(spark, d, "part")
+    return l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+        *TIE, "l_partkey", "l_suppkey", "l_linestatus", F.concat(F.lit("s"), F.col("l_suppkey") % 3).alias("source"), F.concat_ws("-", "l_partkey", "l_suppkey").alias("pid"),
+        (F.col("l_extendedprice") / F.col("l_quantity") * 100).cast("long").alias("price_paise"), (F.col("l_linestatus") == "O").alias("in_stock"), F.col("l_shipdate").alias("observed_at"),
+        F.lower("p_brand").alias("brand"), F.col("p_type").alias("family"), F.col("p_name").alias("model_name"), F.col("p_size").alias("ram"),
+    )
+
+
+def values(spark: SparkSession, rows: list[str]) -> DataFrame:
+    return spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "id long, v string")
+
+
+def sql_values(rows: list[str]) -> str:
+    return "(VALUES " + ", ".join(f"({i}, '{v.replace(chr(39), chr(39) * 2)}')" for i, v in enumerate(rows)) + ") AS t(id, v)"
+
+
+def sql_list(rows: list[str]) -> str:
+    return "(" + ", ".join("'" + r.replace("'", "''") + "'" for r in rows) + ")"
+
+
+# Scalar functions.
+CAPACITIES = ["512 GB", "1 TB", "0.5tb", "unknown", "0 GB", "1.2 GB", " 16gb ", "RAM 8 GB DDR4", "2.5 TB SSD"]
+_CAP = "(CASE WHEN regexp_matches(x, '^\\s*\\d+(\\.\\d+)?\\s*(?i:tb|gb)\\s*$') THEN regexp_extract(x, '(\\d+(\\.\\d+)?)', 1)::DECIMAL(18,6) * CASE WHEN regexp_matches(x, '(?i)tb') THEN 1024 ELSE 1 END END)"
+
+
+@query("text_norm", "SELECT doc_id, trim(regexp_replace(replace(lower(text), 'ß', 'ss'), '\\s+', ' ', 'g')) AS norm FROM documents")
+def text_norm(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", text.text_norm(F.col("text")).alias("norm"))
+
+
+@query("capacity_parse", f"WITH a AS (SELECT id, v, coalesce(nullif(regexp_extract(v, '(?i)\\d+(\\.\\d+)?\\s*(tb|gb)', 0), ''), v) AS f FROM {sql_values(CAPACITIES)}), b AS (SELECT id, {_CAP.replace('(x,', '(v,')} AS c1, {_CAP.replace('(x,', '(f,')} AS c2 FROM a) SELECT id::BIGINT AS id, CASE WHEN c1 > 0 AND c1 = floor(c1) THEN c1::BIGINT END AS whole_gb, CASE WHEN c2 > 0 AND c2 = floor(c2) THEN c2::BIGINT END AS first_gb FROM b")
+def capacity_parse(spark: SparkSession, d: str) -> DataFrame:
+    v = F.col("v")
+    return values(spark, CAPACITIES).select("id", text.capacity_gb(v).alias("whole_gb"), attributes.capacity(v).alias("first_gb"))
+
+
+@query("price_to_paise", "SELECT p_partkey, CASE WHEN p_retailprice >= 50 THEN trunc(p_retailprice * 100)::BIGINT END AS paise FROM part")
+def price_to_paise(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", text.price_paise(F.concat(F.lit("₹"), F.col("p_retailprice").cast("string"))).alias("paise"))
+
+
+@query("brand_infer", "SELECT p_partkey, CASE " + " ".join(f"WHEN contains(lower(p_name), '{b}') THEN '{b.title()}'" for b in fixed.TITLE_BRANDS) + " ELSE string_split(trim(p_name), ' ')[1] END AS brand FROM part")
+def brand_infer(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", text.title_brand(F.col("p_name")).alias("brand"))
+
+
+KEYS = ["RAM", "Customer Support Number", "1,299", "x", "₹ off", "Grievance Officer name", "display", "Press", "supercoin", "Processor Name"]
+
+
+@query("ignored_keys", f"SELECT id::BIGINT AS id, length(k) < 2 OR length(k) > 60 OR k IN {sql_list(fixed.IGNORED_KEYS)} OR contains(k, '₹') OR contains(k, '$') OR regexp_matches(k, '^[\\d,./_+-]+$') OR {' OR '.join(f'contains(k, {chr(39)}{p}{chr(39)})' for p in fixed.IGNORED_PARTS)} AS ignored FROM (SELECT id, lower(trim(v)) AS k FROM {sql_values(KEYS)})")
+def ignored_keys(spark: SparkSession, d: str) -> DataFrame:
+    return values(spark, KEYS).select("id", text.is_ignored_key(F.col("v")).alias("ignored"))
+
+
+@query("dup_word_collapse")
+def dup_word_collapse(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", text.collapse_repeats(F.concat_ws(" ", "p_name", "p_name", "p_type")).alias("name"))
+
+
+@query("cm_to_inch", "SELECT p_partkey, round((p_size + 13) / 2.54, 1) AS inches, CASE WHEN p_size BETWEEN 1 AND 9 THEN round(p_size + (p_partkey % 997) / 1000.0, 2)::DOUBLE END AS kg FROM part WHERE p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
+def cm_to_inch(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").filter("p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
+    said = F.concat(F.col("p_size"), F.lit(" kg "), F.col("p_partkey") % 997, F.lit(" g"))
+    return p.select("p_partkey", text.cm_to_inch(F.col("p_size") + 13, 1).alias("inches"), F.when(F.col("p_size").between(1, 9), text.weight_kg(said)).alias("kg"))
+
+
+# Pages and discovery.
+_TRACK = sql_list(fixed.TRACKING_PARAMETERS)
+_CANON = f"""(SELECT page_id, 'https://' || regexp_replace(lower(regexp_extract(u, '^[a-z]+://([^/?]*)', 1)), '^www\\.', '') || CASE WHEN path = '/' THEN '/' ELSE regexp_replace(path, '/$', '') END || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS link FROM (
+  SELECT page_id, u, regexp_extract(u, '^[a-z]+://[^/?]*([^?]*)', 1) AS path, array_to_string(list_filter(string_split(regexp_extract(u, '\\?(.*)$', 1), '&'), lambda p: contains(p, '=') AND string_split(p, '=')[2] <> '' AND lower(string_split(p, '=')[1]) NOT IN {_TRACK} AND NOT starts_with(lower(p), 'utm_')), '&') AS q
+  FROM (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS u FROM pages)))"""
+
+
+@query("canonical_url", f"SELECT page_id, link FROM {_CANON}")
+def canonical_url(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", text.canonical_url(F.col("url")).alias("link"))
+
+
+@query("url_dedup", f"SELECT link, count(*)::BIGINT AS urls, min(page_id) AS first_page FROM {_CANON} GROUP BY link")
+def url_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return canonical_url(spark, d).groupBy("link").agg(F.count("*").alias("urls"), F.min("page_id").alias("first_page"))
+
+
+@query("host_allowlist", "SELECT page_id, starts_with(lower(url), 'https:') AND regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) IN ('www.amazon.in', 'amazon.in') AS allowed, lower(url) LIKE 'https:%' AS secure FROM pages")
+def host_allowlist(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", discovery.allowed_host(F.col("url"), F.lit("amazon")).alias("allowed"), F.lower("url").like("https:%").alias("secure"))
+
+
+@query("content_hash_dedup", "SELECT sha256(html) AS content_hash, count(*)::BIGINT AS pages, min(page_id) AS first_page FROM pages GROUP BY 1")
+def content_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").groupBy(discovery.content_hash(F.col("html")).alias("content_hash")).agg(F.count("*").alias("pages"), F.min("page_id").alias("first_page"))
+
+
+@query("html_extract", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, length(html)::BIGINT AS chars FROM pages")
+def html_extract(spark: SparkSession, d: str) -> DataFrame:
+    h = F.col("html")
+    return table(spark, d, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, '<html lang="([a-z]+)"', 1).alias("lang"), F.length(h).cast("long").alias("chars"))
+
+
+@query("html_dom")
+def html_dom(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources.retail import read_pages
+
+    pages = table(spark, d, "pages").select("page_id", F.lit("croma").alias("source"), "html")
+    return read_pages(pages).select("page_id", F.try_element_at("picks", F.lit("title")).alias("title"), F.size("specs").alias("specs"), "sections")
+
+
+@query("link_discovery", f"SELECT page_id, (i - 1)::BIGINT AS place, links[i] AS href, {' OR '.join(f'contains(lower(links[i]), {chr(39)}{w}{chr(39)})' for w in fixed.DISCOVERY_ACCESSORIES)} AS accessory FROM (SELECT page_id, links, unnest(range(1, len(links) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href=\"([^\"]+)\"', 1) AS links FROM pages))")
+def link_discovery(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.page_links(table(spark, d, "pages")).select("page_id", "place", "href", "accessory")
+
+
+@query("jsonld_extract", "SELECT page_id, 'P' || page_id AS name, (page_id * 10)::BIGINT AS price FROM pages WHERE page_id % 3 <> 2 ORDER BY page_id")
+def jsonld_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Scripts built on the pages' ids: an object, a graph, or broken JSON."""
+    product = F.concat(F.lit('{"@type":"PRODUCT","name":"P'), F.col("page_id"), F.lit('","offers":{"price":'), F.col("page_id") * 10, F.lit("}}"))
+    kind = F.col("page_id") % 3
+    body = F.when(kind == 0, product).when(kind == 1, F.concat(F.lit('{"@graph":[{"@type":"Thing"},'), product, F.lit("]}"))).otherwise(F.lit('{"@type":"Product",'))
+    p = table(spark, d, "pages").select("page_id", F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>")).alias("html"))
+    return discovery.json_ld_products(p).select("page_id", F.try_variant_get("product", "$.name", "string").alias("name"), F.try_variant_get("product", "$.offers.price", "long").alias("price"))
+
+
+@query("event_props", "SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k FROM events")
+def event_props(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
+
+
+@query("sitemap_parse")
+def sitemap_parse(spark: SparkSession, d: str) -> DataFrame:
+    entry = F.concat(F.lit("<url><loc>https://www.croma.com/laptop/p/"), F.lpad(F.col("page_id").cast("string"), 6, "3"), F.lit("</loc><lastmod>2026-01-0"), F.col("page_id") % 9 + 1, F.lit("</lastmod><priority>0.5</priority></url>"))
+    maps = table(spark, d, "pages").select(F.lit("croma").alias("source"), F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), entry, F.lit("</urlset>")).alias("content"))
+    return discovery.references(discovery.sitemap_items(maps, "laptop"), "laptop", 100)
+
+
+# Quality.
+_ACC = " OR ".join(f"regexp_matches(t, '{p}')" for p in fixed.ACCESSORIES)
+
+
+@query("accessory_gate", f"SELECT doc_id, {_ACC} AS accessory FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+def accessory_gate(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", quality.accessory(F.col("text")).isNotNull().alias("accessory"))
+
+
+def _gate(spark: SparkSession, d: str) -> DataFrame:
+    l = listings(spark, d).withColumns({
+        "category": F.when(F.col("l_partkey") % 2 == 0, "laptop").otherwise("mobile"), "title": F.when(F.col("ram") == 7, F.concat(F.col("model_name"), F.lit(" laptop bag"))).otherwise(F.col("model_name")),
+        "source_url": F.lit(""), "attributes": F.when(F.col("ram") % 2 == 0, F.create_map(F.lit("ram_gb"), F.col("ram").cast("string"))).otherwise(F.create_map().cast("map<string,string>")),
+    })
+    return quality.classify(l.withColumn("model_name", F.when(F.col("ram") % 3 == 0, F.col("family")).otherwise(F.col("title"))))
+
+
+_GATE = f"""WITH {L_SQL}, g AS (SELECT *, l_partkey % 2 = 0 AS laptop, CASE WHEN ram = 7 THEN model_name || ' laptop bag' ELSE model_name END AS title FROM L),
+h AS (SELECT *, ({_ACC.replace('(t,', '(lower(title),')}) AS acc, price_paise <= 0 OR price_paise < CASE WHEN laptop THEN 1000000 ELSE 250000 END OR price_paise > CASE WHEN laptop THEN 100000000 ELSE 35000000 END AS bad,
+  (CASE WHEN length(trim(title)) > 5 THEN 20 ELSE 0 END + CASE WHEN brand NOT IN ('', 'unknown', 'generic') THEN 20 ELSE 0 END + CASE WHEN price_paise > 0 THEN 20 ELSE 0 END + CASE WHEN ram % 3 = 0 AND family <> title THEN 15 ELSE 0 END + CASE WHEN ram % 2 = 0 THEN 10 ELSE 0 END)::INT AS c FROM g),
+k AS (SELECT *, CASE WHEN acc THEN 'REJECTED' WHEN bad OR c < 50 THEN 'SUSPICIOUS' ELSE 'VALID' END AS quality_status, (CASE WHEN acc THEN least(c // 3, 30) WHEN bad THEN least(c, 60) ELSE c END)::INT AS quality_score FROM h)"""
+
+
+@query("price_sanity", f"{_GATE} SELECT laptop, bad, count(*)::BIGINT AS n FROM k GROUP BY 1, 2")
+def price_sanity(spark: SparkSession, d: str) -> DataFrame:
+    return _gate(spark, d).groupBy((F.col("category") == "laptop").alias("laptop"), (~F.col("price_sanity_passed")).alias("bad")).agg(F.count("*").alias("n"))
+
+
+@query("completeness", f"{_GATE} SELECT c AS completeness_score, count(*)::BIGINT AS n FROM k GROUP BY 1")
+def completeness(spark: SparkSession, d: str) -> DataFrame:
+    return _gate(spark, d).groupBy("completeness_score").agg(F.count("*").alias("n"))
+
+
+@query("quality_classify", f"{_GATE} SELECT l_orderkey, l_linenumber, pid, price_paise, quality_status, quality_score FROM k")
+def quality_classify(spark: SparkSession, d: str) -> DataFrame:
+    return _gate(spark, d).select("l_orderkey", "l_linenumber", "pid", "price_paise", "quality_status", "quality_score")
+
+
+@query("quality_summary", f"{_GATE} SELECT source, quality_status, count(*)::BIGINT AS n, sum(quality_score)::BIGINT AS score FROM k GROUP BY 1, 2")
+def quality_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _gate(spark, d).groupBy("source", "quality_status").agg(F.count("*").alias("n"), F.sum("quality_score").alias("score"))
+
+
+# Identity, matching.
+TITLES = ["Apple MacBook Air 13 M3", "HP Victus 15", "hp 15s laptop", "Lenovo V15 G4", "Dell XPS 13", "ASUS TUF Gaming A15", "Acer Swift Go 14", "Samsung Galaxy Book4 Pro 360", "unknown thing", "iPhone 16 Pro Max", "Samsung Galaxy S24 Ultra", "OnePlus 12R", "Redmi Note 13 Pro+", "vivo X100 Pro", "moto g85"]
+
+
+def _cases(rules: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{x}'" for p, x in rules) + " END"
+
+
+@query("identity_family", f"SELECT id::BIGINT AS id, {_cases(fixed.LAPTOP_FAMILIES)} AS laptop_family, {_cases(fixed.MOBILE_FAMILIES)} AS mobile_family FROM (SELECT id, lower(v) AS t FROM {sql_values(TITLES)})")
+def identity_family(spark: SparkSession, d: str) -> DataFrame:
+    t = values(spark, TITLES).select("id", text.fold(F.col("v")).alias("t"))
+    return t.select("id", first_pattern(F.col("t"), fixed.LAPTOP_FAMILIES).alias("laptop_family"), first_pattern(F.col("t"), fixed.MOBILE_FAMILIES).alias("mobile_family"))
+
+
+def _fingerprints(spark: SparkSession, category: str) -> DataFrame:
+    from ..sources.labelled_pairs import PAIRS
+
+    rows = spark.createDataFrame([(i, c, t) for i, (c, _, a, b) in enumerate(PAIRS) for t in (a, b)], "pair int, category string, title string").filter(F.col("category") == category)
+    return identity.with_fingerprint(rows).select("pair", "title", "fp.*").withColumn("attributes", F.array_join(F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";"))
+
+
+@query("laptop_fingerprint")
+def laptop_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    return _fingerprints(spark, "laptop")
+
+
+@query("mobile_fingerprint")
+def mobile_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    return _fingerprints(spark, "mobile")
+
+
+@query("spec_attributes", "SELECT p_partkey, p_size::BIGINT AS ram_gb, CASE WHEN p_size % 2 = 0 THEN 'DDR5' ELSE 'DDR4' END AS ram_type, CASE WHEN p_size BETWEEN 9 AND 24 THEN p_size::DOUBLE END AS screen_size_inches, (CASE WHEN p_size % 2 = 0 THEN 'SSD' ELSE 'HDD' END) AS storage_type FROM part")
+def spec_attributes(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("p_size").cast("string")
+    odd = F.col("p_size") % 2 == 1
+    specs = F.create_map(F.lit("ram"), F.concat(n, F.lit(" GB")), F.lit("ram type"), F.when(odd, "ddr4 sdram").otherwise("lpddr5"), F.lit("screen size"), F.when(F.col("p_size") <= 24, F.concat(n, F.lit(" inches"))).otherwise(F.lit("none")), F.lit("storage type"), F.when(odd, "hard disk").otherwise("nvme"))
+    f = attributes.laptop_attributes(F.col("p_name"), F.col("specs"))
+    return table(spark, d, "part").select("p_partkey", "p_name", specs.alias("specs")).select("p_partkey", *[f[k].alias(k) for k in ("ram_gb", "ram_type", "screen_size_inches", "storage_type")])
+
+
+@query("bounds_check", "SELECT p_partkey, p_size BETWEEN 1 AND 32 AS mobile_ok, p_size BETWEEN 9 AND 24 AS screen_ok FROM part")
+def bounds_check(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.rules import all_within
+
+    s = F.col("p_size")
+    return table(spark, d, "part").select("p_partkey", all_within({"ram_gb": s}, fixed.MOBILE_BOUNDS).alias("mobile_ok"), all_within({"screen_size_inches": s}, fixed.LAPTOP_BOUNDS).alias("screen_ok"))
+
+
+def _part_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of a brand's parts that share a size: fingerprints built of the part's own columns."""
+    kinds = dict(x.split(" ", 1) for x in identity.FINGERPRINT.split(", "))
+    put = {"category": F.lit("laptop"), "brand": F.lower("p_brand"), "family": F.lower("p_type"), "model_name": F.lower("p_name"), "chip": F.concat(F.lit("ryzen "), F.lit(3) + 2 * (F.col("p_partkey") % 2), F.lit(" 7520u")), "ram_gb": F.col("p_size"), "screen_size_inches": 13 + F.col("p_partkey") % 3}
+    fp = F.struct(*[put.get(k, F.create_map().cast(t) if t.startswith("map") else F.lit(None)).cast(t).alias(k) for k, t in kinds.items()])
+    n = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", fp.alias("fp"))
+    a, b = n.alias("a"), n.alias("b")
+    return a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") < F.col("b.p_partkey"))).select(F.col("a.p_partkey").alias("i"), F.col("b.p_partkey").alias("j"), F.col("a.fp").alias("l"), F.col("b.fp").alias("r"))
+
+
+_PAIRS = """WITH p AS (SELECT p_partkey AS k, lower(p_brand) AS brand, lower(p_type) AS fam, lower(p_name) AS name, 'ryzen ' || (3 + 2 * (p_partkey % 2)) || ' 7520u' AS chip, p_size AS ram, 13 + p_partkey % 3 AS screen FROM part),
+q AS (SELECT a.k AS i, b.k AS j, a.fam AS f1, b.fam AS f2, a.name AS n1, b.name AS n2, a.chip AS c1, b.chip AS c2, a.screen AS s1, b.screen AS s2, a.ram AS ram FROM p a JOIN p b ON a.brand = b.brand AND a.ram = b.ram AND a.k < b.k)"""
+
+
+@query("hard_conflicts", _PAIRS + """ SELECT i, j, CASE WHEN f1 <> f2 THEN 'different product families: ''' || f1 || ''' vs ''' || f2 || '''' WHEN c1 <> c2 THEN 'different processor/chip generation: ''' || c1 || ''' vs ''' || c2 || '''' WHEN abs(s1 - s2) >= 0.7 THEN 'different screen size: ' || s1 || '.0" vs ' || s2 || '.0"' END AS reason FROM q""")
+def hard_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return _part_pairs(spark, d).select("i", "j", match.conflict(F.col("l"), F.col("r")).alias("reason"))
+
+
+@query("confidence_100", _PAIRS + """, s AS (SELECT i, j, 20 + CASE WHEN f1 = f2 OR n1 = n2 THEN 25 WHEN contains(n1, n2) OR contains(n2, n1) THEN 18 ELSE 0 END + 15 + 8 + CASE WHEN c1 = c2 THEN 10 ELSE 0 END AS total FROM q) SELECT i, j, total::INT AS total, CASE WHEN total >= 90 THEN 'match' WHEN total >= 75 THEN 'strong_match' WHEN total >= 60 THEN 'review' ELSE 'no_match' END AS tier FROM s""")
+def confidence_100(spark: SparkSession, d: str) -> DataFrame:
+    p = _part_pairs(spark, d).withColumn("s", match.points(F.col("l"), F.col("r")))
+    return p.select("i", "j", F.col("s.total").alias("total"), F.col("s.tier").alias("tier"))
+
+
+@query("similarity_weighted", _PAIRS + " SELECT i, j, round(0.25 + CASE WHEN c1 = c2 THEN 0.25 ELSE 0 END + 0.15 + CASE WHEN s1 = s2 THEN 0.1 ELSE 0 END, 4)::DOUBLE AS laptop, round(0.3 + CASE WHEN c1 = c2 THEN 0.25 ELSE 0 END + 0.15 + CASE WHEN f1 = f2 THEN 0.05 ELSE 0 END, 4)::DOUBLE AS mobile FROM q")
+def similarity_weighted(spark: SparkSession, d: str) -> DataFrame:
+    return _part_pairs(spark, d).select("i", "j", match.laptop_similarity(F.col("l"), F.col("r")).alias("laptop"), match.mobile_similarity(F.col("l"), F.col("r")).alias("mobile"))
+
+
+@query("token_set")
+def token_set(spark: SparkSession, d: str) -> DataFrame:
+    from ..functions.ship import ship
+    from ..functions.similarity import token_set_ratio
+
+    ship(spark)
+    names = table(spark, d, "part").select(F.col("p_name").alias("a")).distinct()
+    pairs = names.join(names.withColumnRenamed("a", "b"), F.substring("a", 1, 1) == F.substring("b", 1, 1))
+    return pairs.select("a", "b", token_set_ratio(F.col("a"), F.col("b")).alias("ratio"))
+
+
+@query("match_decision")
+def match_decision(spark: SparkSession, d: str) -> DataFrame:
+    return match.compare(_part_pairs(spark, d)).select("i", "j", "decision", "confidence", "reason")
+
+
+@query("labelled_pairs")
+def labelled_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.decided_pairs(spark)
+
+
+_RATIO = "CASE WHEN {b} > 0 THEN {a} / ({b})::DOUBLE * 100 ELSE {e} END"
+
+
+@query("benchmark_metrics", f"""WITH d AS (SELECT CASE WHEN quality = 1 THEN 'match' ELSE 'no_match' END AS want, CASE WHEN toxic = 1 THEN 'review' WHEN doc_id % 7 = 0 THEN 'no_match' WHEN doc_id % 5 = 0 AND quality = 0 THEN 'match' WHEN quality = 1 THEN 'match' ELSE 'no_match' END AS is_ FROM labels),
+c AS (SELECT count(*)::BIGINT AS total_pairs, count(*) FILTER (want = 'match' AND is_ = 'match')::BIGINT AS true_positives, count(*) FILTER (want <> 'match' AND is_ <> 'match')::BIGINT AS true_negatives,
+ count(*) FILTER (want <> 'match' AND is_ = 'match')::BIGINT AS false_positives, count(*) FILTER (want = 'match' AND is_ = 'no_match')::BIGINT AS false_negatives, count(*) FILTER (is_ = 'review')::BIGINT AS review_queue_count FROM d)
+SELECT *, {_RATIO.format(a='true_positives', b='true_positives + false_positives', e='100')} AS precision, {_RATIO.format(a='true_positives', b='true_positives + false_negatives', e='100')} AS recall FROM c""")
+def benchmark_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The counts and ratios over labels that stand in for decided pairs; labelled_pairs has the matcher's own decisions."""
+    q, i = F.col("quality") == 1, F.col("doc_id")
+    is_ = F.when(F.col("toxic") == 1, "review").when(i % 7 == 0, "no_match").when((i % 5 == 0) & ~q, "match").when(q, "match").otherwise("no_match")
+    decided = table(spark, d, "labels").select(F.when(q, "match").otherwise("no_match").alias("expected"), is_.alias("decision"))
+    return evaluate.metrics(decided).drop("f1_score", "false_positive_rate", "false_negative_rate")
+
+
+@query("leader_cluster", """WITH RECURSIVE p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS seq, p_partkey AS k, p_size AS z, p_brand AS b FROM part),
+walk(seq, seeds, m) AS (SELECT 0::BIGINT, []::STRUCT(k BIGINT, z INT, b VARCHAR)[], NULL::BIGINT UNION ALL
+  SELECT p.seq, CASE WHEN len(list_filter(w.seeds, lambda s: s.b = p.b AND abs(s.z - p.z) <= 3)) = 0 THEN list_append(w.seeds, {'k': p.k, 'z': p.z, 'b': p.b}) ELSE w.seeds END,
+   coalesce(list_min(list_transform(list_filter(w.seeds, lambda s: s.b = p.b AND abs(s.z - p.z) <= 3), lambda s: s.k)), p.k) FROM walk w JOIN p ON p.seq = w.seq + 1)
+SELECT p.k AS p_partkey, m AS seed FROM walk JOIN p USING (seq)""")
+def leader_cluster(spark: SparkSession, d: str) -> DataFrame:
+    """Parts in order of their keys; two of a brand match if their sizes differ by 3 at most."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_partkey").alias("node"), "p_brand", "p_size")
+    p = cluster.shared_table(p, "parts")
+    a, b = p.alias("a"), p.alias("b")
+    links = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.abs(F.col("a.p_size") - F.col("b.p_size")) <= 3) & (F.col("a.node") < F.col("b.node"))).select(F.col("a.node").alias("i"), F.col("b.node").alias("j"), F.lit("match").alias("decision"))
+    return cluster.leader_assign(p.select("seq", "node"), links).select(F.col("seq").alias("p_partkey"), F.col("match_seed").alias("seed"))
+
+
+_STATS = """count(*)::BIGINT AS offers, count(DISTINCT source)::BIGINT AS sources, coalesce(min(price_paise) FILTER (in_stock), min(price_paise)) AS best_price_paise,
+  coalesce(max(price_paise) FILTER (in_stock), max(price_paise)) AS max_price_paise, coalesce(max(price_paise) FILTER (in_stock) - min(price_paise) FILTER (in_stock), max(price_paise) - min(price_paise)) AS price_spread_paise,
+  CASE WHEN CASE WHEN count(*) FILTER (in_stock) > 0 THEN count(*) FILTER (in_stock) ELSE count(*) END > 1 THEN coalesce(max(price_paise) FILTER (in_stock) - min(price_paise) FILTER (in_stock), max(price_paise) - min(price_paise)) ELSE 0 END::BIGINT AS savings_paise, count(DISTINCT source) > 1 AS multi_source"""
+_ORDER = f"row_number() OVER (ORDER BY {_TIE})"
+_BEST = f"coalesce(arg_min(source, (price_paise, {_TIE})) FILTER (in_stock), arg_min(source, (price_paise, {_TIE})))"
+
+
+@query("cluster_prices", f"WITH {L_SQL} SELECT l_partkey, {_STATS}, {_BEST} AS best_source FROM L GROUP BY l_partkey")
+def cluster_prices(spark: SparkSession, d: str) -> DataFrame:
+    l = listings(spark, d).withColumn("seq", F.struct(*TIE))
+    return cluster.price_stats(l, ["l_partkey"])
+
+
+@query("source_breakdown", f"WITH {L_SQL}, c AS (SELECT l_partkey, family, ram, count(DISTINCT source) > 1 AS multi FROM L WHERE ram <> 7 GROUP BY ALL) SELECT source, count(*)::BIGINT AS collected_count, count(*) FILTER (multi)::BIGINT AS matched_in_multi_source_cluster, count(*) FILTER (NOT multi)::BIGINT AS single_source_canonical_count, 0::BIGINT AS review_count, count(*) FILTER (L.ram = 7)::BIGINT AS rejected_count FROM L LEFT JOIN c USING (l_partkey) GROUP BY source")
+def source_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    live = F.when(F.col("ram") != 7, F.col("l_partkey"))
+    l = listings(spark, d).withColumns({"cluster_seq": live, "review_cluster_seq": F.lit(None).cast("long"), "quality_status": F.when(F.col("ram") == 7, "REJECTED").otherwise("VALID")})
+    return cluster.source_breakdown(l)
+
+
+@query("reconcile_catalog")
+def reconcile_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain on titles: gate, fingerprints, matching, clusters, best prices."""
+    from ..sources.labelled_pairs import PAIRS
+
+    rows = [(i, c, f"s{i % 3}", f"p{i}", t, 5_000_000 + 1000 * i, i % 5 != 0) for i, (c, t) in enumerate((c, t) for c, _, a, b in PAIRS for t in (a, b))]
+    l = spark.createDataFrame(rows, "seq long, category string, source string, source_product_id string, title string, price_paise long, in_stock boolean")
+    l = l.withColumns({"brand": text.title_brand(F.col("title")), "model_name": F.col("title"), "source_url": F.lit(""), "attributes": F.create_map().cast("map<string,string>")})
+    c = cluster.clusters(cluster.reconcile(l))
+    return c.select("cluster_seq", "cluster_id", "category", "brand", "model_name", "offers", "sources", "best_price_paise", "best_source", "max_price_paise", "price_spread_paise", "savings_paise", F.coalesce(F.size("review_candidates"), F.lit(0)).alias("reviews"))
+
+
+# Tables.
+@query("offer_latest", f"WITH {L_SQL} SELECT source, pid, price_paise, in_stock, observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, pid ORDER BY {', '.join(t + ' DESC' for t in TIE)}) AS n FROM L) WHERE n = 1")
+def offer_latest(spark: SparkSession, d: str) -> DataFrame:
+    l = listings(spark, d)
+    return store.latest(l, ["source", "pid"], [F.col(t) for t in TIE]).select("source", "pid", "price_paise", "in_stock", "observed_at")
+
+
+SPLIT = "1995-01-01"
+
+
+def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    l = listings(spark, d).withColumn("source_product_id", F.col("pid"))
+    early = F.year("observed_at") % 2 == 0
+    out = []
+    for part in (l.filter(early), l.filter(~early)):
+        one = store.latest(part, ["source", "source_product_id"], [F.col(t) for t in TIE])
+        out.append(one.select("source", "source_product_id", "price_paise", "in_stock", "brand", F.lit("").alias("source_url"), F.col("observed_at").alias("first_seen_at"), F.col("observed_at").alias("last_seen_at"), F.lit(0).alias("missed_crawls"), F.when(F.col("in_stock"), "ACTIVE").otherwise("UNAVAILABLE").alias("lifecycle_status")))
+    return out[0], out[1]
+
+
+_HALF = f"SELECT source, pid, price_paise, in_stock, brand, observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, pid ORDER BY {', '.join(t + ' DESC' for t in TIE)}) AS n FROM L WHERE year(observed_at) % 2 = {{}}) WHERE n = 1"
+
+
+@query("listing_upsert", f"WITH {L_SQL}, a AS ({_HALF.format(0)}), b AS ({_HALF.format(1)}) SELECT source, pid AS source_product_id, coalesce(b.price_paise, a.price_paise) AS price_paise, coalesce(a.observed_at, b.observed_at) AS first_seen_at, coalesce(b.observed_at, a.observed_at) AS last_seen_at, CASE WHEN coalesce(b.in_stock, a.in_stock) THEN 'ACTIVE' ELSE 'UNAVAILABLE' END AS lifecycle_status FROM a FULL JOIN b USING (source, pid)")
+def listing_upsert(spark: SparkSession, d: str) -> DataFrame:
+    old, new = _halves(spark, d)
+    return store.upsert_listings(old, new).select("source", "source_product_id", "price_paise", "first_seen_at", "last_seen_at", "lifecycle_status")
+
+
+@query("product_upsert", f"WITH {L_SQL}, a AS (SELECT l_partkey AS id, min(brand) AS brand, min(price_paise) AS attributes FROM L WHERE year(observed_at) % 2 = 0 GROUP BY 1), b AS (SELECT l_partkey AS id, 'new ' || min(brand) AS brand, min(price_paise) AS attributes FROM L WHERE year(observed_at) % 2 = 1 GROUP BY 1) SELECT id, coalesce(a.brand, b.brand) AS brand, coalesce(b.attributes, a.attributes) AS attributes FROM a FULL JOIN b USING (id)")
+def product_upsert(spark: SparkSession, d: str) -> DataFrame:
+    l = listings(spark, d)
+    half = lambda k, brand: l.filter(F.year("observed_at") % 2 == k).groupBy(F.col("l_partkey").alias("id")).agg(brand.alias("brand"), F.min("price_paise").alias("attributes"))
+    return store.upsert_products(half(0, F.min("brand")), half(1, F.concat(F.lit("new "), F.min("brand"))))
+
+
+@query("identifier_index", "WITH x AS (SELECT p_partkey AS cluster_id, 'MPN' AS identifier_type, p_brand || '-' || p_size AS identifier_value, p_partkey AS seq FROM part UNION ALL SELECT p_partkey, 'ASIN', 'B' || p_partkey, p_partkey FROM part WHERE p_partkey % 2 = 0), f AS (SELECT *, row_number() OVER (PARTITION BY identifier_type, identifier_value ORDER BY seq) AS n FROM x WHERE length(identifier_value) BETWEEN 3 AND 64) SELECT cluster_id AS canonical_product_id, identifier_type, identifier_value FROM f WHERE n = 1")
+def identifier_index(spark: SparkSession, d: str) -> DataFrame:
+    even = F.col("p_partkey") % 2 == 0
+    o = table(spark, d, "part").select(F.col("p_partkey").alias("cluster_id"), F.when(even, "amazon").otherwise("croma").alias("source"), F.concat(F.lit("B"), F.col("p_partkey")).alias("source_product_id"), F.create_map(F.lit("mpn"), F.concat_ws("-", "p_brand", "p_size")).alias("attributes"), F.col("p_partkey").alias("seq"))
+    return store.identifiers(o).select("canonical_product_id", "identifier_type", "identifier_value")
+
+
+@query("price_history_asof", f"WITH {L_SQL}, q AS (SELECT DISTINCT pid, TIMESTAMP '1996-06-01' AS at FROM L), h AS (SELECT pid, observed_at, arg_max(price_paise, ({_TIE})) AS price_paise FROM L GROUP BY 1, 2) SELECT q.pid, h.price_paise FROM q ASOF LEFT JOIN h ON q.pid = h.pid AND q.at >= h.observed_at")
+def price_history_asof(spark: SparkSession, d: str) -> DataFrame:
+    l = listings(spark, d)
+    asked = l.select("pid").distinct().withColumn("at", F.lit("1996-06-01").cast("timestamp_ntz" if dict(l.dtypes)["observed_at"] == "timestamp_ntz" else "timestamp"))
+    return store.price_as_of(asked, l, ["pid"], "at", "observed_at", ["price_paise"], TIE[1:]).select("pid", "price_paise")
+
+
+@query("price_change_events", f"WITH {L_SQL}, h AS (SELECT *, lag(price_paise) OVER (PARTITION BY source, pid ORDER BY {_TIE}) AS previous_paise FROM L) SELECT source, pid, observed_at, price_paise, previous_paise, price_paise - previous_paise AS change_paise FROM h WHERE previous_paise <> price_paise")
+def price_change_events(spark: SparkSession, d: str) -> DataFrame:
+    return store.price_changes(listings(spark, d), ["source", "pid"], TIE).select("source", "pid", "observed_at", "price_paise", "previous_paise", "change_paise")
+
+
+# Operations.
+_LIFE = """WITH i AS (SELECT *, event_type <> 'error' AS ok, count(*) FILTER (event_type <> 'error') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM events),
+m AS (SELECT *, count(*) FILTER (NOT ok) OVER (PARTITION BY user_id, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS missed FROM i),
+s AS (SELECT *, CASE WHEN ok THEN CASE WHEN event_type <> 'click' THEN 'ACTIVE' ELSE 'UNAVAILABLE' END WHEN missed >= 10 THEN 'DISCONTINUED' WHEN missed >= 3 THEN 'UNAVAILABLE' ELSE 'STALE' END AS status FROM m)"""
+
+
+def _life(spark: SparkSession, d: str) -> DataFrame:
+    return ops.lifecycle(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") != "error", F.col("event_type") != "click")
+
+
+@query("lifecycle_state", f"{_LIFE} SELECT event_id, user_id, missed::BIGINT AS missed_crawls, status AS lifecycle_status FROM s")
+def lifecycle_state(spark: SparkSession, d: str) -> DataFrame:
+    return _life(spark, d).select("event_id", "user_id", "missed_crawls", "lifecycle_status")
+
+
+@query("lifecycle_distribution", f"{_LIFE}, e AS (SELECT status, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM s) SELECT k AS lifecycle_status, count(e.status)::BIGINT AS listings FROM (VALUES ('ACTIVE'), ('STALE'), ('UNAVAILABLE'), ('DISCONTINUED')) v(k) LEFT JOIN e ON e.status = k AND n = 1 GROUP BY k")
+def lifecycle_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return store.lifecycle_distribution(store.latest(_life(spark, d), ["user_id"], [F.col("ts"), F.col("event_id")]))
+
+
+@query("recrawl_due", f"{_LIFE}, w AS (SELECT event_id, CASE WHEN missed > 0 THEN 30 * 2 ** least(missed - 1, 4) WHEN status = 'DISCONTINUED' THEN 10080 WHEN status IN ('UNAVAILABLE', 'STALE') THEN 2880 WHEN event_type = 'purchase' THEN 30 WHEN event_type = 'view' THEN 1440 ELSE 240 END::INT AS minutes, ts FROM s) SELECT event_id, minutes, ts + to_minutes(minutes) <= TIMESTAMP '2024-01-15' AS due FROM w")
+def recrawl_due(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.col("event_type")
+    e = _life(spark, d).withColumn("minutes", ops.recrawl_minutes(F.col("lifecycle_status"), kind == "purchase", kind == "view", F.col("missed_crawls")))
+    return e.select("event_id", "minutes", ops.is_due(ops.later(F.col("ts"), F.col("minutes")), F.lit("2024-01-15").cast("timestamp")).alias("due"))
+
+
+@query("backoff", "SELECT DISTINCT (event_id % 9 + 1)::BIGINT AS errors, (30 * 2 ** least(event_id % 9, 4))::INT AS minutes FROM events")
+def backoff(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "events").select((F.col("event_id") % 9 + 1).alias("errors")).distinct()
+    return n.select("errors", ops.backoff_minutes(F.col("errors")).alias("minutes"))
+
+
+def _frontier(spark: SparkSession, d: str) -> DataFrame:
+    urls = table(spark, d, "pages").select("url", F.lit("Amazon ").alias("source"), F.lit("laptop").alias("category"), (F.col("page_id") % 3 + 1).cast("int").alias("priority"), F.col("page_id").alias("seq"))
+    empty = spark.createDataFrame([], "canonical_url string, url string, source string, category string, priority int, status string, error_count int, recrawl_after timestamp, seq long")
+    return ops.enqueue(empty, urls)
+
+
+@query("frontier_pop", f"SELECT link AS canonical_url, priority::INT AS priority FROM (SELECT link, min(page_id % 3 + 1) AS priority FROM {_CANON} GROUP BY link) ORDER BY priority, link LIMIT 20")
+def frontier_pop(spark: SparkSession, d: str) -> DataFrame:
+    return ops.pop(_frontier(spark, d), 20, F.lit("2026-01-01").cast("timestamp"), source="amazon").select("canonical_url", "priority")
+
+
+@query("frontier_stats", "SELECT count(*)::BIGINT AS total_urls, count(*) FILTER (event_type = 'view')::BIGINT AS pending, count(*) FILTER (event_type = 'click')::BIGINT AS in_progress, count(*) FILTER (event_type = 'purchase')::BIGINT AS completed, count(*) FILTER (event_type = 'error')::BIGINT AS failed FROM events")
+def frontier_stats(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_type")
+    e = table(spark, d, "events").withColumn("status", F.when(k == "view", "pending").when(k == "click", "in_progress").when(k == "purchase", "completed").when(k == "error", "failed"))
+    return ops.frontier_stats(e)
+
+
+@query("collection_plan", "SELECT s_suppkey, p AS profile, least(s_suppkey * 7, m)::BIGINT AS planned_products, (least(s_suppkey * 7, m) * r)::BIGINT AS maximum_review_records, (least(s_suppkey * 7, m) * (r + 1))::BIGINT AS maximum_total_records FROM supplier, (VALUES ('smoke', 5, 5), ('shadow', 25, 10), ('incremental', 100, 25), ('backfill', 500, 50)) v(p, m, r)")
+def collection_plan(spark: SparkSession, d: str) -> DataFrame:
+    names = F.explode(F.array(*[F.lit(p[0]) for p in fixed.PROFILES]))
+    r = table(spark, d, "supplier").select("s_suppkey", names.alias("profile"), (F.col("s_suppkey") * 7).alias("available_products"))
+    return ops.collection_plan(r).select("s_suppkey", "profile", "planned_products", "maximum_review_records", "maximum_total_records")
+
+
+@query("review_cap", "SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) WHERE n <= 3")
+def review_cap(spark: SparkSession, d: str) -> DataFrame:
+    return ops.capped(table(spark, d, "conversations"), ["conv_id"], ["turn"], 3).select("conv_id", "turn")
+
+
+@query("review_aggregate", "SELECT source, count(*)::BIGINT AS reviews, sum(quality)::BIGINT AS positive, count(*) FILTER (contains(lower(text), 'the'))::BIGINT AS mentions FROM documents JOIN labels USING (doc_id) GROUP BY source")
+def review_aggregate(spark: SparkSession, d: str) -> DataFrame:
+    r = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    return r.groupBy("source").agg(F.count("*").alias("reviews"), F.sum("quality").alias("positive"), F.count_if(F.lower("text").contains("the")).alias("mentions"))
+
+
+@query("run_telemetry", "SELECT user_id AS id, min(ts) AS started_at, max(ts) AS completed_at, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS duration_seconds, count(*)::BIGINT AS items_parsed FROM events GROUP BY user_id")
+def run_telemetry(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").groupBy(F.col("user_id").alias("id")).agg(F.min("ts").alias("started_at"), F.max("ts").alias("completed_at"), F.count("*").alias("items_parsed"))
+    none = lambda kind: F.lit(None).cast(kind)
+    runs = e.select("id", F.lit("s").alias("source"), F.lit("laptop").alias("category"), F.lit("started").alias("status"), "started_at", none(dict(e.dtypes)["completed_at"]).alias("completed_at"), none("long").alias("items_parsed"))
+    done = e.select("id", F.lit("completed").alias("status"), "completed_at", "items_parsed")
+    return store.finish_runs(runs, done).select("id", "started_at", "completed_at", "duration_seconds", "items_parsed")
+
+
+@query("taxonomy_lookup", "SELECT c AS category, count(*)::BIGINT AS subcategories FROM (VALUES ('laptop', 6), ('mobile', 5)) v(c, n), range(n) GROUP BY c")
+def taxonomy_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return ops.taxonomy(spark).groupBy("category").agg(F.count("*").alias("subcategories"))
+
+
+@query("lifecycle_stream")
+def lifecycle_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The streaming form of lifecycle_state, run over the events once: the last state of each user."""
+    import uuid
+
+    from ..streaming.pipeline import lifecycle_stream as run
+
+    e = table(spark, d, "events")
+    crawls = spark.readStream.schema(e.schema).parquet(f"{d}/events.parquet*").select(F.col("user_id").cast("string").alias("listing"), F.col("event_id").alias("crawl_id"), F.col("ts").alias("observed_at"), (F.col("event_type") != "error").alias("ok"), (F.col("event_type") != "click").alias("in_stock"))
+    name = f"states_{uuid.uuid4().hex}"
+    q = run(crawls).writeStream.outputMode("update").format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
