@@ -311,3 +311,33 @@ def test_entry_points_without_the_subpackage(tmp_path):
     shutil.copy(top / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'cluster_prices' in q and not any(k.startswith('op') and k[2].isdigit() for k in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+# Jobs and reviews.
+def test_reviews(spark):
+    from pricewright.operators import reviews
+
+    kind = "product_id string, page_no int, cursor string, reviews array<struct<product_id:string,stars:int>>"
+    rows = [("p", 1, "a", [("p", 5), ("p", 4)]), ("p", 2, "b", [("p", 3)]), ("p", 3, "a", [("p", 1)]), ("p", 4, "c", [("p", 1)]), ("q", 1, None, []), ("q", 2, "z", [("q", 1)]), ("r", 1, "y", [("q", 1)])]
+    pages = spark.createDataFrame(rows, kind)
+    assert sorted((r.product_id, r.reason) for r in reviews.page_faults(pages).collect()) == [("p", "repeated cursor"), ("r", "reviews of another product")]
+    assert sorted((r.product_id, r.n, r.review.stars) for r in reviews.collect_reviews(pages, 2).collect()) == [("p", 1, 5), ("p", 2, 4)]
+    assert reviews.collect_reviews(pages, 500).count() == 3
+    e = spark.createDataFrame([("laptop", "battery", "positive", 0.9), ("laptop", "camera", "positive", 0.9), ("laptop", "battery", "negative", 2.0)], "category string, aspect string, sentiment string, confidence double")
+    assert [(r.aspect, r.mentions, r.positive) for r in reviews.aspect_summary(e, ["category"]).collect()] == [("battery", 1, 1)]
+
+
+def test_raw_to_tables_twice_is_once(spark):
+    from pricewright.plans import jobs
+
+    kind = "seq long, source string, source_product_id string, category string, subcategory string, source_url string, observed_at timestamp, html string, payload map<string,string>"
+    now = dt.datetime(2026, 1, 1)
+    rows = [(1, "amazon", "B0A", "laptop", None, "https://www.amazon.in/dp/B0A", now, AMAZON, {}), (2, "croma", "C", "laptop", None, "https://www.croma.com/p/1", now, CROMA, {}), (3, "croma", "D", "car", None, "https://www.croma.com/p/2", now, "", {}), (4, "croma", "E", "laptop", None, "http://evil.example/p", now, "", {})]
+    good, bad = jobs.accepted(spark.createDataFrame(rows, kind))
+    assert sorted((r.source_product_id, r.reason) for r in bad.collect()) == [("D", "unsupported category"), ("E", "host not allowed")]
+    r = cluster.shared_table(jobs.reconcile_raw(good), "run")
+    once = {k: cluster.shared_table(v, k) for k, v in jobs.next_tables(jobs.empty_tables(spark), r, "2026-01-01").items()}
+    assert {k: v.count() for k, v in once.items()} == {"products": 2, "retailer_products": 2, "offers": 2, "product_identifiers": 1, "price_observations": 2}
+    twice = jobs.next_tables(once, r, "2026-01-01")
+    for k in ("products", "retailer_products", "offers", "product_identifiers"):
+        assert sorted(map(str, twice[k].collect())) == sorted(map(str, once[k].collect()))
