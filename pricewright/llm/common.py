@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +65,40 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+#: What a Python worker keeps from one task to the next, by the operator's name.
+KEPT: dict[str, object] = {}
+
+
+@contextlib.contextmanager
+def tidy(keep: str | None = None) -> Iterator[None]:
+    """Around a task's work in a Python worker, which later serves other operators: drops what those have kept, and gives free memory back."""
+
+    def trim() -> None:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    if others := [k for k in KEPT if k != keep]:
+        for k in others:
+            del KEPT[k]
+        trim()
+    try:
+        yield
+    finally:
+        trim()
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, within tidy()."""
+
+    def tidily(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tidy():
+            yield from run(batches)
+
+    return tidily
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)

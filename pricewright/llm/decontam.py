@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, coded, ship, slices, words_of
+from .common import ALNUM, coded, ship, slices, tidied, words_of
 
 #: Benchmark text that one search's tables are made of.
 BLOCK_BYTES = 16 << 20
@@ -150,7 +150,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = W
         block = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
         rows = block.collect()  # of block_bytes, about
         searcher = spark.sparkContext.broadcast(Searcher(list(zip([r.i for r in rows], item_words([r.t for r in rows]), strict=True)), window))
-        out = out.mapInArrow(_run(searcher), out.schema)
+        out = out.mapInArrow(tidied(_run(searcher)), out.schema)
     return out.drop("text")
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, coded, held_out, ship, slices, words_of
+from .common import LETTERS, coded, held_out, ship, slices, tidied, words_of
 
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
@@ -195,7 +195,7 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
         names, table, p = shared.value
         labels = np.array([*names, "und"], object)
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 4 << 20):
                 best, score = np.full(b.num_rows, len(names)), np.zeros(b.num_rows)
                 if names:
                     codes, words, bounds = words_and_counts(b.column("text"))
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
                 put = {"lang_pred": pa.array(labels[best].tolist(), pa.string()), "score": pa.array(score)}
                 yield pa.RecordBatch.from_arrays([put.get(f.name, b.column(f.name)) for f in b.schema], names=b.schema.names)
 
-    return rows.mapInArrow(run, schema).drop("text", "letters")
+    return rows.mapInArrow(tidied(run), schema).drop("text", "letters")
 
 
 def language_report(docs: DataFrame, model_path: str, **kw) -> DataFrame:

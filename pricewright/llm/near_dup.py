@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACED, coded, materialize, mix64, ship, slices, words_of
+from .common import SPACED, coded, materialize, mix64, ship, slices, tidied, words_of
 
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 4 << 20):
                 sets = shingle_sets(b.column("text"))
                 n = np.array([len(s) for s in sets], np.int64)
                 full = n > 0
@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 nid = pa.array([_nid(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), nid, _lists(packed(m), full), _lists(band_keys(m), full)], schema=_PRINTS)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, nid long, low array<long>, bands array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidied(run), "doc_id long, n_shingles long, nid long, low array<long>, bands array<long>")
 
 
 _SETS = pa.schema([("nid", pa.int64()), ("own", pa.list_(pa.int64()))])
@@ -120,13 +120,13 @@ def _sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", 4 << 20):
                 sets = shingle_sets(b.column("text"))
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 own = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([_nid(s) if len(s) else None for s in sets], pa.int64()), own], schema=_SETS)
 
-    return texts.select("text").mapInArrow(run, "nid long, own array<long>")
+    return texts.select("text").mapInArrow(tidied(run), "nid long, own array<long>")
 
 
 def estimate(a: Column, b: Column) -> Column:

@@ -24,13 +24,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import coded, ranges, shared_dir, ship, slices, split_bytes, text_bytes
+from .common import KEPT, coded, ranges, shared_dir, ship, slices, split_bytes, text_bytes, tidy
 
 MAGIC = 0x314B4F5445444957
 SAMPLE = 256
 SHARD_IDS = 4_000_000
 #: Different words whose ids a worker keeps; then it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 def ef_encode(values: np.ndarray, universe: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -112,8 +112,6 @@ class WordEncoder:
     at once: each is one word for the tokenizer, whose last piece ends with the word-end mark.
     """
 
-    _kept: dict = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -126,9 +124,10 @@ class WordEncoder:
     @classmethod
     def of(cls, path: str) -> WordEncoder:
         """This worker's encoder of the file."""
-        if path not in cls._kept:
-            cls._kept[path] = cls(path)
-        return cls._kept[path]
+        kept = KEPT.setdefault("words", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def _forget(self) -> None:
         """Keep the runs seen in two batches or more, as long as they take half of the room at most."""
@@ -254,6 +253,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2,
     rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tidy("words"):
+            yield from encode(batches)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encoder, part, number = WordEncoder.of(tokenizer), TaskContext.get().partitionId(), 0
