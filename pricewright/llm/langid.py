@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, coded, held_out, ship, slices, tidied, words_of
+from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, words_of
 
 SAMPLE_DOCS = 300
 SAMPLE_CHARS = 20_000
@@ -28,6 +28,8 @@ MAX_PIECE = 10
 UNIT = 64
 UNKNOWN = 1e-7
 ROUNDS = 4
+#: Up to so many drawn ids are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 _B = 0x9E3779B97F4A7C15 | 1
 _B_INVERSE = pow(_B, -1, 1 << 64)
 _WORD_START = 0x2581  # the mark before a word
@@ -168,9 +170,13 @@ def fit(texts: list[str], langs: list[str], pieces: list[str], rounds: int = ROU
 def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
     """(languages, pieces, probabilities), from documents that aren't held out, have a language and a letter."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) * F.col("n") < F.lit(sample_docs << 30)
-    sample = rows.filter(F.col("text").rlike(r"\p{L}") & (F.length("text") <= sample_chars)).join(counts, "lang").filter(draw).select("doc_id", "lang", "text").collect()
+    # Ids are drawn without their texts; then the few drawn go to the texts, not the texts to a shuffle.
+    drawn = materialize(rows.select("doc_id", "lang").join(counts, "lang").filter(draw).select("doc_id").distinct(), "drawn")
+    if drawn.count() <= BROADCAST_IDS:
+        drawn = F.broadcast(drawn)
+    sample = rows.filter(F.col("text").rlike(r"\p{L}") & (F.length("text") <= sample_chars)).join(drawn, "doc_id").select("doc_id", "lang", "text").collect()
     sample.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id, r.text))
     pieces = vocabulary(model_path)
     names, p = fit([r.text for r in sample], [r.lang for r in sample], pieces)
