@@ -38,6 +38,19 @@ def test_scalars(spark):
     ])
 
 
+def test_cm_to_inch_of_every_row(spark, tmp_path):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pricewright.plans.queries import QUERIES
+
+    rows = [(k, k % 12 + 1) for k in range(1, 1101)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    nearest = lambda x, unit: float(Decimal(repr(x)).quantize(Decimal(unit), ROUND_HALF_UP))
+    want = [(k, nearest((z + 13) / 2.54, "0.1"), nearest(z + k % 997 / 1000, "0.01") if z < 10 else None) for k, z in rows]
+    assert sum(k % 997 % 10 == 5 and z < 10 for k, z in rows) > 50
+    assert sorted(map(tuple, QUERIES["cm_to_inch_all"](spark, str(tmp_path)).collect())) == want
+
+
 def test_token_set_ratio():
     assert token_set_ratio_of("a b c", "c b a") == 100.0
     assert token_set_ratio_of("a b", "a b c") == 100.0
