@@ -4,8 +4,8 @@ Each language has a probability for every piece of a fixed public vocabulary (le
 model). A word's probability is the sum, over all ways to cut it into pieces, of the products of their
 probabilities: a forward pass over its characters. A text's score in a language is the sum of its words' logarithms. Probabilities
 are learned by expectation-maximisation (forward-backward over the same cuts) from a bounded sample of labelled documents:
-about SAMPLE_DOCS of each language, of at most SAMPLE_CHARS characters each, drawn by a hash of the id. The model has
-a row of numbers for each piece and a column for each language, whatever the corpus's size; texts are scored whole, in
+about SAMPLE_DOCS of each language, drawn by a hash from those that can be used, whatever their length; their words are counted by
+executors. The model has a row of numbers for each piece and a column for each language, whatever the corpus's size; texts are scored whole, in
 Arrow batches, each different word of a batch once. No shuffle but for counting languages.
 """
 
@@ -22,13 +22,12 @@ from pyspark.sql import functions as F
 from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, words_of
 
 SAMPLE_DOCS = 300
-SAMPLE_CHARS = 20_000
 MAX_PIECE = 10
 #: Longer words are cut into units of so many characters.
 UNIT = 64
 UNKNOWN = 1e-7
 ROUNDS = 4
-#: Up to so many drawn ids are broadcast; more are joined by a shuffle.
+#: Up to so many drawn keys are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 _B = 0x9E3779B97F4A7C15 | 1
 _B_INVERSE = pow(_B, -1, 1 << 64)
@@ -148,15 +147,10 @@ def words_and_counts(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray
     return codes, pc.utf8_lower(different).to_pylist(), bounds
 
 
-def fit(texts: list[str], langs: list[str], pieces: list[str], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """(languages, probabilities by piece and language; the last row is an unknown character's)."""
-    names = sorted(set(langs))
-    column = {x: k for k, x in enumerate(names)}
-    codes, words, bounds = words_and_counts(pa.array(texts, pa.string()))
-    of = np.repeat([column[x] for x in langs], np.diff(bounds)).astype(np.int64)
-    times = np.bincount(codes * len(names) + of, minlength=len(words) * len(names)).reshape(len(words), len(names)).astype(float)
-    table = Pieces(pieces)
-    p = np.full((len(pieces) + 1, len(names)), 1 / (len(pieces) + 1))
+def fit(words: list[str], times: np.ndarray, pieces: list[str], rounds: int = ROUNDS) -> np.ndarray:
+    """Probabilities by piece and language (the last row is an unknown character's), from how often each word occurs in each language."""
+    table, n = Pieces(pieces), times.shape[1]
+    p = np.full((len(pieces) + 1, n), 1 / (len(pieces) + 1))
     p[-1] = UNKNOWN
     for _ in range(rounds):
         used = np.zeros_like(p)
@@ -164,23 +158,40 @@ def fit(texts: list[str], langs: list[str], pieces: list[str], rounds: int = ROU
             used += table.lattice(words[a : a + 20_000]).expected(p, times[a : a + 20_000])
         p = (used + 0.02) / (used[:-1].sum(axis=0) + 0.02 * len(pieces))
         p[-1] = UNKNOWN
-    return names, p
+    return p
 
 
-def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, text to lang, word, n: how often each word occurs in each language."""
+    for batch in batches:
+        for b in slices(batch, "text", 4 << 20):
+            codes, words, bounds = words_and_counts(b.column("text"))
+            lang, langs = coded(b.column("lang"))
+            key, n = np.unique(np.repeat(lang, np.diff(bounds)) * max(1, len(words)) + codes, return_counts=True)
+            word = pa.array(words, pa.string()).take(pa.array(key % max(1, len(words))))
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(key // max(1, len(words)))), word, pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
+
+
+def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
     """(languages, pieces, probabilities), from documents that aren't held out, have a language and a letter."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) * F.col("n") < F.lit(sample_docs << 30)
-    # Ids are drawn without their texts; then the few drawn go to the texts, not the texts to a shuffle.
-    drawn = materialize(rows.select("doc_id", "lang").join(counts, "lang").filter(draw).select("doc_id").distinct(), "drawn")
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("doc_id", "text", F.lit(8)).alias("key"))
+    # Keys are drawn without their texts; then the few drawn go to the texts, not the texts to a shuffle.
+    usable = materialize(rows.select("lang", "key"), "usable")
+    counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    draw = F.pmod("key", F.lit(1 << 30)) * F.col("n") < F.lit(sample_docs << 30)
+    drawn = materialize(usable.join(counts, "lang").filter(draw).select("lang", "key").distinct(), "drawn")
     if drawn.count() <= BROADCAST_IDS:
         drawn = F.broadcast(drawn)
-    sample = rows.filter(F.col("text").rlike(r"\p{L}") & (F.length("text") <= sample_chars)).join(drawn, "doc_id").select("doc_id", "lang", "text").collect()
-    sample.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id, r.text))
+    counted = rows.join(drawn, ["lang", "key"]).select("lang", "text").mapInArrow(tidied(_count_words), "lang string, word string, n long")
+    t = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
+    names = sorted(set(t["lang"].to_pylist()))
+    words = sorted(set(t["word"].to_pylist()))
+    times = np.zeros((len(words), len(names)))
+    times[pc.index_in(t["word"], pa.array(words, pa.string())).to_numpy(), pc.index_in(t["lang"], pa.array(names, pa.string())).to_numpy()] = t["n"].to_numpy()
     pieces = vocabulary(model_path)
-    names, p = fit([r.text for r in sample], [r.lang for r in sample], pieces)
-    return names, pieces, p
+    return names, pieces, fit(words, times, pieces)
 
 
 def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

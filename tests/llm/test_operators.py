@@ -309,6 +309,21 @@ def test_language_odd(spark, odd, empty):
     assert langid.language_report(empty, tokenizer_path("piece_bpe_32k.model")).count() == 0
 
 
+def test_language_of_long_texts_is_learned(spark):
+    """A language of long texts only, and one whose few usable rows are among many without letters."""
+    rng = random.Random(3)
+    words = {"aa": ["the", "house", "water", "where", "night"], "bb": ["maison", "nuit", "oiseau", "jardin", "soleil"], "cc": ["haus", "wasser", "nacht", "strasse", "vogel"]}
+    say = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    rows = [(i, say("aa", 50), "aa", "s", 0) for i in range(40)] + [(100 + i, say("bb", 5000), "bb", "s", 0) for i in range(40)]
+    rows += [(1000 + i, say("cc", 50) if i % 50 == 0 else "12 34", "cc", "s", 0) for i in range(2000)] + [(None, say("aa", 50), "aa", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert min(len(t) for _, t, lang, _, _ in rows if lang == "bb") > 20_000
+    model = langid.train(docs, tokenizer_path("piece_bpe_32k.model"), sample_docs=20)
+    assert model[0] == ["aa", "bb", "cc"]
+    got = langid.identify(docs.filter("text rlike '[a-z]'"), model, keep=("lang",)).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
 # Contamination.
 def plain_hits(text, items):
     ws = decontam.item_words([text])[0]
