@@ -316,8 +316,9 @@ def token_set(spark: SparkSession, d: str) -> DataFrame:
     from ..functions.similarity import token_set_ratio
 
     ship(spark)
-    names = table(spark, d, "part").select(F.col("p_name").alias("a")).distinct()
-    pairs = names.join(names.withColumnRenamed("a", "b"), F.substring("a", 1, 1) == F.substring("b", 1, 1))
+    names = table(spark, d, "part").select(F.col("p_name").alias("a")).filter("a is not null").distinct()
+    # Names without a common word can be alike too, so no key finds all pairs.
+    pairs = names.crossJoin(names.withColumnRenamed("a", "b"))
     return pairs.select("a", "b", token_set_ratio(F.col("a"), F.col("b")).alias("ratio"))
 
 

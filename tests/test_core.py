@@ -68,6 +68,17 @@ def test_token_set_ratio():
 
 
 # Identity and matching.
+def test_token_set_of_all_pairs(spark, tmp_path):
+    from pricewright.plans.queries import QUERIES
+
+    names = ["red widget", "widget red", "blue widget", "hot gear", "gear hot hot", "rod", "hot rod", None, ""]
+    spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = sorted(map(tuple, QUERIES["token_set"](spark, str(tmp_path)).collect()))
+    own = [n for n in names if n is not None]
+    assert got == sorted((a, b, token_set_ratio_of(a, b)) for a in own for b in own)
+    assert ("red widget", "widget red", 100.0) in got and ("hot gear", "gear hot hot", 100.0) in got
+
+
 def test_labelled_pairs(spark):
     m = evaluate.metrics(evaluate.decided_pairs(spark)).first()
     assert (m.total_pairs, m.true_positives, m.false_negatives, m.true_negatives, m.false_positives, m.review_queue_count) == (67, 26, 4, 36, 0, 6)
