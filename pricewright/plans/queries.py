@@ -184,9 +184,9 @@ def event_props(spark: SparkSession, d: str) -> DataFrame:
 
 @query("sitemap_parse")
 def sitemap_parse(spark: SparkSession, d: str) -> DataFrame:
-    entry = F.concat(F.lit("<url><loc>https://www.croma.com/laptop/p/"), F.lpad(F.col("page_id").cast("string"), 6, "3"), F.lit("</loc><lastmod>2026-01-0"), F.col("page_id") % 9 + 1, F.lit("</lastmod><priority>0.5</priority></url>"))
+    entry = F.concat(F.lit("<url><loc>https://www.croma.com/laptop/p/"), F.col("page_id") + 300_000, F.lit("</loc><lastmod>2026-01-0"), F.col("page_id") % 9 + 1, F.lit("</lastmod><priority>0.5</priority></url>"))
     maps = table(spark, d, "pages").select(F.lit("croma").alias("source"), F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), entry, F.lit("</urlset>")).alias("content"))
-    return discovery.references(discovery.sitemap_items(maps, "laptop"), "laptop", 100)
+    return discovery.sitemap_items(maps, "laptop")
 
 
 # Quality.

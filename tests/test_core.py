@@ -313,6 +313,16 @@ def test_sitemaps(spark, tmp_path):
     assert discovery.sitemap_files(spark, str(tmp_path), "croma").count() == 3
 
 
+def test_sitemap_query_has_every_page(spark, tmp_path):
+    from pricewright.plans.queries import QUERIES
+
+    ids = [*range(1, 251), 1_234_567, 1_234_568]
+    spark.createDataFrame([(i,) for i in ids], "page_id long").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["sitemap_parse"](spark, str(tmp_path)).collect()
+    assert sorted((r.url, r.lastmod.day) for r in got) == sorted((f"https://www.croma.com/laptop/p/{i + 300_000}", i % 9 + 1) for i in ids)
+    assert {r.source_product_id for r in got} >= {str(i + 300_000) for i in range(1, 251)}
+
+
 def test_discovery(spark):
     html = '<a href="/x/p/itmabc1234567890z">x</a><a class="q" href="/phone-cover/p/itmccc1234567890z">c</a><a href="/y/p/itmabc1234567890z">again</a><a href="/z">z</a>'
     pages = spark.createDataFrame([(1, "https://www.flipkart.com/l", html), (2, "https://www.flipkart.com/l", None)], "page_id long, url string, html string")
