@@ -151,6 +151,17 @@ def clusters(reconciled: DataFrame) -> DataFrame:
     return seeds.join(price_stats(linked, ["cluster_seq"]), "cluster_seq").join(offers, "cluster_seq").join(reviews, "cluster_seq", "left")
 
 
+def table_view(clusters: DataFrame) -> DataFrame:
+    """The clusters of clusters() as texts for a table: names cut to 45 characters, prices in rupees, N/A or - where there is none."""
+    capital = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    rupees = lambda c: F.concat(F.lit("₹"), F.format_number(c.cast("decimal(20,0)") / 100, 2))
+    sources = F.array_join(F.transform("linked_offers", lambda o: capital(o["source"])), ", ")
+    return clusters.select(
+        "cluster_id", capital(F.col("category")).alias("category"), capital(F.col("brand")).alias("brand"), F.substring("model_name", 1, 45).alias("model"), F.concat(F.size("linked_offers").cast("string"), F.lit(" ("), sources, F.lit(")")).alias("offers"),
+        F.coalesce(rupees(F.col("best_price_paise")), F.lit("N/A")).alias("best_price"), F.coalesce(F.when(F.col("best_source") != "", capital(F.col("best_source"))), F.lit("-")).alias("best_source"), F.when(F.col("savings_paise") > 0, rupees(F.col("savings_paise"))).otherwise("-").alias("savings"),
+    )
+
+
 def source_breakdown(reconciled: DataFrame) -> DataFrame:
     """source, collected_count, matched_in_multi_source_cluster, single_source_canonical_count, review_count, rejected_count; by source."""
     multi = reconciled.filter("cluster_seq is not null").groupBy(F.col("cluster_seq").alias("c")).agg((F.count_distinct(F.lower(F.trim("source"))) > 1).alias("multi"))

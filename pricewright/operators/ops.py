@@ -41,6 +41,11 @@ def enqueue(frontier: DataFrame, urls: DataFrame) -> DataFrame:
     return both.filter("n_ = 1").drop("n_", "old_")
 
 
+def added(frontier: DataFrame, urls: DataFrame) -> int:
+    """How many canonical URLs enqueue() would add to the frontier."""
+    return urls.select(canonical_url(F.col("url")).alias("canonical_url")).distinct().join(frontier, "canonical_url", "left_anti").count()
+
+
 def pop(frontier: DataFrame, n: int, now: Column, source: str | None = None) -> DataFrame:
     """The n items to crawl next, as in_progress: due ones by priority, due time and URL."""
     ready = frontier.filter(is_due(F.col("recrawl_after"), now) & (F.col("status") != "in_progress"))

@@ -57,3 +57,10 @@ def write_report(reconciled: DataFrame, path: str) -> None:
     cluster.report_totals(reconciled).write.mode("overwrite").json(f"{path}/totals")
     cluster.source_breakdown(reconciled).write.mode("overwrite").json(f"{path}/sources")
     cluster.clusters(reconciled).drop("fp").write.mode("overwrite").json(f"{path}/clusters")
+
+
+def discover_sitemap(maps: DataFrame, source: str, sitemap_url: str, limit: int = 100, category: str = "laptop") -> dict:
+    """The freshest `limit` products of a landed sitemap; maps: source, sitemap_url, content."""
+    own = maps.filter((F.col("source") == source) & (F.col("sitemap_url") == sitemap_url))
+    ids = [r.source_product_id for r in discovery.references(discovery.sitemap_items(own, category), category, limit).collect()]
+    return {"source": source, "sitemap_url": sitemap_url, "category": category, "discovered_count": len(ids), "product_ids": ids}

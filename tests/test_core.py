@@ -375,3 +375,24 @@ def test_raw_to_tables_twice_is_once(spark):
     twice = jobs.next_tables(once, r, "2026-01-01")
     for k in ("products", "retailer_products", "offers", "product_identifiers"):
         assert sorted(map(str, twice[k].collect())) == sorted(map(str, once[k].collect()))
+
+
+def test_table_view(spark):
+    kind = "cluster_id string, category string, brand string, model_name string, linked_offers array<struct<source:string>>, best_price_paise long, best_source string, savings_paise long"
+    rows = [("c1", "laptop", "hp", "x" * 50, [("amazon",), ("croma",)], 123456789, "croma", 150000), ("c2", "mobile", "apple", "iPhone", [("flipkart",)], None, None, 0)]
+    got = sorted(map(tuple, cluster.table_view(spark.createDataFrame(rows, kind)).collect()))
+    assert got == [("c1", "Laptop", "Hp", "x" * 45, "2 (Amazon, Croma)", "₹1,234,567.89", "Croma", "₹1,500.00"), ("c2", "Mobile", "Apple", "iPhone", "1 (Flipkart)", "N/A", "-", "-")]
+
+
+def test_newly_added_urls(spark):
+    frontier = spark.createDataFrame([("https://x.com/a",)], "canonical_url string")
+    urls = spark.createDataFrame([("https://x.com/a",), ("https://www.x.com/b/",), ("https://x.com/b#top",), ("https://x.com/c",)], "url string")
+    assert ops.added(frontier, urls) == 2
+
+
+def test_discover_sitemap(spark):
+    from pricewright.plans import jobs
+
+    entry = lambda i: f"<url><loc>https://www.croma.com/laptop/p/30000{i}</loc><lastmod>2026-01-0{i}</lastmod></url>"
+    maps = spark.createDataFrame([("croma", "u", "<urlset>" + "".join(map(entry, (1, 3, 2))) + "</urlset>"), ("croma", "v", f"<urlset>{entry(4)}</urlset>")], "source string, sitemap_url string, content string")
+    assert jobs.discover_sitemap(maps, "croma", "u", 2) == {"source": "croma", "sitemap_url": "u", "category": "laptop", "discovered_count": 2, "product_ids": ["300003", "300002"]}
