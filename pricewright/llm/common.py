@@ -99,6 +99,16 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return tidily
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All of df's columns as one struct, so that none of their names meets an operator's own."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
+def unpacked(df: DataFrame, row: str, names: list[str]) -> DataFrame:
+    """The columns that whole_row() put into the struct."""
+    return df.select(*[F.col(row).getField(c).alias(c) for c in names])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -1,12 +1,14 @@
 """Language identification by segmentation-marginalised unigrams.
 
 Each language has a probability for every piece of a fixed public vocabulary (letters-only pieces of a sentencepiece
-model). A word's probability is the sum, over all ways to cut it into pieces, of the products of their
-probabilities: a forward pass over its characters. A text's score in a language is the sum of its words' logarithms. Probabilities
-are learned by expectation-maximisation (forward-backward over the same cuts) from a bounded sample of labelled documents:
-about SAMPLE_DOCS of each language, drawn by a hash from those that can be used, whatever their length; their words are counted by
-executors. The model has a row of numbers for each piece and a column for each language, whatever the corpus's size; texts are scored whole, in
-Arrow batches, each different word of a batch once. No shuffle but for counting languages.
+model, whatever their length). A word's probability is the sum, over all ways to cut it into pieces, of the products of their
+probabilities: a forward pass over its characters, in logarithms, so that no word is too long or too unlikely.
+A text's score in a language is the sum of its words' logarithms. Probabilities are learned by
+expectation-maximisation (forward-backward over the same cuts) from a bounded sample of labelled documents: about
+SAMPLE_DOCS of each language (fewer where there are more than SAMPLE_TOTAL / SAMPLE_DOCS languages), drawn by a hash from the
+different ones that can be used, whatever their length; their words are counted by executors. The model has a row of
+numbers for each piece and a column for each language, whatever the corpus's size; texts are scored whole, in Arrow
+batches, each different word of a batch once. The only shuffles are those of keys, to count and draw documents.
 """
 
 from __future__ import annotations
@@ -18,13 +20,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, words_of
+from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, whole_row, words_of
 
 SAMPLE_DOCS = 300
-MAX_PIECE = 10
-#: Longer words are cut into units of so many characters.
-UNIT = 64
+SAMPLE_TOTAL = 100_000
+#: Characters of words that one lattice is made of; a longer word has a lattice of its own.
+LATTICE_CHARS = 500_000
 UNKNOWN = 1e-7
 ROUNDS = 4
 #: Up to so many drawn keys are broadcast; more are joined by a shuffle.
@@ -41,7 +44,7 @@ def vocabulary(model_path: str) -> list[str]:
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     pieces = {sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
     mark = chr(_WORD_START)
-    return sorted(p for p in pieces if len(p) <= MAX_PIECE and p == p.lower() and (p == mark or p.removeprefix(mark).isalpha()))
+    return sorted(p for p in pieces if p == p.lower() and (p == mark or p.removeprefix(mark).isalpha()))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -67,76 +70,97 @@ class Pieces:
     def _hash(p: str) -> int:
         return sum((ord(c) + 1) * pow(_B, i, 1 << 64) for i, c in enumerate(p)) % (1 << 64)
 
-    def lattice(self, words: list[str]) -> Lattice:
-        return Lattice(self, words)
+    def lattices(self, words: list[str]) -> Iterator[tuple[int, Lattice]]:
+        """(number of the first word, lattice) of runs of words of about LATTICE_CHARS."""
+        if not words:
+            return
+        run = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words))) // LATTICE_CHARS
+        starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        for a, b in zip(starts.tolist(), np.r_[starts[1:], len(words)].tolist(), strict=True):
+            yield a, Lattice(self, words[a:b])
+
+
+class Edges:
+    """Edges in an order in which they are worked off: by steps, and within a step by the boundary that they add to."""
+
+    def __init__(self, step: np.ndarray, target: np.ndarray):
+        self.order = np.lexsort((target, step))
+        s, t = step[self.order], target[self.order]
+        heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, np.int64)
+        self.target, self.heads, self.sizes = t[heads], heads, np.diff(np.r_[heads, len(t)])
+        cut = np.flatnonzero(np.r_[True, s[heads][1:] != s[heads][:-1]]) if len(t) else heads
+        self.steps = list(zip(cut.tolist(), np.r_[cut[1:], len(heads)].tolist(), strict=True))
+        self.n = len(t)
+
+    def run(self, value: np.ndarray, source: np.ndarray, weight: np.ndarray, ids: np.ndarray) -> None:
+        """value at each target: the logarithm of the sum over its edges of exp(value at the source + weight of the id)."""
+        source, ids = source[self.order], ids[self.order]
+        for a, b in self.steps:
+            first, stop = int(self.heads[a]), int(self.heads[b]) if b < len(self.heads) else self.n
+            x = value[source[first:stop]] + weight[ids[first:stop]]
+            heads = self.heads[a:b] - first
+            top = np.maximum.reduceat(x, heads, axis=0)
+            x -= np.repeat(top, self.sizes[a:b], axis=0)
+            value[self.target[a:b]] = top + np.log(np.add.reduceat(np.exp(x, out=x), heads, axis=0))
 
 
 class Lattice:
-    """Words' units, and each place where a piece may stand, by its end within the unit."""
+    """Words' boundaries, and each place where a piece may stand between two of them."""
 
     def __init__(self, pieces: Pieces, words: list[str]):
         mark = chr(_WORD_START)
         cps = np.frombuffer("".join(mark + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        long = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
-        per_word = -(-long // UNIT)
-        self.word_of_unit = np.repeat(np.arange(len(words)), per_word)
-        k = np.arange(len(self.word_of_unit)) - np.repeat(np.cumsum(per_word) - per_word, per_word)
-        self.size = np.minimum(UNIT, long[self.word_of_unit] - k * UNIT)
-        starts = np.cumsum(self.size) - self.size
-        unit = np.repeat(np.arange(len(self.size)), self.size)
-        place = np.arange(len(cps)) - starts[unit]
-        left = self.size[unit] - place
-        self.first = starts + np.arange(len(self.size))  # of each unit's boundaries
-        self.last = self.first + self.size
-        self.n_words, self.n_bounds = len(words), int(len(cps) + len(self.size))
+        size = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        starts = np.cumsum(size) - size
+        word = np.repeat(np.arange(len(words)), size)
+        place = np.arange(len(cps)) - starts[word]
+        left = size[word] - place
+        self.first = starts + np.arange(len(words))  # of each word's boundaries
+        self.last = self.first + size
+        self.n_bounds = len(cps) + len(words)
         with np.errstate(over="ignore"):
             sums = np.concatenate([[np.uint64(0)], np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * _powers(_B, len(cps))[: len(cps)])])
             back = _powers(_B_INVERSE, len(cps))
-        at, ends, lengths, ids = [], [], [], []
+        at, lengths, ids = [], [], []
         for n in range(1, pieces.longest + 1):
             c = np.flatnonzero(left >= n)
             with np.errstate(over="ignore"):
                 h = (sums[c + n] - sums[c]) * back[c]
-            maybe = pieces.seen[(h >> np.uint64(44)).astype(np.int64)] if n > 1 else np.ones(len(c), bool)
-            c, h = c[maybe], h[maybe]
-            i = np.minimum(np.searchsorted(pieces.hashes, h), pieces.n - 1)
-            known = pieces.hashes[i] == h
-            piece = np.where(known, pieces.number[i], pieces.n).astype(np.int32)
+            if n > 1:
+                maybe = pieces.seen[(h >> np.uint64(44)).astype(np.int64)]
+                c, h = c[maybe], h[maybe]
+            i = np.minimum(np.searchsorted(pieces.hashes, h), max(0, pieces.n - 1))
+            known = pieces.hashes[i] == h if pieces.n else np.zeros(len(h), bool)
+            piece = np.full(len(c), pieces.n, np.int32)
+            piece[known] = pieces.number[i[known]]
             if n > 1:
                 c, piece = c[known], piece[known]
-            at.append((c + unit[c]).astype(np.int32))
-            ends.append((place[c] + n).astype(np.int32))
+            at.append(c)
             lengths.append(np.full(len(c), n, np.int32))
             ids.append(piece)
-        at, ends, lengths, ids = (np.concatenate(x) for x in (at, ends, lengths, ids))
-        order = np.lexsort((lengths, ends))
-        self.at, self.ids, self.to = at[order], ids[order], (at + lengths)[order]
-        key = ends[order].astype(np.int64) * 64 + lengths[order]
-        cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        self.groups = list(zip(cut.tolist(), np.r_[cut[1:], len(key)].tolist(), strict=True))
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        alpha = np.zeros((self.n_bounds, p.shape[1]))
-        alpha[self.first] = 1
-        for a, b in self.groups:  # within a group, ends differ
-            alpha[self.to[a:b]] += alpha[self.at[a:b]] * p[self.ids[a:b]]
+        at, lengths, self.ids = (np.concatenate(x) for x in (at, lengths, ids))
+        self.word, self.start = word[at], place[at]
+        self.at = at + self.word
+        self.to = self.at + lengths
+        self.forth = Edges(self.start + lengths, self.to)
+
+    def forward(self, logp: np.ndarray) -> np.ndarray:
+        alpha = np.zeros((self.n_bounds, logp.shape[1]))
+        self.forth.run(alpha, self.at, logp, self.ids)
         return alpha
 
-    def log_likelihood(self, p: np.ndarray) -> np.ndarray:
+    def log_likelihood(self, logp: np.ndarray) -> np.ndarray:
         """For each word and language."""
-        out = np.zeros((self.n_words, p.shape[1]))
-        np.add.at(out, self.word_of_unit, np.log(self.forward(p)[self.last]))
-        return out
+        return self.forward(logp)[self.last]
 
-    def expected(self, p: np.ndarray, times: np.ndarray) -> np.ndarray:
+    def expected(self, logp: np.ndarray, times: np.ndarray) -> np.ndarray:
         """How often each piece is used, for words that occur so many times in each language."""
-        alpha, beta = self.forward(p), np.zeros((self.n_bounds, p.shape[1]))
-        beta[self.last] = times[self.word_of_unit] / alpha[self.last]
-        used = np.zeros_like(p)
-        for a, b in reversed(self.groups):
-            step = beta[self.to[a:b]] * p[self.ids[a:b]]
-            beta[self.at[a:b]] += step
-            np.add.at(used, self.ids[a:b], alpha[self.at[a:b]] * step)
+        alpha, beta = self.forward(logp), np.zeros((self.n_bounds, logp.shape[1]))
+        Edges(-self.start, self.at).run(beta, self.to, logp, self.ids)
+        used = np.zeros_like(logp)
+        for k in range(logp.shape[1]):
+            share = np.exp(alpha[self.at, k] + logp[self.ids, k] + beta[self.to, k] - alpha[self.last, k][self.word])
+            used[:, k] = np.bincount(self.ids, weights=share * times[self.word, k], minlength=len(used))
         return used
 
 
@@ -153,9 +177,9 @@ def fit(words: list[str], times: np.ndarray, pieces: list[str], rounds: int = RO
     p = np.full((len(pieces) + 1, n), 1 / (len(pieces) + 1))
     p[-1] = UNKNOWN
     for _ in range(rounds):
-        used = np.zeros_like(p)
-        for a in range(0, len(words), 20_000):
-            used += table.lattice(words[a : a + 20_000]).expected(p, times[a : a + 20_000])
+        used, logp = np.zeros_like(p), np.log(p)
+        for a, lattice in table.lattices(words):
+            used += lattice.expected(logp, times[a : a + len(lattice.last)])
         p = (used + 0.02) / (used[:-1].sum(axis=0) + 0.02 * len(pieces))
         p[-1] = UNKNOWN
     return p
@@ -172,19 +196,26 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([langs.take(pa.array(key // max(1, len(words)))), word, pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
 
 
-def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
-    """(languages, pieces, probabilities), from documents that aren't held out, have a language and a letter."""
+def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
+    """(languages, pieces, probabilities), from documents that aren't held out, have a language and a letter.
+
+    Rows that repeat an id, language and text count once. Of each language about sample_docs rows are drawn, of all languages
+    about sample_total, but one row of each language at least is expected. A null id can be drawn. Columns other than the three named are ignored.
+    """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("doc_id", "text", F.lit(8)).alias("key"))
     # Keys are drawn without their texts; then the few drawn go to the texts, not the texts to a shuffle.
-    usable = materialize(rows.select("lang", "key"), "usable")
-    counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    draw = F.pmod("key", F.lit(1 << 30)) * F.col("n") < F.lit(sample_docs << 30)
-    drawn = materialize(usable.join(counts, "lang").filter(draw).select("lang", "key").distinct(), "drawn")
+    usable = materialize(rows.select("lang", "key").distinct(), "usable")
+    counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.pmod("key", F.lit(1 << 30))).alias("least")), "languages")
+    quota = max(1, min(sample_docs, sample_total // max(1, counts.count())))
+    place = F.pmod("key", F.lit(1 << 30))
+    draw = (place * F.col("n") < F.lit(quota << 30)) | (place == F.col("least"))  # so each language has a row at least
+    drawn = materialize(usable.join(counts, "lang").filter(draw).select("lang", "key"), "drawn")
     if drawn.count() <= BROADCAST_IDS:
         drawn = F.broadcast(drawn)
-    counted = rows.join(drawn, ["lang", "key"]).select("lang", "text").mapInArrow(tidied(_count_words), "lang string, word string, n long")
+    sample = rows.join(drawn, ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "text")
+    counted = sample.mapInArrow(tidied(_count_words), "lang string, word string, n long")
     t = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
     names = sorted(set(t["lang"].to_pylist()))
     words = sorted(set(t["word"].to_pylist()))
@@ -194,22 +225,27 @@ def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, i
     return names, pieces, fit(words, times, pieces)
 
 
-def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each row of docs: doc_id, lang_pred, score (the language's probability, 0 for und), and the columns named in keep.
+def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
+    """A row for each row of docs: doc_id, lang_pred, score (the language's probability, 0 for und), and with_row the whole row as a struct, row.
 
-    und if the text is null or has no letter, or if the model has no language. Ties go to the first language by name.
+    und if the text is null or has no letter, or if the model has no language. Ties go to the first language by name. Rows that repeat
+    an id are told each by its own text, null ids as others. Other columns are ignored, whatever their names. A text is scored
+    whole; one of many megabytes without a space takes about 20 seconds for each million letters.
     """
     spark = docs.sparkSession
     ship(spark)
     names, pieces, p = model
-    shared = spark.sparkContext.broadcast((names, Pieces(pieces), p))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
-    rows = rows.withColumns({"letters": F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)), "lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    rows = rows.withColumn("lang_pred", F.col("lang_pred").cast("string"))
-    schema = rows.schema
+    shared = spark.sparkContext.broadcast((names, Pieces(pieces), np.log(p)))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), F.lit(None).cast("string").alias("lang_pred"), F.lit(0.0).alias("score"),
+        *([whole_row(docs).alias("row")] if with_row else []), text.alias("text"),
+    )
+    # The last column, the text, isn't sent back.
+    out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields[:-1]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, table, p = shared.value
+        names, table, logp = shared.value
         labels = np.array([*names, "und"], object)
         for batch in batches:
             for b in slices(batch, "text", 4 << 20):
@@ -217,8 +253,8 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
                 if names:
                     codes, words, bounds = words_and_counts(b.column("text"))
                     of_word = np.zeros((len(words) + 1, len(names)))
-                    for a in range(0, len(words), 20_000):
-                        of_word[a : a + 20_000][: len(words) - a] = table.lattice(words[a : a + 20_000]).log_likelihood(p)
+                    for a, lattice in table.lattices(words):
+                        of_word[a : a + len(lattice.last)] = lattice.log_likelihood(logp)
                     total = np.add.reduceat(of_word[np.r_[codes, len(words)]], np.minimum(bounds[:-1], len(codes)), axis=0)
                     total[np.diff(bounds) == 0] = 0
                     share = np.exp(total - total.max(axis=1, keepdims=True))
@@ -227,9 +263,10 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
                     best[letters] = share.argmax(axis=1)[letters]
                     score[letters] = share.max(axis=1)[letters]
                 put = {"lang_pred": pa.array(labels[best].tolist(), pa.string()), "score": pa.array(score)}
-                yield pa.RecordBatch.from_arrays([put.get(f.name, b.column(f.name)) for f in b.schema], names=b.schema.names)
+                sent = b.schema.names[:-1]
+                yield pa.RecordBatch.from_arrays([put.get(c, b.column(c)) for c in sent], names=sent)
 
-    return rows.mapInArrow(tidied(run), schema).drop("text", "letters")
+    return rows.mapInArrow(tidied(run), out_schema).drop("letters")
 
 
 def language_report(docs: DataFrame, model_path: str, **kw) -> DataFrame:

@@ -67,6 +67,16 @@ def test_warc_min_bytes_null_ids_and_damage(spark, tmp_path):
         warc.read_records(spark, f"file://{tmp_path}/bad").collect()
 
 
+def test_warc_line_ends_and_look_alikes_in_urls(spark):
+    """Only CRLF ends a header's line; odd columns are ignored; long payloads come back whole."""
+    urls = ["http://a\u0085b", "http://a\u2028WARC-Payload-Digest: sha1:BAD", "x\u2029WARC-Type: revisit", "y WARC-Record-ID: <urn:page:77>", "z\nWARC-Type: revisit\r\nContent-Length: 1"]
+    rows = [(i, u, ("long " * 900_000) if i == 0 else f"p{i}\u2028WARC-Type: revisit", "clash", "clash") for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, address string, payload string")
+    got = {r.page_id: r for r in warc.archive_round_trip(pages).collect()}
+    assert {i: r.url for i, r in got.items()} == {i: u.replace("\n", "").replace("\r", "") for i, u in enumerate(urls)}
+    assert all(r.record_type == "response" and r.refers_to is None for r in got.values()) and got[0].payload_bytes == 4_500_000
+
+
 def test_warc_empty(spark):
     assert warc.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -220,6 +230,22 @@ def test_mix(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
 
 
+def test_mix_repeats_of_one_row(spark):
+    """One id and text in most rows: a key of its own, written out in parts; each row gets its share of one target."""
+    rows = [(7, "a b c", "en", "s", 1)] * 1000 + [(None, f"d e {i}", "en", "s", 1) for i in range(300)] + [(1, "f g", "en", "t", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(docs, bucket_rows=50, same_rows=64).collect()
+    assert len(got) == len(rows)
+    assert abs(sum(r.taken for r in got if r.source_size == 3900) - next(r.target for r in got if r.source_size == 3900)) <= 1
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.mix(docs).collect()), key=str)
+
+
+def test_words_of_spaced_text(spark):
+    texts = ["", " ", "a", " a  b", "a   b\n\n\n\n\n c", "\t" * 9 + "x" + " " * 40 + "y" + "\x0b", "é\u00a0e"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.n_words(F.col("text"))).collect()]
+    assert got == [0, 0, 1, 2, 3, 2, 1]
+
+
 def test_mix_odd(spark, odd, empty):
     assert mixing.mix(odd).count() == len(ODD)
     assert mixing.mix(empty).count() == 0
@@ -297,11 +323,107 @@ def test_language_forward_sums_all_cuts():
         return total[-1]
 
     words = ["ab", "a", "abab", "xba", "", "b" * 70]
-    got = table.lattice(words).log_likelihood(p)[:, 0]
-    for w, g in zip(words[:5], got, strict=False):
+    got = [x for _, lattice in table.lattices(words) for x in lattice.log_likelihood(np.log(p))[:, 0]]
+    for w, g in zip(words, got, strict=True):
         assert g == pytest.approx(np.log(brute("▁" + w)))
 
 
+def plain_log_word(word, pieces, logp):
+    """The logarithm of the sum over all cuts, one character after the other, in logarithms."""
+    w, number = "▁" + word, {p: i for i, p in enumerate(pieces)}
+    upto = [0.0]
+    for j in range(1, len(w) + 1):
+        ways = [upto[i] + logp[number[w[i:j]]] for i in range(max(0, j - 40), j) if w[i:j] in number]
+        if w[j - 1] not in number:
+            ways.append(upto[j - 1] + logp[-1])
+        top = max(ways)
+        upto.append(top + np.log(sum(np.exp(x - top) for x in ways)))
+    return upto[-1]
+
+
+def test_language_long_words_are_scored_whole():
+    """200 letters, unseen letters, and pieces longer than any limit, against the plain sum; sizes of lattices don't matter."""
+    rng = random.Random(4)
+    pieces = sorted({"▁", "a", "b", "ab", "ba", "aab", "▁ab", "abababababababab"})
+    p = np.array([[rng.random() * 1e-3, rng.random()] for _ in [*pieces, None]])
+    p[-1] = langid.UNKNOWN
+    table = langid.Pieces(pieces)
+    words = ["".join(rng.choice("ab") for _ in range(200)), "漢字" * 300, "ab" * 5000, "x", "ab" * 8]
+    for chars in (5, 1000, langid.LATTICE_CHARS):
+        langid.LATTICE_CHARS, before = chars, langid.LATTICE_CHARS
+        try:
+            got = np.concatenate([lattice.log_likelihood(np.log(p)) for _, lattice in table.lattices(words)])
+        finally:
+            langid.LATTICE_CHARS = before
+        for k in (0, 1):
+            assert got[:, k] == pytest.approx([plain_log_word(w, pieces, np.log(p[:, k])) for w in words])
+
+
+def test_language_expected_counts():
+    """Forward-backward counts: by enumeration of all cuts, and for a long word the pieces' letters add up to the word's."""
+    pieces = ["▁", "▁a", "a", "ab", "b"]
+    table, p = langid.Pieces(pieces), np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [langid.UNKNOWN]])
+
+    def cuts(w):
+        if not w:
+            yield ()
+        for i in range(1, len(w) + 1):
+            if w[:i] in pieces:
+                yield from ((pieces.index(w[:i]), *rest) for rest in cuts(w[i:]))
+
+    ways = list(cuts("▁abab"))
+    weight = np.array([np.prod([p[k, 0] for k in w]) for w in ways])
+    want = np.array([sum(x * w.count(k) for x, w in zip(weight, ways, strict=True)) for k in range(6)]) / weight.sum()
+    (_, lattice), = table.lattices(["abab"])
+    assert lattice.expected(np.log(p), np.array([[3.0]]))[:, 0] == pytest.approx(3 * want)
+    (_, lattice), = table.lattices(["漢" * 400 + "ab" * 400])
+    used = lattice.expected(np.log(p), np.array([[1.0]]))[:, 0]
+    assert np.isfinite(used).all() and used @ np.array([1, 2, 1, 2, 1, 1]) == pytest.approx(1201)
+
+
+def test_language_outliers_do_no_harm(spark):
+    """A labelled document of an unseen script or of random letters leaves all else as it was; scores stay within 0 and 1."""
+    words = {"en": "the house and water of night that where", "fr": "la maison et le jardin de nuit que"}
+    rng = random.Random(9)
+    say = lambda lang: " ".join(rng.choice(words[lang].split()) for _ in range(40))
+    rows = [(i, say("en" if i % 2 else "fr"), "en" if i % 2 else "fr", "s", 0) for i in range(60)]
+    rows += [(100 + i, t, "en", "s", 0) for i, t in enumerate(["漢字" * 30, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200)), "ܐܒ" * 5000])]
+    got = {r.doc_id: r for r in langid.language_report(spark.createDataFrame(rows, DOCS), tokenizer_path("piece_bpe_32k.model")).collect()}
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert all(got[i].lang_pred == ("en" if i % 2 else "fr") for i in range(60))
+
+
+def test_language_query_against_a_plain_version(spark, tmp_path):
+    """The query's predictions and scores, from the model that it learns, by the plain sum of each word."""
+    import re
+
+    from pricewright.llm import q_langid
+
+    rng = random.Random(6)
+    words = {"en": "the house and water of night that where", "de": "das haus und wasser der nacht dass wo"}
+    rows = [(i, " ".join(rng.choice(words["en" if i % 2 else "de"].split()) for _ in range(rng.randrange(1, 9))), "en" if i % 2 else "de", "s", 0) for i in range(80)]
+    rows += [(200, None, "en", "s", 0), (201, "12 34", "de", "s", 0), (202, "Ünïcode漢" * 60, None, "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    names, pieces, p = langid.train(docs, tokenizer_path("piece_bpe_32k.model"))
+    logp = np.log(p)
+    got = {r.doc_id: r for r in q_langid.QUERIES["op8_language_id"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and {got[200].lang_pred, got[201].lang_pred} == {"und"}
+    for i, text, *_ in rows:
+        ws = [w.lower() for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
+        if ws:
+            total = np.array([sum(plain_log_word(w, pieces, logp[:, k]) for w in ws) for k in range(len(names))])
+            share = np.exp(total - total.max())
+            assert got[i].lang_pred == names[int(total.argmax())] and got[i].score == pytest.approx((share / share.sum()).max(), abs=1e-6)
+
+
+def test_language_sample_is_bounded_in_rows(spark):
+    """Repeats of a row count once; many labels share the total; each has a row at least."""
+    rows = [(1, "the house", "en", "s", 0)] * 3000 + [(2 + i, f"maison nuit {i}", f"l{i % 50}", "s", 0) for i in range(2000)]
+    names, _, _ = langid.train(spark.createDataFrame(rows, DOCS), tokenizer_path("piece_bpe_32k.model"), sample_total=100)
+    assert len(names) in (50, 51) and "l0" in names
+
+
 def test_language_odd(spark, odd, empty):
     rows = langid.language_report(odd, tokenizer_path("piece_bpe_32k.model")).collect()
     assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
@@ -320,8 +442,8 @@ def test_language_of_long_texts_is_learned(spark):
     assert min(len(t) for _, t, lang, _, _ in rows if lang == "bb") > 20_000
     model = langid.train(docs, tokenizer_path("piece_bpe_32k.model"), sample_docs=20)
     assert model[0] == ["aa", "bb", "cc"]
-    got = langid.identify(docs.filter("text rlike '[a-z]'"), model, keep=("lang",)).collect()
-    assert all(r.lang_pred == r.lang for r in got)
+    got = langid.identify(docs.filter("text rlike '[a-z]'").withColumn("score", F.lit("x")), model, with_row=True).collect()
+    assert all(r.lang_pred == r.row.lang and r.row.score == "x" for r in got)
 
 
 # Contamination.
