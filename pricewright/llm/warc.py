@@ -47,7 +47,8 @@ def write_archive(pages: DataFrame, path: str, *, min_bytes: int = 0, id_col: st
     Of records with equal payloads of at least min_bytes, that with the smallest id is a response and the others
     revisit it; smaller ones are all responses. A null payload counts as empty and a null url as about:blank;
     line ends within a url are dropped. Rows that repeat the smallest id are responses as well. A null id gets
-    the record id <urn:page:none>; it revisits the smallest id there is, else it is a response.
+    the record id <urn:page:none>; it revisits the smallest id there is, else it is a response. Other columns are
+    ignored, whatever their names. A payload is held whole by the task that works on it.
     """
     payload = F.coalesce(F.encode(F.col(payload_col).cast("string"), "UTF-8"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.regexp_replace(F.col(url_col).cast("string"), "[\r\n]+", ""), F.lit("about:blank")).alias("url"), payload.alias("payload")).withColumn("address", F.sha2("payload", 256))
@@ -96,7 +97,8 @@ def parse_records(records: DataFrame) -> DataFrame:
     """
     text = F.col("record").cast("string")  # bytes stay as they are
     r = records.select("record", F.substring_index(text, CRLF + CRLF, 1).alias("warc"), F.substring_index(F.substring_index(text, CRLF + CRLF, 2), CRLF + CRLF, -1).alias("http"))
-    got = lambda name, of="warc": F.regexp_extract(F.col(of), rf"(?m)^{name}: (.*?)\r?$", 1)
+    # Only CRLF ends a line: other line ends (U+0085, U+2028, U+2029) may stand in a url.
+    got = lambda name, of="warc": F.regexp_extract(F.col(of), rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
     number = lambda s: F.regexp_extract(s, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     start = F.octet_length("warc") + F.octet_length("http") + 8
     r = r.select(
