@@ -6,12 +6,14 @@ above. That fixed point is found at once: in ascending order of cap * size / wei
 (what is left / the weight left) exceeds that ratio, and the others get level * weight.
 
 A source's target consists of complete epochs (each of its documents once) and a rest smaller than its size, filled by a
-sample: each document gets the key -ln(u) / w, with u from a hash of its id and w its quality weight, and documents are taken
-in ascending order of keys until their sizes reach the rest; of the document there, only the words still missing are taken.
-
-A source may hold a third of all rows, so no window spans a source: keys are dealt into ranges (BUCKET_ROWS rows or so each in
-the largest source), range totals are prefix-summed, and only the ranges' own rows are sorted. Text is read once: ids, sizes
-and weights are written to the shared folder first.
+sample: each document gets the key -ln(u) / w, with u from a hash of its id and text and w its quality weight, and documents are
+taken in ascending order of keys until their sizes reach the rest; of the document there, only the words still missing are taken.
+
+A source may hold a third of all rows, so no window spans a source: keys are dealt into ranges of about BUCKET_ROWS rows, range
+totals are prefix-summed, and only the ranges' own rows are sorted. Rows that repeat id and text have one key; they are counted before
+that, and written out again at the end in parts of SAME_ROWS. Text is read once: ids, sizes and weights are written to the
+shared folder first. What stays in one task is a table of a row for each source (some ten millions are fine), and for each source the
+totals of its ranges (MAX_RANGES for each unit of the keys' logarithm at most).
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
+MAX_RANGES = 1 << 14
+SAME_ROWS = 100_000
 WORDS = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 CAP = 3
@@ -30,7 +34,10 @@ CAP = 3
 def n_words(text: Column) -> Column:
     """How many runs of other than ASCII white space a text has; null has none."""
     t = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
-    one = F.regexp_replace(t, " +", " ")
+    few = t
+    for _ in range(2):  # most texts have only short runs of white space, which need no pattern
+        few = F.replace(few, F.lit("  "), F.lit(" "))
+    one = F.when(few.contains("  "), F.regexp_replace(few, " +", " ")).otherwise(few)
     return F.when(t == "", F.lit(0)).otherwise(F.length(one) - F.length(F.replace(one, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
@@ -40,9 +47,10 @@ def quality_weight(text: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.lit(20.0) * (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))) / F.greatest(F.length(t), F.lit(1)))
 
 
-def uniform(id_: Column) -> Column:
-    """A number in (0, 1) from the md5 of the id as text; a null id counts as 'null'."""
-    h = F.conv(F.substring(F.md5(F.coalesce(id_.cast("string"), F.lit("null")).cast("binary")), 1, 13), 16, 10).cast("long")
+def uniform(id_: Column, text: Column) -> Column:
+    """A number in (0, 1) from the md5 of the id as text, a colon and the text; a null id counts as 'null', a null text as empty."""
+    whole = F.concat(F.coalesce(id_.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit("")))
+    h = F.conv(F.substring(F.md5(whole.cast("binary")), 1, 13), 16, 10).cast("long")
     return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
@@ -63,35 +71,44 @@ def source_targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     return s.select("source", "rows", "source_size", "weight", F.least(limit, F.coalesce(F.col("level") * F.col("weight"), limit)).alias("target"))
 
 
-def mix(docs: DataFrame, *, cap: int = CAP, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """A row for each row of docs: doc_id, size, source_size, target, taken (words that the mix takes, repeats counted).
+def mix(docs: DataFrame, *, cap: int = CAP, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", bucket_rows: int = BUCKET_ROWS, same_rows: int = SAME_ROWS, with_hash: bool = False) -> DataFrame:
+    """A row for each row of docs: doc_id, size, source_size, target, taken (words that the mix takes, repeats counted); with_hash also text_hash (xxhash64 of the text).
 
     The null source is a source of its own. Null and empty texts have size 0 and are taken 0 times; a mix without words has targets 0.
-    Rows that repeat an id count each on its own and come one after the other in the sample, the smaller first. Reruns agree.
+    Rows that repeat an id count each on its own; those that repeat its text as well come one after the other in the sample.
+    Other columns are ignored, whatever their names. Reruns agree.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), (-F.log(uniform(F.col("doc_id"))) / quality_weight(F.col("text"))).alias("key"))
-    rows = materialize(rows, "mix")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), text.alias("text"))
+    key = -F.log(uniform(F.col("doc_id"), F.col("text"))) / quality_weight(F.col("text"))
+    rows = materialize(rows.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), n_words(F.col("text")).alias("size"), key.alias("key")), "mix")
     targets = source_targets(rows, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     targets = targets.withColumn("epochs", epochs).withColumn("rest", F.round(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size"))
     targets = materialize(targets, "targets").withColumnRenamed("source", "of")
 
     largest = targets.agg(F.max("rows")).first()[0] or 0
-    ranges = max(1, -(-largest // bucket_rows))
-    # Whatever the weights' scale, a range of the key's logarithm holds at most 0.37 / ranges of the rows of one weight.
+    ranges = max(1, min(MAX_RANGES, -(-largest // bucket_rows)))
+    # Whatever the weights' scale, a range of the key's logarithm holds at most 0.37 / ranges of the different rows of one weight.
     range_ = F.floor(F.log("key") * ranges).cast("long")
-    rows = rows.withColumn("range", range_)
-    totals = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    rows = rows.groupBy("doc_id", "source", "text_hash", "size", "key").agg(F.count("*").alias("same")).withColumn("range", range_)
+    totals = rows.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("same")).alias("range_size"))
     before = F.coalesce(F.sum("range_size").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     totals = totals.select(F.col("source").alias("in_source"), F.col("range").alias("in_range"), before.alias("before"))
     totals = totals.join(targets, F.col("in_source").eqNullSafe(F.col("of"))).select("in_source", "in_range", "before", "source_size", "target", "epochs", "rest")
 
-    w = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("within", F.coalesce(F.sum("size").over(w), F.lit(0).cast("long")))
+    w = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("within", F.coalesce(F.sum(F.col("size") * F.col("same")).over(w), F.lit(0).cast("long")))
     rows = rows.join(totals, F.col("source").eqNullSafe(F.col("in_source")) & (F.col("range") == F.col("in_range")))
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - F.col("before") - F.col("within")))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
+    rows = materialize(rows.withColumn("left", F.col("rest") - F.col("before") - F.col("within")).select("doc_id", "text_hash", "size", "source_size", "target", "epochs", "left", "same"), "ranked")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    few = rows.filter(F.col("same") <= same_rows).withColumn("nth", F.explode(F.sequence(zero, F.col("same") - 1)))
+    many = rows.filter(F.col("same") > same_rows).withColumn("first", F.explode(F.sequence(zero, F.col("same") - 1, F.lit(same_rows).cast("long"))))
+    if not many.isEmpty():
+        many = many.repartition("doc_id", "text_hash", "first").withColumn("nth", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + same_rows, F.col("same")) - one)))
+        few = few.unionByName(many.drop("first"))
+    part = F.greatest(zero, F.least(F.col("size"), F.col("left") - F.col("nth") * F.col("size")))
+    return few.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), *(["text_hash"] if with_hash else []))
 
 
 def copies(taken: Column, size: Column) -> Column:

@@ -14,7 +14,7 @@ QUERIES = {"op6_mix_sources": op6_mix_sources}
 SQL = {
     "op6_mix_sources": """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-  -ln(((('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)
+  -ln(((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)
   / (1.0::DOUBLE / (1.0::DOUBLE + 20.0::DOUBLE * (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g'))) / greatest(length(coalesce(text, '')), 1))) AS key FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s0),
