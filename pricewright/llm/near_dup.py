@@ -19,6 +19,7 @@ Links and components stay in tables in the shared folder; nothing of them comes
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ BITS = 4
 LANES = 64 // BITS
 #: Estimates this far below the threshold are dropped: 6 standard deviations at K minima.
 MARGIN = 0.2
+#: Tasks that a component's members are dealt over when they learn its smallest id.
+SALTS = 32
 _SEED = 0x9E3779B97F4A7C15
 
 _MULTIPLIERS = (mix64(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(_SEED >> 1)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -81,7 +84,7 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return key
 
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("nid", pa.int64()), ("low", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("nid", pa.int64()), ("low", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
 
 
 def _nid(own: np.ndarray) -> int:
@@ -96,7 +99,7 @@ def _lists(x: np.ndarray, full: np.ndarray) -> pa.Array:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, nid (the set's digest; null for an empty set), low (packed minima), bands."""
+    """doc_id, text_hash, n_shingles, nid (the set's digest; null for an empty set), low (packed minima), bands."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,9 +110,11 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 full = n > 0
                 m = np.array([minima(s) for s in sets if len(s)], np.uint32).reshape(-1, K)
                 nid = pa.array([_nid(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), nid, _lists(packed(m), full), _lists(band_keys(m), full)], schema=_PRINTS)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n), nid, _lists(packed(m), full), _lists(band_keys(m), full)], schema=_PRINTS)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidied(run), "doc_id long, n_shingles long, nid long, low array<long>, bands array<long>")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(tidied(run), "doc_id long, text_hash long, n_shingles long, nid long, low array<long>, bands array<long>")
 
 
 _SETS = pa.schema([("nid", pa.int64()), ("own", pa.list_(pa.int64()))])
@@ -197,6 +202,8 @@ class _Confirm:
 
         Shingles are put in one order, from the rarest. Sets that reach it share one of their first n - ceil(t n / 100) + 1 shingles, and
         from the first common one on both have enough left; for a set with many shingles of its own, neither holds with anything.
+        Pairs are joined on (shingle, size class), where sizes that differ too much never meet; of a shingle that is frequent in
+        one class Spark's skew join splits the rows, since the pairs are dealt anew afterwards.
         """
         t = self.t
         all_ = sets.select("nid", F.size("own").cast("long").alias("n"), F.explode("own").alias("s"))
@@ -204,20 +211,24 @@ class _Confirm:
         place = F.row_number().over(Window.partitionBy("nid").orderBy("often", "s"))
         first = all_.join(often, "s").withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t / 100) + 1)
         first = materialize(first.select("nid", "n", "s", "place"), "prefixes")
-        side = lambda own, k: own.join(first, "nid").select(F.col("nid").alias(f"{k}"), F.col("comp").alias(f"c{k}"), F.col("n").alias(f"n{k}"), F.col("place").alias(f"p{k}"), "s")
+        class_ = F.floor(F.log("n") / math.log(100 / t) + 1e-9) if t < 100 else F.col("n")  # sizes that fit are in classes next to each other
+        side = lambda own, k: own.join(first, "nid").select(F.col("nid").alias(f"{k}"), F.col("comp").alias(f"c{k}"), F.col("n").alias(f"n{k}"), F.col("place").alias(f"p{k}"), F.col("s").alias(f"s{k}"), class_.alias(f"g{k}"))
         left = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) + 1
         fits = (100 * F.least("nx", "ny") >= t * F.greatest("nx", "ny")) & ((100 + t) * left >= t * (F.col("nx") + F.col("ny")))
-        p = side(x, "x").withColumnRenamed("s", "sx").join(side(y, "y"), (F.col("sx") == F.col("s")) & (F.col("cx") != F.col("cy")) & fits)
+        near = side(y, "y").withColumn("gy", F.explode(F.array(F.col("gy") - 1, F.col("gy"), F.col("gy") + 1)))
+        p = side(x, "x").join(near, (F.col("sx") == F.col("sy")) & (F.col("gx") == F.col("gy")) & (F.col("cx") != F.col("cy")) & fits)
         return _pairs(p)
 
 
-def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row of docs: doc_id, n_shingles, component_id, kept (doc_id = component_id).
+def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text", with_group: bool = False) -> DataFrame:
+    """A row for each row of docs: doc_id, n_shingles, component_id, kept (doc_id = component_id); with_group also
+    group (the component's label, null for an empty set) and text_hash (xxhash64 of the text).
 
     Documents whose sets have 100 * intersection >= threshold * union are linked; component_id is the smallest doc_id
     that links lead to. A null text or one without words has the empty set, is linked with nothing and is kept. Rows that
     repeat an id with different texts are linked each by its own text; rows with a null id count as copies but never name a component
-    (component_id is null if all ids of it are null; such rows are kept).
+    (component_id is null if all ids of it are null; such rows are kept). Ids are cast to long: one that isn't a whole number fails
+    under ANSI mode. Other columns are ignored, whatever their names.
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "prints")
     full = prints.filter(F.col("nid").isNotNull())
@@ -243,9 +254,13 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_
     if not more.isEmpty():
         comps = materialize(connected(edges.union(more)), "labels")
 
-    named = nodes.select("nid", "first_id").join(comps, "nid", "left").select("nid", "first_id", F.coalesce("comp", "nid").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    of = materialize(named.join(least, "comp").select("nid", "component_id"), "of")
-    out = prints.select("doc_id", "n_shingles", "nid").join(of, "nid", "left")
-    component = F.when(F.col("nid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    named = materialize(nodes.select("nid", "first_id").join(comps, "nid", "left"), "named")
+    # Members of a large component are dealt over SALTS tasks; nodes without links, and rows without a set, need no join.
+    own = named.filter(F.col("comp").isNotNull()).withColumn("salt", F.pmod("nid", F.lit(SALTS)))
+    least = own.groupBy("comp").agg(F.min("first_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    of = own.join(least, ["comp", "salt"]).select("nid", F.col("comp").alias("group"), "component_id")
+    of = materialize(of.unionByName(named.filter(F.col("comp").isNull()).select("nid", F.col("nid").alias("group"), F.col("first_id").alias("component_id"))), "of")
+    out = prints.filter(F.col("nid").isNotNull()).select("doc_id", "text_hash", "n_shingles", "nid").join(of, "nid").drop("nid")
+    none = prints.filter(F.col("nid").isNull()).select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component_id"))
+    out = out.unionByName(none).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", *(["group", "text_hash"] if with_group else []))
