@@ -15,16 +15,19 @@ QUERIES = {"op5_quality_rules": op5_quality_rules}
 def _sql() -> str:
     split = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
     least = lambda b: f"(({b} - greatest({b} // 32 - 1, 0) * 32)::BIGINT << greatest({b} // 32 - 1, 0)::INT)"
+    tail = "CASE measure " + " ".join(f"WHEN '{m}' THEN {t}" for m, (t, _) in MEASURES.items()) + " END"
     levels = {0: ["lang", "source"], 1: ["lang"], 2: []}
     ctes, joins = [], ""
     for i, keys in levels.items():
         k = ", ".join([*keys, "measure"])
-        fence = ", ".join(f"max(CASE WHEN measure = '{m}' THEN q3 + greatest({SPREAD} * (q3 - q1), {margin}) END) AS {m}_hi, " + (f"max(CASE WHEN measure = '{m}' THEN q1 - greatest({SPREAD} * (q3 - q1), {margin}) END)" if both else "NULL::BIGINT") + f" AS {m}_lo" for m, (margin, both) in MEASURES.items())
+        reach = f"{SPREAD} * (q3 - q1)"
+        fence = ", ".join(f"max(CASE WHEN measure = '{m}' THEN greatest(q3 + {reach}, high) END) AS {m}_hi, " + (f"max(CASE WHEN measure = '{m}' THEN least(q1 - {reach}, low) END)" if both else "NULL::BIGINT") + f" AS {m}_lo" for m, (_, both) in MEASURES.items())
         ctes.append(f"""
 m{i} AS (SELECT {k}, bucket, sum(n) AS n FROM sk GROUP BY ALL),
 u{i} AS (SELECT *, sum(n) OVER (PARTITION BY {k} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {k}) AS docs FROM m{i}),
-b{i} AS (SELECT {k}, max(docs) AS docs, min(CASE WHEN 4 * upto >= docs THEN bucket END) AS b1, min(CASE WHEN 4 * upto >= 3 * docs THEN bucket END) AS b3 FROM u{i} GROUP BY ALL),
-q{i} AS (SELECT *, {least("b1")} AS q1, {least("b3")} AS q3 FROM b{i}),
+b{i} AS (SELECT {k}, max(docs) AS docs, min(CASE WHEN 100 * upto >= 25 * docs THEN bucket END) AS b1, min(CASE WHEN 100 * upto >= 75 * docs THEN bucket END) AS b3,
+  min(CASE WHEN 100 * upto >= {tail} * docs THEN bucket END) AS bl, min(CASE WHEN 100 * upto >= (100 - {tail}) * docs THEN bucket END) AS bh FROM u{i} GROUP BY ALL),
+q{i} AS (SELECT *, {least("b1")} AS q1, {least("b3")} AS q3, {least("bl")} AS low, {least("(bh + 1)")} - 1 AS high FROM b{i}),
 f{i} AS (SELECT {"".join(x + ", " for x in keys)}max(docs) AS docs, {fence} FROM q{i} {"GROUP BY " + ", ".join(keys) if keys else ""})""")
         joins += f" LEFT JOIN f{i} ON " + (" AND ".join(f"r.{x} IS NOT DISTINCT FROM f{i}.{x}" for x in keys) or "true")
     pick = lambda c: f"CASE WHEN f0.docs >= {MIN_GROUP} THEN f0.{c} WHEN f1.docs >= {MIN_GROUP} THEN f1.{c} ELSE f2.{c} END"

@@ -3,7 +3,10 @@
 One pass over the texts measures each document; the measures (a few numbers a row) go to the shared folder. Documents that
 pass the base rules feed sketches: counts of values in buckets of about 3 % width (the high bits of an integer), which add up
 exactly in any order, so sketches of sources merge into one of a language, and of all. From each sketch come quartiles
-and from these fences: a document is dropped where a measure lies beyond its group's fence. Groups of fewer than MIN_GROUP documents
+and and a tail quantile, and from these alone the fences: a document is dropped where a measure lies beyond both the group's tail
+quantile (so each measure drops at most its TAIL per cent of a group) and SPREAD interquartile ranges from a quartile (so a group
+without outliers loses nothing). Nothing of a fence is fixed: where most documents of a source have symbols, many are
+let pass; where next to none has, few are. Groups of fewer than MIN_GROUP documents
 use their language's sketch, and languages of fewer use that of all. Thresholds join the documents on (lang, source);
 Spark splits that join where one source holds much of the rows.
 """
@@ -25,10 +28,11 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 50
-#: A fence lies SPREAD interquartile ranges beyond a quartile, and by the measure's margin at least.
+#: A fence lies SPREAD interquartile ranges beyond a quartile at least.
 SPREAD = 3
-#: Measures as whole numbers: shares in ten-thousandths, word length in hundredths; (margin, whether small values fail as well).
-MEASURES = {"symbols": (500, False), "dup_lines": (5000, False), "repeats": (2500, False), "stutter": (1000, False), "upper": (2500, False), "word_length": (300, True)}
+#: Measures as whole numbers: shares in ten-thousandths, word length in hundredths. For each: TAIL, the per cent of a group's documents that may
+#: lie beyond its fence (less for what good texts have as well: repeated lines and passages), and whether small values fail as well.
+MEASURES = {"symbols": (10, False), "dup_lines": (1, False), "repeats": (1, False), "stutter": (5, False), "upper": (5, False), "word_length": (10, True)}
 _SUB = 32
 
 _SYMBOL = np.zeros(256, bool)
@@ -148,13 +152,15 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
     """keys, docs, and for each measure the fences <measure>_lo (or null) and <measure>_hi."""
     w = Window.partitionBy(*keys, "measure")
     s = sketches.withColumns({"upto": F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)), "docs": F.sum("n").over(w)})
-    q = s.groupBy(*keys, "measure").agg(F.max("docs").alias("docs"), *[F.min(F.when(4 * F.col("upto") >= k * F.col("docs"), F.col("bucket"))).alias(f"b{k}") for k in (1, 3)])
-    q = q.withColumns({"q1": least_of_bucket(F.col("b1")), "q3": least_of_bucket(F.col("b3"))})
-    out = []
-    for m, (margin, both) in MEASURES.items():
-        reach = F.greatest(SPREAD * (F.col("q3") - F.col("q1")), F.lit(margin).cast("long"))
+    tail = F.coalesce(*[F.when(F.col("measure") == m, F.lit(t)) for m, (t, _) in MEASURES.items()])
+    reached = lambda percent: F.min(F.when(100 * F.col("upto") >= percent * F.col("docs"), F.col("bucket")))
+    q = s.groupBy(*keys, "measure").agg(F.max("docs").alias("docs"), reached(F.lit(25)).alias("b1"), reached(F.lit(75)).alias("b3"), reached(tail).alias("bl"), reached(100 - tail).alias("bh"))
+    q = q.withColumns({"q1": least_of_bucket(F.col("b1")), "q3": least_of_bucket(F.col("b3")), "low": least_of_bucket(F.col("bl")), "high": least_of_bucket(F.col("bh") + 1) - 1})
+    reach, out = SPREAD * (F.col("q3") - F.col("q1")), []
+    for m, (_, both) in MEASURES.items():
         own = F.col("measure") == m
-        out += [F.max(F.when(own, F.col("q1") - reach if both else F.lit(None).cast("long"))).alias(f"{m}_lo"), F.max(F.when(own, F.col("q3") + reach)).alias(f"{m}_hi")]
+        low = F.least(F.col("q1") - reach, F.col("low")) if both else F.lit(None).cast("long")
+        out += [F.max(F.when(own, low)).alias(f"{m}_lo"), F.max(F.when(own, F.greatest(F.col("q3") + reach, F.col("high")))).alias(f"{m}_hi")]
     return q.groupBy(*keys).agg(F.max("docs").alias("docs"), *out)
 
 
@@ -177,8 +183,9 @@ def thresholds(sketches: DataFrame, groups: DataFrame, min_group: int = MIN_GROU
 def quality_rules(docs: DataFrame, *, min_group: int = MIN_GROUP, **cols: str) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed.
 
-    failed names the base rules' failure ("base") or the measures beyond their fences, comma-joined. Null languages and sources are groups of
-    their own. Null, empty and one-word texts fail the base rules. Rows that repeat an id are judged each by its own text.
+    kept is false beyond a fence as well. failed names the base rules' failure ("base") or the measures beyond their fences, comma-joined. Null languages and sources are groups of
+    their own. Null, empty and one-word texts fail the base rules. Rows that repeat an id are judged each by its own text. An empty table gives none. Other columns are
+    ignored, whatever their names. A group whose documents all fail the base rules takes its language's fences, or all documents' ones.
     """
     rows = derived(materialize(measure(docs, **cols), "measures"))
     sketches = materialize(sketch(rows.filter(~F.col("base_failed")), ["lang", "source"], list(MEASURES)), "sketches")

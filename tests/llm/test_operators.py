@@ -214,6 +214,21 @@ def test_quality_rules_odd(spark, odd, empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
 
+def test_quality_rules_adapt_to_the_source(spark):
+    """One value, two verdicts: a source whose texts all have symbols lets pass what a clean source doesn't; likewise repeated lines."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    say = lambda symbols, lines=0: " ".join(word() + ("#" if k < symbols else "") for k in range(100)) + "\nsame line\nother line" * lines
+    rows = [(i, say(20 + i % 21), "en", "code", 0) for i in range(100)] + [(200 + i, say(0), "en", "prose", 0) for i in range(100)]
+    rows += [(500, say(30), "en", "code", 0), (501, say(30), "en", "prose", 0), (502, say(30), "xx", "few", 0)]
+    rows += [(600 + i, say(0, 3), "en", "poems", 0) for i in range(100)] + [(801, say(0, 3), "en", "prose", 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("kept", F.lit("clash")).withColumn("symbols", F.lit("clash"))
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert got[500].kept and not got[501].kept and "symbols" in got[501].failed and got[502].kept
+    assert got[650].kept and not got[801].kept and "dup_lines" in got[801].failed
+    assert sum(not r.kept for i, r in got.items() if i < 300) <= 15
+
+
 # Mixing.
 def test_mix(spark):
     rows = [(i, "word " * (1 + i % 7), "en", ["a", "b", None][i % 3] if i < 300 else "tiny", 1) for i in range(310)] + [(900, None, "en", "void", 0)]
