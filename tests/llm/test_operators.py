@@ -1,5 +1,6 @@
 """Each operator on small fixtures: against plain versions, and on odd inputs."""
 
+import os
 import random
 import zlib
 
@@ -184,6 +185,104 @@ def test_quality_classifier_odd(spark, odd, empty):
     assert all(0 <= r.score <= 1 for r in quality_model.score_quality(odd, some).collect())
 
 
+def plain_features(texts, words_of_vocabulary):
+    """Vectors and features with dictionaries and loops, for texts of letters only."""
+    hashes = quality_model.hashes(sorted(words_of_vocabulary))
+    v = quality_model.Vocabulary(hashes)
+    dims, signs = v.index_vectors()
+    token = lambda w: int(v.words([w])[0])
+
+    def shape(ws, i):
+        runs = []
+        for c in ws[i]:
+            k = "X" if c.isupper() else "x"
+            runs += [] if runs and runs[-1] == k else [k]
+        again = " again" if i and ws[i].lower() == ws[i - 1].lower() else ""
+        return int(v.shapes(["".join(runs) + again])[0])
+
+    seqs = [[[token(w.lower()) for w in t.split()] for t in texts], [[shape(t.split(), i) for i in range(len(t.split()))] for t in texts]]
+    vec, times = np.zeros((v.n, 32)), np.zeros(v.n)
+    for seq in (x for kind in seqs for x in kind):
+        for i, x in enumerate(seq):
+            times[x] += 1
+            for j in range(max(0, i - 2), min(len(seq), i + 3)):
+                if j != i:
+                    for k in range(2):
+                        vec[x, dims[seq[j], k]] += signs[seq[j], k]
+    vec /= np.maximum(times, 1)[:, None]
+    for part in (slice(0, 1024), slice(1024, None)):
+        vec[part] -= (vec[part] * times[part, None]).sum(axis=0) / max(1, times[part].sum())
+    vec /= np.maximum(np.linalg.norm(vec, axis=1), 1e-9)[:, None]
+    vec[times == 0] = 0
+    share = np.log(times / times[1024:].sum() + 1e-7) / 16
+    rows = []
+    for kinds in zip(*seqs, strict=True):
+        row = []
+        for seq in kinds:
+            mean = sum((np.r_[vec[x], share[x]] for x in seq), np.zeros(33)) / max(1, len(seq))
+            row += [*mean, np.linalg.norm(mean[:-1])]
+        rows.append([*row, np.log1p(len(kinds[0])) / 8])
+    return v, np.array(rows)
+
+
+def test_quality_vectors_and_features_against_a_plain_version(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["Red", "red", "Green", "blue", "bluE", "x"]) for _ in range(rng.randrange(25))) for _ in range(30)] + [""]
+    v, want = plain_features(texts, {"red", "blue", "x"})
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    vectors = quality_model.word_vectors(docs, v)
+    assert quality_model.features(pa.array(texts), v, vectors) == pytest.approx(want, abs=1e-4)
+
+
+def test_quality_pooling_in_parts():
+    rng = np.random.default_rng(2)
+    n = np.array([0, 5, 0, 70_000, 1, 0, 33_000, 40_000, 0])
+    bounds, seq = np.r_[0, np.cumsum(n)], rng.integers(0, 50, int(n.sum())).astype(np.int32)
+    vectors = rng.normal(size=(50, 3)).astype(np.float32)
+    want = [vectors[seq[a:b]].sum(axis=0, dtype=float) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert quality_model.pooled(seq, bounds, vectors) == pytest.approx(np.array(want), abs=0.05)
+    assert quality_model.pooled(seq[:0], np.array([0, 0]), vectors).tolist() == [[0, 0, 0]]
+
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    for v in np.unique(score):
+        rank[score == v] = (np.searchsorted(score[order], v) + np.searchsorted(score[order], v, side="right") + 1) / 2
+    return (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables here")
+def test_quality_query_on_held_out_labels(spark):
+    from pricewright.llm import q_quality_model
+
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [(r.score, labels[r.doc_id]) for r in q_quality_model.QUERIES["op4_quality_classifier"](spark, SF).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    score, y = np.array(rows).T
+    assert len(y) > 50 and auc(score, y) >= 0.97
+    cut = np.digitize(score, [0.2, 0.4, 0.6, 0.8])
+    assert sum(abs(score[cut == k].mean() - y[cut == k].mean()) * (cut == k).mean() for k in set(cut.tolist())) <= 0.1  # calibration error
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables here")
+def test_language_query_on_held_out_rows(spark):
+    from pricewright.llm import q_langid
+
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = [r for r in q_langid.QUERIES["op8_language_id"](spark, SF).collect() if r.held_out]
+    assert len(rows) > 100 and sum(r.lang_pred == lang[r.doc_id] for r in rows) >= 0.98 * len(rows)
+
+
+def test_quality_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 400}", "en", "s", 0) for i in range(2000)] + [(2, "b", "en", "s", 0)], DOCS)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None)], "doc_id long, quality int")
+    assert quality_model.draw_sample(docs, labels).count() in (400, 401)
+    assert quality_model.draw_sample(docs, labels, sample_docs=50).count() <= 100
+
+
 def plain_measures(text):
     import re
 
