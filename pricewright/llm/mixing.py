@@ -27,24 +27,19 @@ BUCKET_ROWS = 1_000
 MAX_RANGES = 1 << 14
 SAME_ROWS = 100_000
 WORDS = r"[^\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 CAP = 3
 
 
 def n_words(text: Column) -> Column:
     """How many runs of other than ASCII white space a text has; null has none."""
-    t = F.trim(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     "))
-    few = t
-    for _ in range(2):  # most texts have only short runs of white space, which need no pattern
-        few = F.replace(few, F.lit("  "), F.lit(" "))
-    one = F.when(few.contains("  "), F.regexp_replace(few, " +", " ")).otherwise(few)
-    return F.when(t == "", F.lit(0)).otherwise(F.length(one) - F.length(F.replace(one, F.lit(" "), F.lit(""))) + 1).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORDS)).cast("long")
 
 
 def quality_weight(text: Column) -> Column:
     """1 for a text without symbols, down to 1/21 for one of symbols only."""
     t = F.coalesce(text, F.lit(""))
-    return F.lit(1.0) / (F.lit(1.0) + F.lit(20.0) * (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))) / F.greatest(F.length(t), F.lit(1)))
+    return F.lit(1.0) / (F.lit(1.0) + F.lit(20.0) * F.regexp_count(t, F.lit(SYMBOLS)) / F.greatest(F.length(t), F.lit(1)))
 
 
 def uniform(id_: Column, text: Column) -> Column:
