@@ -561,8 +561,14 @@ def test_language_of_long_texts_is_learned(spark):
 
 
 # Contamination.
+def plain_words(text):
+    import re
+
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
 def plain_hits(text, items):
-    ws = decontam.item_words([text])[0]
+    ws = plain_words(text)
     hit, found = set(), set()
     for i, words in items:
         m = min(10, len(words))
@@ -580,9 +586,11 @@ def test_contamination_is_exact(spark, block_bytes):
     w = ["a", "b", "c", "D", "é"]
     bench = [(i, " ".join(rng.choice(w) for _ in range(rng.choice([0, 1, 2, 3, 9, 10, 11, 14])))) for i in range(12)] + [(12, None), (3, "a b")]
     docs = [(i, rng.choice([" ", "-", "\n"]).join(rng.choice(w) for _ in range(rng.randrange(60))), "en", "s", 1) for i in range(80)]
+    docs += [docs[5], (81, None, "en", "s", 0)]
     got = decontam.contamination_report(spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, "item_id long, text string"), block_bytes=block_bytes).collect()
-    items = [(i, x) for (i, _), x in zip(bench, decontam.item_words([t for _, t in bench]), strict=True)]
+    items = [(i, plain_words(t)) for i, t in bench]
     texts = {d[0]: d[1] for d in docs}
+    assert len(got) == len(docs)
     for r in got:
         assert (r.n_words, r.n_hit, r.n_items) == plain_hits(texts[r.doc_id], items)
 
@@ -594,6 +602,21 @@ def test_contamination_odd(spark, odd, empty):
     assert decontam.decontaminate(odd, spark.createDataFrame([(1, "x")], "item_id long, text string")).columns == odd.columns
 
 
+def test_contamination_tables_of_a_large_block():
+    """A block of benchmark text of full size has tables of bounded memory, and finds what is in it."""
+    import pickle
+
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 200_000, 1_200_000)
+    texts = [" ".join(f"w{x}" for x in part) for part in np.array_split(words, 3000)]
+    size = sum(map(len, texts))
+    assert 0.9 * decontam.BLOCK_BYTES < size < 1.1 * decontam.BLOCK_BYTES
+    s = decontam.Searcher([str(i) for i in range(3000)], texts, 10)
+    assert len(pickle.dumps(s)) < 25 * size
+    _, found = s.find(pa.array(["a b " + " ".join(texts[7].split()[20:32]) + " c", texts[9].replace(" ", " x ")]))
+    assert found[0] == ([(2, 12), (3, 13), (4, 14)], {"7"}) and list(found) == [0]
+
+
 # Chat.
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (4, 0, "user", "other"), (4, 0, "user", "other"), (5, 0, None, None), (6, None, "user", "<|im_end|>"), (None, 0, "user", "x")]
