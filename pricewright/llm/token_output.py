@@ -5,8 +5,10 @@ bytes of an id: 2 or 4, low bits l, bytes of the low part, bytes of the high par
 (int64), the low part (n + 1 boundaries, l bits each), the high part (a bit for each boundary and each bucket), the
 select samples (uint64: the place of every SAMPLE-th one), and the concatenated ids. The boundaries, from 0 to m, take
 about 2 + log2(m / n) bits each, without a table of 64-bit offsets; boundary(i) is found with a sample and a short scan.
+Reading a shard selects each document's offsets so, one after the other.
 
-Documents are dealt by ranges of doc_id and sorted within each; a task writes its shards one after the other, each of at
+Documents are dealt by ranges of (doc_id, hash of the text, a number that deals out equal rows) and sorted within each, so an id that many rows
+share is no task of its own; there are at least as many ranges as the input has PART_BYTES; a task writes its shards one after the other, each of at
 most about SHARD_IDS ids (or one document), so its memory is bounded by a shard and a slice of text. Files get names of
 their own on each try and only those in the manifest (a Parquet table in the same folder) count, so a lost executor's
 tasks can run again. Shards go through pyarrow.fs to the shared folder's URI.
@@ -29,6 +31,8 @@ from .common import KEPT, coded, ranges, shared_dir, ship, slices, split_bytes,
 MAGIC = 0x314B4F5445444957
 SAMPLE = 256
 SHARD_IDS = 4_000_000
+#: Input bytes (as Spark estimates them) of a range of documents; spark.sql.shuffle.partitions is the least number of ranges.
+PART_BYTES = 256 << 20
 #: Different words whose ids a worker keeps; then it starts anew.
 CACHE_WORDS = 300_000
 
@@ -45,16 +49,6 @@ def ef_encode(values: np.ndarray, universe: int) -> tuple[int, np.ndarray, np.nd
     return low, np.packbits(bits.ravel(), bitorder="little"), np.packbits(high, bitorder="little"), ones[::SAMPLE].astype(np.uint64)
 
 
-def ef_decode(n: int, low: int, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
-    """All n numbers."""
-    ones = np.flatnonzero(np.unpackbits(highs, bitorder="little"))[:n].astype(np.uint64)
-    top = ones - np.arange(n, dtype=np.uint64)
-    if not low:
-        return top.astype(np.int64)
-    bits = np.unpackbits(lows, bitorder="little")[: n * low].reshape(n, low).astype(np.uint64)
-    return ((top << np.uint64(low)) | (bits << np.arange(low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)).astype(np.int64)
-
-
 def ef_select(i: int, low: int, lows: np.ndarray, highs: np.ndarray, samples: np.ndarray) -> int:
     """The i-th number: from the nearest sample on, ones are counted byte by byte."""
     at, left = int(samples[i // SAMPLE]), i % SAMPLE
@@ -65,11 +59,9 @@ def ef_select(i: int, low: int, lows: np.ndarray, highs: np.ndarray, samples: np
     for _ in range(left):
         word &= word - 1
     place = byte * 8 + (word & -word).bit_length() - 1
-    value = (place - i) << low
-    for k in range(low):
-        b = i * low + k
-        value |= ((int(lows[b // 8]) >> (b % 8)) & 1) << k
-    return value
+    first, last = i * low, (i + 1) * low
+    bits = int.from_bytes(lows[first // 8 : -(-last // 8)].tobytes(), "little") >> (first % 8)
+    return ((place - i) << low) | (bits & ((1 << low) - 1))
 
 
 def shard_bytes(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -94,12 +86,12 @@ class Shard:
         self.samples = np.frombuffer(data, "<u8", s, at := at + b)
         self.ids = np.frombuffer(data, f"<u{width}", self.n_ids, at + 8 * s)
 
-    def bounds(self) -> np.ndarray:
-        return ef_decode(len(self.doc_ids) + 1, self.low, self.lows, self.highs)
+    def boundary(self, i: int) -> int:
+        """How many ids stand before document i."""
+        return ef_select(i, self.low, self.lows, self.highs, self.samples)
 
     def document(self, i: int) -> np.ndarray:
-        a, b = (ef_select(k, self.low, self.lows, self.highs, self.samples) for k in (i, i + 1))
-        return self.ids[a:b]
+        return self.ids[self.boundary(i) : self.boundary(i + 1)]
 
 
 class WordEncoder:
@@ -244,13 +236,15 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2,
 
     Returns the manifest, which stays in the same folder: file, seq_part, seq_file, n_docs, n_ids, first_id (the ids before the shard).
     A null text counts as empty: its ids are the end id alone. Rows that repeat an id stand one after the other.
-    A null doc_id is written as the least number there is, and read back as null.
+    A null doc_id is written as the least number there is, and read back as null. Ids are cast to long: one that isn't a whole number fails under ANSI mode.
+    A very long text makes a shard of its own. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     ship(spark)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = _parts(docs)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "nth": F.monotonically_increasing_id() % 1024})
+    rows = rows.repartitionByRange(parts, "doc_id", "hash", "nth").sortWithinPartitions("doc_id", "hash").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tidy("words"):
@@ -288,6 +282,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2,
     return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(Window.orderBy("seq_part", "seq_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
 
 
+def _parts(docs: DataFrame) -> int:
+    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    least = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, min(100_000, int(str(size)) // PART_BYTES))
+
+
 NULL_ID = -(1 << 63)
 _MANIFEST = pa.schema([("file", pa.string()), ("seq_part", pa.int64()), ("seq_file", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -301,7 +301,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 s = Shard(_read(row["file"]))
-                bounds = s.bounds()
+                bounds = np.fromiter(map(s.boundary, range(len(s.doc_ids) + 1)), np.int64, len(s.doc_ids) + 1)
                 ids = s.ids.astype("<u4")
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 null = pa.array(s.doc_ids == NULL_ID)
