@@ -18,7 +18,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, tex
 p AS (SELECT *, string_agg(sha256(turn || '/' || role || '/' || text), '' ) OVER (PARTITION BY conv_id ORDER BY k) AS h, count(*) OVER (PARTITION BY conv_id) AS n FROM k),
 w AS (SELECT h, min(conv_id) AS conv_id, n, count(*) AS n_equal FROM p WHERE k = n GROUP BY h, n),
 m AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.h = w.h AND p.k < p.n))
-SELECT conv_id, turn // {RUN} AS run, m.n::BIGINT AS n_turns, n_equal::BIGINT AS n_equal,
+SELECT conv_id, ((k - 1) // {RUN})::BIGINT AS run, m.n::BIGINT AS n_turns, n_equal::BIGINT AS n_equal,
   string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY k) AS text
 FROM m JOIN k USING (conv_id) GROUP BY ALL"""
 }

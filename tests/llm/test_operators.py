@@ -642,3 +642,16 @@ def test_chat_long_conversations_come_in_runs(spark):
     rows = [(c, t, "user", f"{t}") for c, n in ((1, 700), (2, 600)) for t in range(n)]
     got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert sorted((r.conv_id, r.run, r.n_turns) for r in got) == [(1, 0, 700), (1, 1, 700), (1, 2, 700)]
+
+
+def test_chat_of_one_number_long_texts_and_odd_columns(spark):
+    """Turns without numbers, or all of one number, fall in several ranges; rows come in runs; extra columns don't matter."""
+    rows = [(1, None, "user", f"{t:05d} " + "x" * (t % 7)) for t in range(2000)] + [(2, 5, "user", f"{t:05d}") for t in range(600)] + [(3, 5, "user", f"{t:05d}") for t in range(300)]
+    rows += [(4, 0, "user", "word " * 400_000)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("clash") for c in ("k", "n", "part", "head", "of", "run", "x1")})
+    ranges = chat.prefix_hashes(docs.select("conv_id", F.coalesce("turn", F.lit(-1)).alias("turn"), "role", "text")).collect()
+    assert sorted(r.k for r in ranges if r.conv_id == 1) == list(range(1, 2001))
+    got = chat.format_chats(docs).collect()
+    assert sorted((r.conv_id, r.run, r.n_turns) for r in got) == [(1, k, 2000) for k in range(8)] + [(2, k, 600) for k in range(3)] + [(4, 0, 1)]
+    text = "".join(r.text for r in sorted((r for r in got if r.conv_id == 1), key=lambda r: r.run))
+    assert text == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for _, _, _, t in rows[:2000]) and len(got) == 12
