@@ -47,7 +47,7 @@ NOTICES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 
-#: Notices of up to so many words are looked for in blocks with this S; the others with the last.
+#: Notices of up to so many words are looked for in blocks with this S; no notice may be longer than the last.
 SIZES = (12, 64)
 THRESHOLD = 0.85
 
@@ -58,7 +58,9 @@ def notice_table() -> list[tuple[int, str, int, list[str], int]]:
     for k, (label, text) in enumerate(NOTICES):
         words = text.split(" ")
         own = sorted(set(words))
-        out.append((k, label, next((s for s in SIZES if len(words) <= s), SIZES[-1]), own, math.ceil(THRESHOLD * len(own) - 1e-9)))
+        if len(words) > SIZES[-1]:
+            raise ValueError(f"notice {k} has {len(words)} words; blocks hold {SIZES[-1]} for certain")
+        out.append((k, label, next(s for s in SIZES if len(words) <= s), own, math.ceil(THRESHOLD * len(own) - 1e-9)))
     return out
 
 
