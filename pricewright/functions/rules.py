@@ -30,6 +30,13 @@ def first_words(text: Column, rules: list[tuple[list[str], str]]) -> Column:
     return ordered([(has_any(text, words), F.lit(label)) for words, label in rules])
 
 
+def refold(specs: Column, key: Parse, value: Parse = lambda v: v) -> Column:
+    """specs with each key and value put through a function; of keys that become equal, or null, the last value counts."""
+    entries = F.transform(F.map_entries(specs), lambda e: F.struct(F.coalesce(key(e["key"]), F.lit("")).alias("key"), value(e["value"]).alias("value")))
+    last = lambda a: F.filter(a, lambda e, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda later: later["key"] == e["key"]))
+    return F.map_from_entries(F.transform(F.array(entries), last)[0])
+
+
 def get(specs: Column, key: str) -> Column:
     return F.try_element_at(specs, F.lit(key))
 

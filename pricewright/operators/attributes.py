@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.rules import first_key, first_pattern, first_present, first_words, get, map_of, ordered, overlay
+from ..functions.rules import first_key, first_pattern, first_present, first_words, get, map_of, ordered, overlay, refold
 from ..functions.text import any_word, capacity_gb, cm_to_inch, first_capacity, first_of, fold, group, has_any, is_ignored_key, nonblank, text_norm, weight_kg, within
 from .identity import staged
 
@@ -187,7 +187,7 @@ def mobile_attributes(title: Column, specs: Column) -> dict[str, Column]:
 
 def with_attributes(listings: DataFrame) -> DataFrame:
     """listings (category, title, specs map) with attributes: the specifications that mean something, by folded key, and what is typed (which wins)."""
-    clean = F.map_from_entries(F.transform(F.map_entries(F.col("specs")), lambda e: F.struct(text_norm(e["key"]).alias("key"), e["value"].alias("value"))))
+    clean = refold(F.col("specs"), text_norm)
     kept = F.map_filter(F.col("n_"), lambda k, _: ~is_ignored_key(k))
     d = staged(listings, lambda: {"n_": clean}, lambda: {"n_": kept})
     code = F.lower(F.trim("category"))

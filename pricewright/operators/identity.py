@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.rules import all_within, first_key, first_pattern, first_words, get, map_of, ordered, overlay
+from ..functions.rules import all_within, first_key, first_pattern, first_words, get, map_of, ordered, overlay, refold
 from ..functions.text import any_word, cm_to_inch, collapse_repeats, count_of, first_of, fold, group, is_ignored_key, nonblank, text_norm, weight_kg, within
 
 FINGERPRINT = "category string, brand string, family string, model_name string, generation string, chip string, ram_gb int, storage_gb int, storage_type string, screen_size_inches double, gpu_model string, manufacturer_part_number string, gtin string, attributes map<string,string>"
@@ -137,7 +137,7 @@ def _normalized(f: dict[str, Column], attributes: Column) -> Column:
     """The fingerprint's struct, its texts folded and squeezed."""
     texts = ("brand", "family", "model_name", "generation", "chip", "storage_type", "gpu_model", "manufacturer_part_number", "gtin")
     kinds = dict(x.split(" ", 1) for x in FINGERPRINT.split(", "))
-    folded = F.map_from_entries(F.transform(F.map_entries(attributes), lambda e: F.struct(F.trim(fold(e["key"])).alias("key"), text_norm(e["value"]).alias("value"))))
+    folded = refold(attributes, lambda k: F.trim(fold(k)), text_norm)
     put = {k: text_norm(c) if k in texts else c for k, c in f.items()} | {"attributes": folded}
     return F.struct(*[put.get(k, F.lit(None)).cast(kind).alias(k) for k, kind in kinds.items()])
 

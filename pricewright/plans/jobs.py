@@ -15,20 +15,24 @@ IDENTIFIERS = "canonical_product_id string, identifier_type string, identifier_v
 
 
 def accepted(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(raw records to parse, those for quarantine with the reason): unknown categories and hosts, ids that come twice."""
-    n = raw.groupBy("source", "source_product_id").agg(F.count("*").alias("n_"))
-    r = raw.join(n, ["source", "source_product_id"])
+    """(raw records to parse, those for quarantine with the reason): missing ids, unknown categories and hosts, ids that come twice.
+
+    Every record is in one of the two. A record without a source, an id, a category or a URL goes to quarantine.
+    """
+    keys = ["source", "source_product_id"]
+    twice = raw.filter(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_")).filter("n_ > 1")
+    r = raw.join(twice, keys, "left")
     known = ops.taxonomy(raw.sparkSession).select("category").distinct()
     r = r.join(F.broadcast(known.withColumnRenamed("category", "k_")), F.lower(F.trim("category")) == F.col("k_"), "left")
-    reason = F.when(F.col("k_").isNull(), "unsupported category").when(~discovery.allowed_host(F.col("source_url"), F.col("source")), "host not allowed").when(F.col("n_") > 1, "duplicate id")
+    missing = F.col("source").isNull() | F.col("source_product_id").isNull()
+    reason = F.when(missing, "missing id").when(F.col("k_").isNull(), "unsupported category").when(~discovery.allowed_host(F.col("source_url"), F.col("source")), "host not allowed").when(F.col("n_") > 1, "duplicate id")
     r = r.withColumn("reason", reason).drop("n_", "k_")
     return r.filter("reason is null").drop("reason"), r.filter("reason is not null")
 
 
 def reconcile_raw(raw: DataFrame) -> DataFrame:
     """Raw records (with seq) through parsing, gate and clustering."""
-    seq = raw.select("source", "source_product_id", "seq")
-    return cluster.reconcile(retail.parse_listings(raw).join(seq, ["source", "source_product_id"]))
+    return cluster.reconcile(retail.parse_listings(raw))
 
 
 def empty_tables(spark) -> dict[str, DataFrame]:  # noqa: ANN001

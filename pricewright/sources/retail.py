@@ -210,6 +210,7 @@ def parse_listings(raw: DataFrame) -> DataFrame:
     """raw records (source, source_product_id, category, subcategory, source_url, observed_at, html; payload map<string,string> or none) to listings.
 
     Texts come from the page state, the page, JSON-LD, the URL and the payload, in that order; a price that can't be found is 0.
+    A column seq is passed on.
     """
     if "payload" not in raw.columns:
         raw = raw.withColumn("payload", F.create_map().cast("map<string,string>"))
@@ -266,4 +267,4 @@ def parse_listings(raw: DataFrame) -> DataFrame:
     from ..functions.rules import map_of, overlay
 
     p = p.withColumn("extra_", map_of(extra)).withColumn("attributes", overlay(F.col("attributes"), F.col("extra_")))
-    return p.select("source", "source_product_id", "category", "subcategory", "title", "brand", "model_name", "manufacturer_part_number", "gtin", "price_paise", "mrp_paise", "coupon_price_paise", "in_stock", "seller", "rating", "review_count", "source_url", "attributes", "observed_at")
+    return p.select("source", "source_product_id", "category", "subcategory", "title", "brand", "model_name", "manufacturer_part_number", "gtin", "price_paise", "mrp_paise", "coupon_price_paise", "in_stock", "seller", "rating", "review_count", "source_url", "attributes", "observed_at", *(["seq"] if "seq" in p.columns else []))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import text
 from pricewright.functions.similarity import common_length, token_set_ratio_of
 from pricewright.operators import attributes, cluster, evaluate, identity, match, ops, quality, store
+from pricewright.plans import jobs
 from pricewright.sources import discovery, retail
 
 
@@ -396,3 +397,21 @@ def test_discover_sitemap(spark):
     entry = lambda i: f"<url><loc>https://www.croma.com/laptop/p/30000{i}</loc><lastmod>2026-01-0{i}</lastmod></url>"
     maps = spark.createDataFrame([("croma", "u", "<urlset>" + "".join(map(entry, (1, 3, 2))) + "</urlset>"), ("croma", "v", f"<urlset>{entry(4)}</urlset>")], "source string, sitemap_url string, content string")
     assert jobs.discover_sitemap(maps, "croma", "u", 2) == {"source": "croma", "sitemap_url": "u", "category": "laptop", "discovered_count": 2, "product_ids": ["300003", "300002"]}
+
+
+def test_keys_that_differ_in_case_or_spaces(spark):
+    """The last of such keys counts, in attributes and in fingerprints; nothing fails."""
+    ordered = lambda *kv: F.create_map(*[F.lit(x) for x in kv])
+    rows = spark.range(1).select(F.lit("laptop").alias("category"), F.lit("HP 15").alias("title"), ordered("RAM", "8 GB", " x", "1", "ram ", "16 GB", "X", "2").alias("specs"), ordered("RAM", "a", "ram ", "b").alias("attributes"))
+    got = attributes.with_attributes(rows).first().attributes
+    assert got["ram_gb"] == "16" and got["ram"] == "16 GB"
+    assert identity.with_fingerprint(rows).first().fp.attributes["ram"] == "b"
+    assert identity.with_fingerprint(rows.withColumn("category", F.lit("tv"))).first().fp.attributes["ram"] == "b"
+
+
+def test_every_raw_record_is_accepted_or_quarantined(spark):
+    url = "https://www.amazon.in/dp/B0ABCDEFGH"
+    raw = [("amazon", "a", "laptop", url), ("amazon", "b", "laptop", url), ("amazon", "b", "laptop", url), (None, "c", "laptop", url), ("amazon", None, "laptop", url), (None, None, None, None), ("amazon", "d", None, url), ("amazon", "e", "laptop", None), ("amazon", "f", "laptop", "http://www.amazon.in/x")]
+    ok, bad = jobs.accepted(spark.createDataFrame(raw, "source string, source_product_id string, category string, source_url string"))
+    assert [r.source_product_id for r in ok.collect()] == ["a"]
+    assert sorted(r.reason for r in bad.collect()) == ["duplicate id"] * 2 + ["host not allowed"] * 2 + ["missing id"] * 3 + ["unsupported category"]
