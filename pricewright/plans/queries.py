@@ -32,11 +32,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _all() -> None:
+    from . import match_queries  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(SQL)
 
 
@@ -103,11 +109,6 @@ def ignored_keys(spark: SparkSession, d: str) -> DataFrame:
     return values(spark, KEYS).select("id", text.is_ignored_key(F.col("v")).alias("ignored"))
 
 
-@query("dup_word_collapse")
-def dup_word_collapse(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select("p_partkey", text.collapse_repeats(F.concat_ws(" ", "p_name", "p_name", "p_type")).alias("name"))
-
-
 @query("cm_to_inch", "SELECT p_partkey, round((p_size + 13) / 2.54, 1) AS inches, CASE WHEN p_size BETWEEN 1 AND 9 THEN round(p_size + (p_partkey % 997) / 1000.0, 2)::DOUBLE END AS kg FROM part WHERE p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
 def cm_to_inch(spark: SparkSession, d: str) -> DataFrame:
     return cm_to_inch_all(spark, d).filter("p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
@@ -310,23 +311,6 @@ def similarity_weighted(spark: SparkSession, d: str) -> DataFrame:
     return _part_pairs(spark, d).select("i", "j", match.laptop_similarity(F.col("l"), F.col("r")).alias("laptop"), match.mobile_similarity(F.col("l"), F.col("r")).alias("mobile"))
 
 
-@query("token_set")
-def token_set(spark: SparkSession, d: str) -> DataFrame:
-    from ..functions.ship import ship
-    from ..functions.similarity import token_set_ratio
-
-    ship(spark)
-    names = table(spark, d, "part").select(F.col("p_name").alias("a")).filter("a is not null").distinct()
-    # Names without a common word can be alike too, so no key finds all pairs.
-    pairs = names.crossJoin(names.withColumnRenamed("a", "b"))
-    return pairs.select("a", "b", token_set_ratio(F.col("a"), F.col("b")).alias("ratio"))
-
-
-@query("match_decision")
-def match_decision(spark: SparkSession, d: str) -> DataFrame:
-    return match.compare(_part_pairs(spark, d)).select("i", "j", "decision", "confidence", "reason")
-
-
 @query("labelled_pairs")
 def labelled_pairs(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.decided_pairs(spark)
