@@ -10,10 +10,15 @@ from ..functions.rules import ordered
 from ..functions.text import fold, rupees, whole_match
 
 
+#: All patterns in one, as each of them stands between word boundaries: one pass over a title tells most listings from accessories.
+_ANY_ACCESSORY = r"\b(?:" + "|".join(p.removeprefix(r"\b").removesuffix(r"\b") for p in fixed.ACCESSORIES) + r")\b"
+
+
 def accessory(title: Column, url: Column | None = None) -> Column:
-    """Why a listing is an accessory (what the first pattern found), or null."""
+    """Why a listing is an accessory (what the first pattern found), or null. The patterns are tried in turn only where one of them is found."""
     text = fold(F.concat_ws(" ", title, *([url] if url is not None else [])))
-    return F.coalesce(*[F.concat(F.lit("accessory detected via pattern: '"), whole_match(text, p), F.lit("'")) for p in fixed.ACCESSORIES])
+    found = F.coalesce(*[F.concat(F.lit("accessory detected via pattern: '"), whole_match(text, p), F.lit("'")) for p in fixed.ACCESSORIES])
+    return F.when(text.rlike(_ANY_ACCESSORY), found)
 
 
 def price_fault(category: Column, paise: Column) -> Column:
