@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _all() -> None:
-    from . import match_queries  # noqa: F401
+    from . import identity_queries, match_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
@@ -247,23 +247,6 @@ def identity_family(spark: SparkSession, d: str) -> DataFrame:
     return t.select("id", first_pattern(F.col("t"), fixed.LAPTOP_FAMILIES).alias("laptop_family"), first_pattern(F.col("t"), fixed.MOBILE_FAMILIES).alias("mobile_family"))
 
 
-def _fingerprints(spark: SparkSession, category: str) -> DataFrame:
-    from ..sources.labelled_pairs import PAIRS
-
-    rows = spark.createDataFrame([(i, c, t) for i, (c, _, a, b) in enumerate(PAIRS) for t in (a, b)], "pair int, category string, title string").filter(F.col("category") == category)
-    return identity.with_fingerprint(rows).select("pair", "title", "fp.*").withColumn("attributes", F.array_join(F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";"))
-
-
-@query("laptop_fingerprint")
-def laptop_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    return _fingerprints(spark, "laptop")
-
-
-@query("mobile_fingerprint")
-def mobile_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    return _fingerprints(spark, "mobile")
-
-
 @query("spec_attributes", "SELECT p_partkey, p_size::BIGINT AS ram_gb, CASE WHEN p_size % 2 = 0 THEN 'DDR5' ELSE 'DDR4' END AS ram_type, CASE WHEN p_size BETWEEN 9 AND 24 THEN p_size::DOUBLE END AS screen_size_inches, (CASE WHEN p_size % 2 = 0 THEN 'SSD' ELSE 'HDD' END) AS storage_type FROM part")
 def spec_attributes(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("p_size").cast("string")
