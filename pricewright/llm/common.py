@@ -109,6 +109,11 @@ def unpacked(df: DataFrame, row: str, names: list[str]) -> DataFrame:
     return df.select(*[F.col(row).getField(c).alias(c) for c in names])
 
 
+def with_text(batch: pa.RecordBatch, row: str, text_col: str) -> pa.RecordBatch:
+    """batch with the struct's text as the last column, "text", without a copy."""
+    return pa.RecordBatch.from_arrays([*batch.columns, batch.column(row).field(text_col)], names=[*batch.schema.names, "text"])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, coded, materialize, ranges, ship, slices, tidied, unpacked, whole_row, words_of
+from .common import ALNUM, coded, materialize, ranges, ship, slices, tidied, unpacked, whole_row, with_text, words_of
 
 #: Benchmark text that one search's tables are made of.
 BLOCK_BYTES = 8 << 20
@@ -161,10 +161,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = W
     blocks = max(1, -(-int(size) // block_bytes))
     empty = {c: F.lit(None).cast(kind).alias(c) for c, kind in _FOUND.items()}
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), *([whole_row(docs).alias("row")] if with_row else []), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     if blocks == 1:
-        out = rows.select("*", F.lit(0).cast("long").alias("n_words"), *empty.values())
-        return _searched(out, _searcher(spark, items, window)).drop("text", "text_hash")
+        out = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("n_words"), *empty.values(), whole_row(docs).alias("row") if with_row else text.alias("text"))
+        return _searched(out, _searcher(spark, items, window), text_col if with_row else None)
+    rows = docs.select(F.col(id_col).alias("doc_id"), *([whole_row(docs).alias("row")] if with_row else []), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     hits = None
     for k in range(blocks):
@@ -175,7 +175,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = W
         hits = some if hits is None else hits.unionByName(some)
     merged_ = hits.groupBy(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     out = rows.withColumn("n_words", F.lit(0).cast("long")).join(materialize(merged_, "merged"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
-    return _searched(out.select(*rows.columns, "n_words", "spans", "items"), None).drop("text", "text_hash")
+    return _searched(out.select(*rows.columns, "n_words", "spans", "items"), None).drop("text_hash")
 
 
 def _searcher(spark: SparkSession, items: DataFrame, window: int) -> Broadcast:
@@ -183,12 +183,15 @@ def _searcher(spark: SparkSession, items: DataFrame, window: int) -> Broadcast:
     return spark.sparkContext.broadcast(Searcher([r.i for r in rows], [r.t for r in rows], window))
 
 
-def _searched(rows: DataFrame, searcher: Broadcast | None) -> DataFrame:
-    """rows with n_words, and with what the searcher finds added to spans and items; both are put in order."""
+def _searched(rows: DataFrame, searcher: Broadcast | None, text_col: str | None = None) -> DataFrame:
+    """rows, less the text, with n_words, and with what the searcher finds added to spans and items; both are put in order.
+
+    With text_col, the text is that field of the struct row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(with_text(batch, "row", text_col) if text_col else batch, "text"):
                 if searcher is not None:
                     n, found = searcher.value.find(b.column("text"))
                 else:
@@ -199,9 +202,10 @@ def _searched(rows: DataFrame, searcher: Broadcast | None) -> DataFrame:
                     spans[t] = [{"first": x, "end": y} for x, y in merged([(p["first"], p["end"]) for p in spans[t] or ()] + new)]
                     items[t] = sorted(names | set(items[t] or ()))
                 put = {"n_words": pa.array(n, pa.int64()), "spans": pa.array([x or [] for x in spans], b.schema.field("spans").type), "items": pa.array([x or [] for x in items], b.schema.field("items").type)}
-                yield pa.RecordBatch.from_arrays([put.get(f.name, b.column(f.name)) for f in b.schema], schema=b.schema)
+                sent = [c for c in b.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([put.get(c, b.column(c)) for c in sent], names=sent)
 
-    return rows.mapInArrow(tidied(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields]))
+    return rows.mapInArrow(tidied(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields if f.name != "text"]))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:

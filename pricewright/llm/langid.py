@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, whole_row, words_of
+from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, tidy, whole_row, with_text, words_of
 
 SAMPLE_DOCS = 300
 SAMPLE_TOTAL = 100_000
 #: Characters of words that one lattice is made of; a longer word has a lattice of its own.
-LATTICE_CHARS = 500_000
+LATTICE_CHARS = 50_000
 UNKNOWN = 1e-7
 ROUNDS = 4
 #: Up to so many drawn keys are broadcast; more are joined by a shuffle.
@@ -222,7 +222,8 @@ def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, s
     times = np.zeros((len(words), len(names)))
     times[pc.index_in(t["word"], pa.array(words, pa.string())).to_numpy(), pc.index_in(t["lang"], pa.array(names, pa.string())).to_numpy()] = t["n"].to_numpy()
     pieces = vocabulary(model_path)
-    return names, pieces, fit(words, times, pieces)
+    with tidy():
+        return names, pieces, fit(words, times, pieces)
 
 
 def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
@@ -239,16 +240,16 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), F.lit(None).cast("string").alias("lang_pred"), F.lit(0.0).alias("score"),
-        *([whole_row(docs).alias("row")] if with_row else []), text.alias("text"),
+        whole_row(docs).alias("row") if with_row else text.alias("text"),
     )
-    # The last column, the text, isn't sent back.
-    out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields[:-1]])
+    # The text goes to Python once, and within the row only is it sent back.
+    out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields if f.name != "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table, logp = shared.value
         labels = np.array([*names, "und"], object)
         for batch in batches:
-            for b in slices(batch, "text", 4 << 20):
+            for b in slices(with_text(batch, "row", text_col) if with_row else batch, "text", 4 << 20):
                 best, score = np.full(b.num_rows, len(names)), np.zeros(b.num_rows)
                 if names:
                     codes, words, bounds = words_and_counts(b.column("text"))
