@@ -110,10 +110,10 @@ def cm_to_inch(cm: Column, digits: int) -> Column:
 
 
 def weight_kg(c: Column) -> Column:
-    """'1 kg 880 g' or '1.88 kg' as kg, from 0.5 to 10."""
+    """'1 kg 880 g' or '1.88 kg' as kg, from 0.5 to 10; of grams, five round up."""
     t = F.lower(c)
     both = r"(\d+)\s*kg\s*(\d+)\s*g"
-    split = F.round(group(t, both).try_cast("double") + group(t, both, 2).try_cast("double") / 1000, 2)
+    split = F.floor((group(t, both).try_cast("long") * 1000 + group(t, both, 2).try_cast("long") + 5) / 10) / 100
     plain = group(t, r"(\d+(?:\.\d+)?)\s*kg").try_cast("double")
     return F.coalesce(within(split, 0.5, 10.0), within(plain, 0.5, 10.0))
 

@@ -17,21 +17,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .identity import with_fingerprint
-from .match import MATCH, REVIEW, candidate_pairs, compare
+from .match import MATCH, REVIEW, candidate_pairs, compare, facts
 from .quality import classify
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """df written under spark.checkpoint.dir and read again; in a local session without that setting, checkpointed in a folder of its own."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path under spark.checkpoint.dir; only a local session without that setting gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _local_dir(spark)
-    path = f"{base.rstrip('/')}/pricewright/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/pricewright/{name}-{uuid.uuid4().hex}"
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """df written under spark.checkpoint.dir and read again."""
+    path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _dirs: dict[str, str] = {}
@@ -117,7 +121,8 @@ def reconcile(listings: DataFrame) -> DataFrame:
     firsts = keyed.groupBy("key").agg(F.min("seq").alias("node"))
     rows = shared_table(keyed.join(firsts, "key").select("seq", "node"), "nodes")
     heads = shared_table(live.join(firsts.select(F.col("node").alias("seq")), "seq", "left_semi").select(F.col("seq").alias("id"), "fp"), "heads")
-    pairs = candidate_pairs(heads).unionByName(heads.select(F.col("id").alias("i"), F.col("id").alias("j"), F.col("fp").alias("l"), F.col("fp").alias("r")))
+    own = facts(F.col("fp"))
+    pairs = candidate_pairs(heads).unionByName(heads.select(F.col("id").alias("i"), F.col("id").alias("j"), F.col("fp").alias("l"), F.col("fp").alias("r"), own.alias("lf_"), own.alias("rf_")))
     links = shared_table(compare(pairs).select("i", "j", "decision").filter(F.col("decision") != "no_match"), "links")
     placed = leader_assign(rows, links)
     ids = heads.select(F.col("id").alias("s"), cluster_id(F.col("fp")).alias("cid"))

@@ -43,49 +43,52 @@ def _numbers(x: Column, y: Column) -> list[tuple[Column, Column]]:
     ]
 
 
-def _found_differ(a: Column, b: Column, pattern: str, clean: bool = False) -> Column:
-    """Whether the pattern's first matches are there on both sides and differ."""
-    g = lambda c: F.replace(group(c, pattern, 0), F.lit("-"), F.lit("")) if clean else group(c, pattern, 0)
-    return _differ(g(a), g(b))
-
-
-def laptop_conflict(x: Column, y: Column) -> Column:
-    size = lambda f, k: F.coalesce(f[k].cast("long"), _attr(f, k).try_cast("long"))
-    gpu = lambda f: F.trim(F.coalesce(f["gpu_model"], _attr(f, "gpu_model")))
-    chip = lambda f: F.trim(F.coalesce(f["chip"], _attr(f, "cpu_model")))
-    generation = lambda f: F.coalesce(f["generation"], _attr(f, "generation"))
-    screen = lambda f: F.coalesce(f["screen_size_inches"], _attr(f, "screen_size_inches").try_cast("double"))
-    a, b = chip(x), chip(y)
+#: What conflicts look for in a chip's name: (pattern, whether hyphens don't matter).
+CHIP_PARTS = {
+    "m": (r"\bm[1-5](?:\s+(?:pro|max|ultra))?\b", False), "i_sku": (r"\bi[3579]-?[0-9]{4,5}[a-z]{0,2}\b", True), "i_tier": (r"\bi[3579]\b", False), "ryzen_sku": (r"\bryzen\s+[3579]\s+[0-9]{4}[a-z]{0,2}\b", False),
+    "ryzen_tier": (r"\bryzen\s+[3579]\b", False), "a": (r"\ba\d{2}(?:\s+pro)?\b", False), "gen_8": (r"8\s+gen\s+[1-4]", False),
+}
+
+
+def facts(f: Column) -> Column:
+    """What conflicts compare, of one fingerprint: made once a listing, not once a pair."""
+    laptop, mobile = (F.trim(F.coalesce(f["chip"], _attr(f, k))) for k in ("cpu_model", "chipset"))
+    chip = F.when(f["category"] == "mobile", mobile).otherwise(laptop)
+    part = lambda p, bare: F.replace(group(chip, p, 0), F.lit("-"), F.lit("")) if bare else group(chip, p, 0)
+    return F.struct(
+        chip.alias("chip"), F.trim(F.coalesce(f["gpu_model"], _attr(f, "gpu_model"))).alias("gpu"), F.coalesce(f["generation"], _attr(f, "generation")).alias("generation"), F.coalesce(f["screen_size_inches"], _attr(f, "screen_size_inches").try_cast("double")).alias("screen"),
+        *[F.coalesce(f[k].cast("long"), _attr(f, k).try_cast("long")).alias(k) for k in ("ram_gb", "storage_gb")], _attr(f, "network_type").alias("network"), *[part(*v).alias(k) for k, v in CHIP_PARTS.items()],
+    )
+
+
+def laptop_conflict(x: Column, y: Column, fx: Column | None = None, fy: Column | None = None) -> Column:
+    fx, fy = facts(x) if fx is None else fx, facts(y) if fy is None else fy
+    a, b = fx["chip"], fy["chip"]
     chips = _quoted("different processor/chip generation", a, b)
     other = _both(a, b) & (a != b)
+    differ = lambda k: _differ(fx[k], fy[k])
     return ordered([
         *_numbers(x, y),
-        *[(_differ(size(x, k), size(y, k)), F.lit(f"different identity attribute: {k}")) for k in ("ram_gb", "storage_gb")],
+        *[(differ(k), F.lit(f"different identity attribute: {k}")) for k in ("ram_gb", "storage_gb")],
         (_differ(x["family"], y["family"]), _quoted("different product families", x["family"], y["family"])),
-        (gpu(x).contains("nvidia") & gpu(y).contains("nvidia") & (gpu(x) != gpu(y)), _quoted("different dedicated GPU model", gpu(x), gpu(y))),
-        (other & _found_differ(a, b, r"\bm[1-5](?:\s+(?:pro|max|ultra))?\b"), chips),
-        (other & a.contains("ultra") & b.contains("ultra"), chips),
-        (other & _found_differ(a, b, r"\bi[3579]-?[0-9]{4,5}[a-z]{0,2}\b", clean=True), chips),
-        (other & _found_differ(a, b, r"\bi[3579]\b"), chips),
-        (other & _found_differ(a, b, r"\bryzen\s+[3579]\s+[0-9]{4}[a-z]{0,2}\b"), chips),
-        (other & _differ(generation(x), generation(y)), F.concat(F.lit("different processor/chip generation: "), generation(x), F.lit(" vs "), generation(y))),
-        (other & _found_differ(a, b, r"\bryzen\s+[3579]\b"), chips),
-        (F.abs(screen(x) - screen(y)) >= 0.7, F.concat(F.lit("different screen size: "), screen(x).cast("string"), F.lit('" vs '), screen(y).cast("string"), F.lit('"'))),
+        (fx["gpu"].contains("nvidia") & fy["gpu"].contains("nvidia") & (fx["gpu"] != fy["gpu"]), _quoted("different dedicated GPU model", fx["gpu"], fy["gpu"])),
+        (other & (differ("m") | (a.contains("ultra") & b.contains("ultra")) | differ("i_sku") | differ("i_tier") | differ("ryzen_sku")), chips),
+        (other & differ("generation"), F.concat(F.lit("different processor/chip generation: "), fx["generation"], F.lit(" vs "), fy["generation"])),
+        (other & differ("ryzen_tier"), chips),
+        (F.abs(fx["screen"] - fy["screen"]) >= 0.7, F.concat(F.lit("different screen size: "), fx["screen"].cast("string"), F.lit('" vs '), fy["screen"].cast("string"), F.lit('"'))),
     ])
 
 
-def mobile_conflict(x: Column, y: Column) -> Column:
-    chip = lambda f: F.trim(F.coalesce(f["chip"], _attr(f, "chipset")))
-    a, b = chip(x), chip(y)
-    chips = F.concat(F.lit("different mobile chipset: "), a, F.lit(" vs "), b)
+def mobile_conflict(x: Column, y: Column, fx: Column | None = None, fy: Column | None = None) -> Column:
+    fx, fy = facts(x) if fx is None else fx, facts(y) if fy is None else fy
+    chips = F.concat(F.lit("different mobile chipset: "), fx["chip"], F.lit(" vs "), fy["chip"])
     gb = lambda k: F.concat(F.lit(f"different identity attribute: {k}: "), x[k], F.lit("GB vs "), y[k], F.lit("GB"))
     return ordered([
         *_numbers(x, y),
         *[(_differ(x[k], y[k]), gb(k)) for k in ("ram_gb", "storage_gb")],
         (_differ(x["family"], y["family"]), _quoted("different product families", x["family"], y["family"])),
-        (_found_differ(a, b, r"\ba\d{2}(?:\s+pro)?\b"), chips),
-        (_found_differ(a, b, r"8\s+gen\s+[1-4]"), chips),
-        (_differ(_attr(x, "network_type"), _attr(y, "network_type")), F.lit("different network generation (4G vs 5G)")),
+        (_differ(fx["a"], fy["a"]) | _differ(fx["gen_8"], fy["gen_8"]), chips),
+        (_differ(fx["network"], fy["network"]), F.lit("different network generation (4G vs 5G)")),
     ])
 
 
@@ -110,9 +113,15 @@ identity.register_category(identity.Category("laptop", identity.laptop_fingerpri
 identity.register_category(identity.Category("mobile", identity.mobile_fingerprint, mobile_conflict, mobile_similarity, tuple(fixed.TAXONOMY["mobile"]["identity"])))
 
 
-def conflict(x: Column, y: Column) -> Column:
-    """Why two fingerprints can't be one product, or null."""
-    own = [(x["category"] == code, (c.conflict or laptop_conflict)(x, y)) for code, c in identity.categories().items()]
+def conflict(x: Column, y: Column, fx: Column | None = None, fy: Column | None = None) -> Column:
+    """Why two fingerprints can't be one product, or null; fx and fy are their facts(), if they are at hand."""
+
+    def of(c: identity.Category) -> Column:
+        if c.conflict in (None, laptop_conflict, mobile_conflict):
+            return (c.conflict or laptop_conflict)(x, y, fx, fy)
+        return c.conflict(x, y)
+
+    own = [(x["category"] == code, of(c)) for code, c in identity.categories().items()]
     return ordered([(x["category"] != y["category"], F.lit("different categories")), (x["brand"] != y["brand"], F.lit("different brands"))], ordered(own))
 
 
@@ -158,12 +167,14 @@ def missing_attributes(x: Column, y: Column) -> Column:
 
 
 def compare(pairs: DataFrame) -> DataFrame:
-    """pairs with decision, confidence, reason and score (the points)."""
+    """pairs with decision, confidence, reason and score (the points). Pairs may bring their sides' facts() as lf_ and rf_."""
     ship(pairs.sparkSession)
     x, y = F.col("l"), F.col("r")
+    if "lf_" not in pairs.columns:
+        pairs = pairs.withColumns({"lf_": facts(x), "rf_": facts(y)})
     named = lambda k, what: (_both(x[k], y[k]), F.when(x[k] == y[k], F.lit(f"exact {what}")).otherwise(F.lit(f"different {what}s")))
     settled = ordered([named("gtin", "GTIN"), named("manufacturer_part_number", "manufacturer part number")])
-    p = pairs.withColumn("reason", F.coalesce(settled, conflict(x, y))).withColumn("score", points(x, y))
+    p = pairs.withColumn("reason", F.coalesce(settled, conflict(x, y, F.col("lf_"), F.col("rf_")))).drop("lf_", "rf_").withColumn("score", points(x, y))
     clash = ~F.col("reason").startswith("exact ") & ~F.col("reason").isin("different GTINs", "different manufacturer part numbers")
     nothing = F.struct(*[F.lit(0).alias(k) for k in POINTS], F.lit(0).alias("total"), F.lit("no_match").alias("tier"))
     done = p.filter(F.col("reason").isNotNull()).withColumns({
@@ -188,7 +199,7 @@ def compare(pairs: DataFrame) -> DataFrame:
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs (i < j by id) of nodes (id, fp) that aren't surely different: the same category, brand and no clash of family, RAM or storage, or a
-    common GTIN or part number. Columns i, j, l, r.
+    common GTIN or part number. Columns i, j, l, r, and the sides' facts lf_ and rf_.
 
     Nodes that have family, RAM and storage join each other on all of them; only those that lack one are paired within their brand, where what
     both have must agree. So the pairs are exact, and a brand's listings aren't all paired with each other.
@@ -215,5 +226,5 @@ def _numbered(n: DataFrame, pairs: DataFrame) -> DataFrame:
         own = n.filter(F.col(k) != "")
         pairs = pairs.union(own.alias("x").join(own.alias("y"), (F.col(f"x.{k}") == F.col(f"y.{k}")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id"), F.col("y.id")))
     pairs = pairs.distinct()
-    side = lambda i, f: n.select(F.col("id").alias(i), F.col("fp").alias(f))
+    side = lambda i, f: n.select(F.col("id").alias(i), F.col("fp").alias(f), facts(F.col("fp")).alias(f"{f}f_"))
     return pairs.join(side("i", "l"), "i").join(side("j", "r"), "j")

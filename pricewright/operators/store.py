@@ -58,6 +58,21 @@ def upsert_offers(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(old, new, ["source", "source_product_id"], keep=["title", "source_url"], default=stock)
 
 
+def upsert_counts(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: inserted (rows of new whose key old hasn't) and written (all of new)."""
+    known = old.select(*[F.col(k).alias(f"{k}_") for k in keys]).withColumn("known_", F.lit(True))
+    on = None
+    for k in keys:
+        c = new[k].eqNullSafe(known[f"{k}_"])
+        on = c if on is None else on & c
+    return new.join(known, on, "left").agg(F.count_if(F.col("known_").isNull()).alias("inserted"), F.count("*").alias("written"))
+
+
+def by_id(products: DataFrame, ids: list) -> DataFrame:
+    """The products with these ids."""
+    return products.filter(F.col("id").isin(ids))
+
+
 def surrogate(*keys: Column) -> Column:
     return F.xxhash64(*keys)
 

@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _all() -> None:
-    from . import attribute_queries, identity_queries, match_queries  # noqa: F401
+    from . import attribute_queries, identity_queries, match_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
@@ -109,19 +109,6 @@ def ignored_keys(spark: SparkSession, d: str) -> DataFrame:
     return values(spark, KEYS).select("id", text.is_ignored_key(F.col("v")).alias("ignored"))
 
 
-@query("cm_to_inch", "SELECT p_partkey, round((p_size + 13) / 2.54, 1) AS inches, CASE WHEN p_size BETWEEN 1 AND 9 THEN round(p_size + (p_partkey % 997) / 1000.0, 2)::DOUBLE END AS kg FROM part WHERE p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
-def cm_to_inch(spark: SparkSession, d: str) -> DataFrame:
-    return cm_to_inch_all(spark, d).filter("p_partkey % 5 <> 0 AND (p_partkey % 997) % 10 <> 5")
-
-
-@query("cm_to_inch_all")
-def cm_to_inch_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every row of part, those of halfway weights too, which engines round differently; cm_to_inch has the rows that its SQL can check."""
-    p = table(spark, d, "part")
-    said = F.concat(F.col("p_size"), F.lit(" kg "), F.col("p_partkey") % 997, F.lit(" g"))
-    return p.select("p_partkey", text.cm_to_inch(F.col("p_size") + 13, 1).alias("inches"), F.when(F.col("p_size").between(1, 9), text.weight_kg(said)).alias("kg"))
-
-
 # Pages and discovery.
 _TRACK = sql_list(fixed.TRACKING_PARAMETERS)
 _CANON = f"""(SELECT page_id, 'https://' || regexp_replace(lower(regexp_extract(u, '^[a-z]+://([^/?]*)', 1)), '^www\\.', '') || CASE WHEN path = '/' THEN '/' ELSE regexp_replace(path, '/$', '') END || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS link FROM (
@@ -183,13 +170,6 @@ def event_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
 
 
-@query("sitemap_parse")
-def sitemap_parse(spark: SparkSession, d: str) -> DataFrame:
-    entry = F.concat(F.lit("<url><loc>https://www.croma.com/laptop/p/"), F.col("page_id") + 300_000, F.lit("</loc><lastmod>2026-01-0"), F.col("page_id") % 9 + 1, F.lit("</lastmod><priority>0.5</priority></url>"))
-    maps = table(spark, d, "pages").select(F.lit("croma").alias("source"), F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), entry, F.lit("</urlset>")).alias("content"))
-    return discovery.sitemap_items(maps, "laptop")
-
-
 # Quality.
 _ACC = " OR ".join(f"regexp_matches(t, '{p}')" for p in fixed.ACCESSORIES)
 
@@ -294,11 +274,6 @@ def similarity_weighted(spark: SparkSession, d: str) -> DataFrame:
     return _part_pairs(spark, d).select("i", "j", match.laptop_similarity(F.col("l"), F.col("r")).alias("laptop"), match.mobile_similarity(F.col("l"), F.col("r")).alias("mobile"))
 
 
-@query("labelled_pairs")
-def labelled_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.decided_pairs(spark)
-
-
 _RATIO = "CASE WHEN {b} > 0 THEN {a} / ({b})::DOUBLE * 100 ELSE {e} END"
 
 
@@ -348,18 +323,6 @@ def source_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return cluster.source_breakdown(l)
 
 
-@query("reconcile_catalog")
-def reconcile_catalog(spark: SparkSession, d: str) -> DataFrame:
-    """The whole chain on titles: gate, fingerprints, matching, clusters, best prices."""
-    from ..sources.labelled_pairs import PAIRS
-
-    rows = [(i, c, f"s{i % 3}", f"p{i}", t, 5_000_000 + 1000 * i, i % 5 != 0) for i, (c, t) in enumerate((c, t) for c, _, a, b in PAIRS for t in (a, b))]
-    l = spark.createDataFrame(rows, "seq long, category string, source string, source_product_id string, title string, price_paise long, in_stock boolean")
-    l = l.withColumns({"brand": text.title_brand(F.col("title")), "model_name": F.col("title"), "source_url": F.lit(""), "attributes": F.create_map().cast("map<string,string>")})
-    c = cluster.clusters(cluster.reconcile(l))
-    return c.select("cluster_seq", "cluster_id", "category", "brand", "model_name", "offers", "sources", "best_price_paise", "best_source", "max_price_paise", "price_spread_paise", "savings_paise", F.coalesce(F.size("review_candidates"), F.lit(0)).alias("reviews"))
-
-
 # Tables.
 @query("offer_latest", f"WITH {L_SQL} SELECT source, pid, price_paise, in_stock, observed_at FROM (SELECT *, row_number() OVER (PARTITION BY source, pid ORDER BY {', '.join(t + ' DESC' for t in TIE)}) AS n FROM L) WHERE n = 1")
 def offer_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -496,18 +459,3 @@ def run_telemetry(spark: SparkSession, d: str) -> DataFrame:
 @query("taxonomy_lookup", "SELECT c AS category, count(*)::BIGINT AS subcategories FROM (VALUES ('laptop', 6), ('mobile', 5)) v(c, n), range(n) GROUP BY c")
 def taxonomy_lookup(spark: SparkSession, d: str) -> DataFrame:
     return ops.taxonomy(spark).groupBy("category").agg(F.count("*").alias("subcategories"))
-
-
-@query("lifecycle_stream")
-def lifecycle_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The streaming form of lifecycle_state, run over the events once: the last state of each user."""
-    import uuid
-
-    from ..streaming.pipeline import lifecycle_stream as run
-
-    e = table(spark, d, "events")
-    crawls = spark.readStream.schema(e.schema).parquet(f"{d}/events.parquet*").select(F.col("user_id").cast("string").alias("listing"), F.col("event_id").alias("crawl_id"), F.col("ts").alias("observed_at"), (F.col("event_type") != "error").alias("ok"), (F.col("event_type") != "click").alias("in_stock"))
-    name = f"states_{uuid.uuid4().hex}"
-    q = run(crawls).writeStream.outputMode("update").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)

@@ -42,14 +42,14 @@ def test_scalars(spark):
 def test_cm_to_inch_of_every_row(spark, tmp_path):
     from decimal import ROUND_HALF_UP, Decimal
 
-    from pricewright.plans.queries import QUERIES
+    from pricewright.plans.queries import queries
 
     rows = [(k, k % 12 + 1) for k in range(1, 1101)]
     spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     nearest = lambda x, unit: float(Decimal(repr(x)).quantize(Decimal(unit), ROUND_HALF_UP))
     want = [(k, nearest((z + 13) / 2.54, "0.1"), nearest(z + k % 997 / 1000, "0.01") if z < 10 else None) for k, z in rows]
     assert sum(k % 997 % 10 == 5 and z < 10 for k, z in rows) > 50
-    assert sorted(map(tuple, QUERIES["cm_to_inch_all"](spark, str(tmp_path)).collect())) == want
+    assert sorted(map(tuple, queries()["cm_to_inch"](spark, str(tmp_path)).collect())) == want
 
 
 def test_token_set_ratio():
@@ -70,13 +70,13 @@ def test_token_set_ratio():
 
 # Identity and matching.
 def test_token_set_of_all_pairs(spark, tmp_path):
-    from pricewright.plans.queries import QUERIES
+    from pricewright.plans.queries import queries
 
     names = ["red widget", "widget red", "blue widget", "hot gear", "gear hot hot", "rod", "hot rod", None, ""]
     spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
-    got = sorted(map(tuple, QUERIES["token_set"](spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, queries()["token_set"](spark, str(tmp_path)).collect()))
     own = [n for n in names if n is not None]
-    assert got == sorted((a, b, token_set_ratio_of(a, b)) for a in own for b in own)
+    assert got == sorted((a, b, round(token_set_ratio_of(a, b), 6)) for a in own for b in own)
     assert ("red widget", "widget red", 100.0) in got and ("hot gear", "gear hot hot", 100.0) in got
 
 
@@ -315,13 +315,16 @@ def test_sitemaps(spark, tmp_path):
 
 
 def test_sitemap_query_has_every_page(spark, tmp_path):
-    from pricewright.plans.queries import QUERIES
+    """Pages whose words are a laptop's and whose sitemap is sound, ids of any length whole."""
+    from pricewright.plans.queries import queries
+    from pricewright.plans.table_queries import SITEMAP
 
     ids = [*range(1, 251), 1_234_567, 1_234_568]
     spark.createDataFrame([(i,) for i in ids], "page_id long").write.parquet(f"{tmp_path}/pages.parquet")
-    got = QUERIES["sitemap_parse"](spark, str(tmp_path)).collect()
-    assert sorted((r.url, r.lastmod.day) for r in got) == sorted((f"https://www.croma.com/laptop/p/{i + 300_000}", i % 9 + 1) for i in ids)
-    assert {r.source_product_id for r in got} >= {str(i + 300_000) for i in range(1, 251)}
+    got = queries()["sitemap_parse"](spark, str(tmp_path)).collect()
+    value = lambda k, i: SITEMAP[k].values[(i + SITEMAP[k].shift) // SITEMAP[k].step % len(SITEMAP[k].values)]
+    want = [i for i in ids if value("sound", i) == 1 and value("word", i) in ("laptop", "MacBook", "thinkpad-x")]
+    assert len(got) == len(want) > 100 and len({r.source_product_id for r in got}) == len(want)
 
 
 def test_discovery(spark):
@@ -409,6 +412,13 @@ def test_keys_that_differ_in_case_or_spaces(spark):
     assert identity.with_fingerprint(rows.withColumn("category", F.lit("tv"))).first().fp.attributes["ram"] == "b"
 
 
+def test_upsert_counts_and_lookup(spark):
+    old = spark.createDataFrame([("a", 1), (None, 2)], "id string, v int")
+    new = spark.createDataFrame([("a", 3), (None, 4), ("b", 5)], "id string, v int")
+    assert tuple(store.upsert_counts(old, new, ["id"]).first()) == (1, 3)
+    assert [r.v for r in store.by_id(new, ["b", "zz"]).collect()] == [5]
+
+
 def test_every_raw_record_is_accepted_or_quarantined(spark):
     url = "https://www.amazon.in/dp/B0ABCDEFGH"
     raw = [("amazon", "a", "laptop", url), ("amazon", "b", "laptop", url), ("amazon", "b", "laptop", url), (None, "c", "laptop", url), ("amazon", None, "laptop", url), (None, None, None, None), ("amazon", "d", None, url), ("amazon", "e", "laptop", None), ("amazon", "f", "laptop", "http://www.amazon.in/x")]
