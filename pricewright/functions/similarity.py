@@ -1,10 +1,9 @@
 """Token-set similarity of names, as an Arrow-batched function."""
 
-from __future__ import annotations
-
 import pandas as pd
 from pyspark.sql import Column
-from pyspark.sql.functions import PandasUDFType, pandas_udf
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 
@@ -39,8 +38,13 @@ def token_set_ratio_of(a: str | None, b: str | None) -> float:
 
 
 def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_ratio_of(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+    """Each different pair of a batch is compared once."""
+    pairs = list(zip(a, b, strict=True))
+    of = {p: token_set_ratio_of(*p) for p in set(pairs)}
+    return pd.Series([of[p] for p in pairs], dtype=float)
 
 
 def token_set_ratio(a: Column, b: Column) -> Column:
-    return pandas_udf(_ratios, DoubleType(), PandasUDFType.SCALAR)(a, b)
+    """Equal names that have a word don't go to Python."""
+    same = F.when((a == b) & a.rlike(r"(?U)\S"), F.lit(100.0))
+    return F.coalesce(same, pandas_udf(_ratios, DoubleType())(a, b))
