@@ -106,6 +106,7 @@ MOBILE_RULES: dict[str, tuple[list[str], Parse]] = {
     "gtin": (["ean", "gtin", "upc"], raw),
     "warranty": (["warranty summary", "warranty on main product", "warranty description", "warranty"], raw),
 }
+# What titles say, and the patterns within laptop_attributes and mobile_attributes.
 LAPTOP_TITLE_CPU = r"(?i)\b(Apple\s+M[1-5](?:\s+(?:Pro|Max|Ultra))?|M[1-5](?:\s+(?:Pro|Max|Ultra))?(?:\s+chip)?|Intel\s+Core\s+(?:Ultra\s+)?[i3579]-?\w*|AMD\s+Ryzen\s+[3579]-?\w+|Snapdragon\s+X\s+\w+|MediaTek\s+\w+)\b"
 LAPTOP_TITLE_GPU = r"(?i)\b(NVIDIA\s+GeForce\s+RTX\s+\d+(?:\s*Ti)?|NVIDIA\s+RTX\s+\d+|Intel\s+Arc\s+\w+|Intel\s+Iris\s+Xe|AMD\s+Radeon\s+\w+|Intel\s+iGPU)\b"
 APPLE_M = r"(?i)\b(M[1-5](?:\s+(?:Pro|Max|Ultra))?)\b"

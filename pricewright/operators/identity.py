@@ -17,6 +17,7 @@ from ..functions.rules import all_within, first_key, first_pattern, first_words,
 from ..functions.text import any_word, cm_to_inch, collapse_repeats, count_of, first_of, fold, group, is_ignored_key, nonblank, text_norm, weight_kg, within
 
 FINGERPRINT = "category string, brand string, family string, model_name string, generation string, chip string, ram_gb int, storage_gb int, storage_type string, screen_size_inches double, gpu_model string, manufacturer_part_number string, gtin string, attributes map<string,string>"
+# This pattern and those within the functions below, which say how titles and specifications put each attribute.
 NUMBER = r"(\d+(?:\.\d+)?)"
 
 

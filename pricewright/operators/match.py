@@ -203,10 +203,18 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
 
     Nodes that have family, RAM and storage join each other on all of them; only those that lack one are paired within their brand, where what
     both have must agree. So the pairs are exact, and a brand's listings aren't all paired with each other.
+
+    Nodes of a category without a normalizer that have no GTIN or part number are paired with the first such node of their brand and with
+    those that have a number, not with each other: compare() puts any two of them at least to review, so that only the first of them
+    can ever be the seed of a cluster, and pairs of the others decide nothing.
     """
     keys = ["family", "ram_gb", "storage_gb"]
     n = nodes.select("id", "fp", *[F.col(f"fp.{k}").alias(k) for k in ("category", "brand", *keys, "gtin", "manufacturer_part_number")])
     n = n.withColumn("whole", F.col("family").isNotNull() & F.col("ram_gb").isNotNull() & F.col("storage_gb").isNotNull())
+    numberless = ~F.coalesce(F.col("gtin") != "", F.lit(False)) & ~F.coalesce(F.col("manufacturer_part_number") != "", F.lit(False))
+    loose = ~F.col("category").isin(list(identity.categories())) & numberless
+    heads = n.filter(loose).groupBy("category", "brand").agg(F.min("id").alias("head")).select("head")
+    n = n.join(heads, F.col("id") == F.col("head"), "left").withColumn("follows", loose & F.col("head").isNull()).drop("head")
     x, y = n.alias("x"), n.alias("y")
     same = lambda k: F.col(f"x.{k}") == F.col(f"y.{k}")
     ids = [F.least("x.id", "y.id").alias("i"), F.greatest("x.id", "y.id").alias("j")]
@@ -217,7 +225,7 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
         agree = agree & block_k
     exact = block & same("family") & same("ram_gb") & same("storage_gb")
     out = x.filter("whole").join(y.filter("whole"), exact & (F.col("x.id") < F.col("y.id"))).select(*ids)
-    lacking = x.filter("not whole").join(y, agree & (F.col("x.id") != F.col("y.id"))).select(*ids)
+    lacking = x.filter("not whole and not follows").join(y, agree & (F.col("x.id") != F.col("y.id"))).select(*ids)
     return _numbered(n, out.union(lacking))
 
 

@@ -425,3 +425,21 @@ def test_every_raw_record_is_accepted_or_quarantined(spark):
     ok, bad = jobs.accepted(spark.createDataFrame(raw, "source string, source_product_id string, category string, source_url string"))
     assert [r.source_product_id for r in ok.collect()] == ["a"]
     assert sorted(r.reason for r in bad.collect()) == ["duplicate id"] * 2 + ["host not allowed"] * 2 + ["missing id"] * 3 + ["unsupported category"]
+
+
+def test_categories_without_normalizer_pair_with_heads_only(spark):
+    """Listings without numbers meet the first of their brand and those with numbers; clusters are those of all pairs."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        number = rng.choice([None, None, None, "111", "222"])
+        rows.append((i, "tv", rng.choice(["aa", "bb"]), rng.choice(["one two", "two one", "three", "four five six"]), number, rng.choice([None, None, "M1", "M2"]), {"ram_gb": "4", "storage_gb": "8", "chipset": "x"} if i % 3 == 0 else {}))
+    l = spark.createDataFrame(rows, "id long, category string, brand string, model_name string, gtin string, manufacturer_part_number string, attributes map<string,string>").withColumn("title", F.col("model_name"))
+    nodes = cluster.shared_table(identity.with_fingerprint(l).select("id", "fp"), "nodes")
+    a, b = nodes.select(F.col("id").alias("i"), F.col("fp").alias("l")), nodes.select(F.col("id").alias("j"), F.col("fp").alias("r"))
+    links = lambda pairs: match.compare(pairs).filter("decision <> 'no_match'").select("i", "j", "decision")
+    seeds = lambda e: sorted(map(tuple, cluster.leader_assign(nodes.select(F.col("id").alias("seq"), F.col("id").alias("node")), e.unionByName(nodes.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit("match").alias("decision")))).select("seq", "match_seed", "review_seed").collect()), key=str)
+    some = match.candidate_pairs(nodes)
+    every = a.join(b, F.col("i") < F.col("j"))
+    assert some.count() < every.filter("l.brand = r.brand OR l.gtin = r.gtin OR l.manufacturer_part_number = r.manufacturer_part_number").count()
+    assert seeds(cluster.shared_table(links(some), "some")) == seeds(cluster.shared_table(links(every), "every"))
