@@ -16,6 +16,7 @@ tasks can run again. Shards go through pyarrow.fs to the shared folder's URI.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -163,6 +164,10 @@ class WordEncoder:
         if len(self.known) > len(self.times):
             self.times = np.concatenate([self.times, np.zeros(len(self.known), np.int64)])
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers, -1 for those that aren't known."""
+        return np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, how many each text has), with the end id after each text."""
         raw, offsets = text_bytes(texts)
@@ -171,13 +176,17 @@ class WordEncoder:
         codes = codes.astype(np.int32)
         del words, raw
         listed = different.to_pylist()
-        if fresh := [w for w in listed if w not in self.known]:
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                self._forget()
-                fresh = [w for w in listed if w not in self.known]
+        k = self._numbers(listed)
+        new = np.flatnonzero(k < 0)
+        if len(new) and len(self.known) + len(new) > CACHE_WORDS:
+            self._forget()
+            k = self._numbers(listed)
+            new = np.flatnonzero(k < 0)
+        if len(new):
+            fresh = [listed[i] for i in new.tolist()]
             for i in range(0, len(fresh), 20_000):
                 self._learn(fresh[i : i + 20_000])
-        k = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+            k[new] = self._numbers(fresh)
         self.times[k] += 1
         starts, sizes = self.bounds[k], self.bounds[k + 1] - self.bounds[k]
         of_word = sizes[codes]

@@ -125,7 +125,7 @@ def test_license_scan_odd(spark, odd, empty):
 def test_elias_fano(steps, more):
     v = np.cumsum([0, *steps])
     low, lows, highs, samples = token_output.ef_encode(v, int(v[-1]) + more)
-    assert len(lows) <= -(-len(v) * low // 8) and len(highs) <= len(v) // 4 + (int(v[-1]) + more >> low) // 8 + 1
+    assert len(lows) <= -(-len(v) * low // 8) and len(highs) == -(-((int(v[-1]) + more >> low) + len(v) + 1) // 8)
     assert [token_output.ef_select(i, low, lows, highs, samples) for i in range(len(v))] == v.tolist()
 
 
