@@ -37,8 +37,23 @@ def refold(specs: Column, key: Parse, value: Parse = lambda v: v) -> Column:
     return F.map_from_entries(F.transform(F.array(entries), last)[0])
 
 
-def get(specs: Column, key: str) -> Column:
-    return F.try_element_at(specs, F.lit(key))
+class Keyed:
+    """Stands for a map of which each key that is asked for is a column of its own: then a value is looked up once, however often rules refer to it."""
+
+    def __init__(self, prefix: str):
+        self.prefix = prefix
+        self.names: dict[str, str] = {}
+
+    def column(self, key: str) -> Column:
+        return F.col(self.names.setdefault(key, f"{self.prefix}{len(self.names)}"))
+
+    def values(self, specs: Column) -> dict[str, Column]:
+        """The columns, by name, from the map itself."""
+        return {name: F.try_element_at(specs, F.lit(key)) for key, name in self.names.items()}
+
+
+def get(specs: Column | Keyed, key: str) -> Column:
+    return specs.column(key) if isinstance(specs, Keyed) else F.try_element_at(specs, F.lit(key))
 
 
 def first_key(specs: Column, keys: list[str], parse: Parse = lambda c: c) -> Column:
