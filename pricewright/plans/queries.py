@@ -142,7 +142,7 @@ def html_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, '<html lang="([a-z]+)"', 1).alias("lang"), F.length(h).cast("long").alias("chars"))
 
 
-@query("html_dom")
+@query("html_dom", "SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')), '') AS title, 0 AS specs, NULL::VARCHAR AS sections FROM pages")
 def html_dom(spark: SparkSession, d: str) -> DataFrame:
     from ..sources.retail import read_pages
 
