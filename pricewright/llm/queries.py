@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of this subpackage with QUERIES and SQL, by operator.
-_MODULES = ["q_warc", "q_license", "q_tokens", "q_quality_model", "q_quality_rules", "q_mixing", "q_near_dup", "q_langid", "q_decontam", "q_chat", "q_simhash", "q_search"]
+_MODULES = ["q_warc", "q_license", "q_tokens", "q_quality_model", "q_quality_rules", "q_mixing", "q_near_dup", "q_langid", "q_decontam", "q_chat", "q_simhash", "q_repair", "q_search"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
