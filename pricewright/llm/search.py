@@ -33,6 +33,8 @@ SHARD_BYTES = 16 << 20
 #: Text of the queries that are answered in one pass over the index.
 BLOCK_BYTES = 4 << 20
 TOP = 10
+#: Tasks that answer a block of queries, if there are so many shards.
+MOST_TASKS = 20_000
 
 INDEX = "shard long, term string, df long, n_terms long, postings binary, ids array<long>, lengths array<long>"
 _INDEX = pa.schema([("shard", pa.int64()), ("term", pa.string()), ("df", pa.int64()), ("n_terms", pa.int64()), ("postings", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))])
@@ -238,7 +240,7 @@ def search(index: DataFrame, queries: DataFrame, *, k: int = TOP, item_col: str
     terms = materialize(query_terms(queries, item_col, text_col), "queries")
     blocks = max(1, -(-int(terms.agg(F.sum(F.octet_length("term") + 1)).first()[0] or 0) // block_bytes))
     whole = index.filter(F.col("term").isNull())
-    total = whole.agg(F.sum("df"), F.sum("n_terms")).first()
+    total = whole.agg(F.sum("df"), F.sum("n_terms"), F.count("*")).first()
     n_docs, n_terms = total[0] or 0, total[1] or 0
     found = None
     for b in range(blocks):
@@ -249,7 +251,8 @@ def search(index: DataFrame, queries: DataFrame, *, k: int = TOP, item_col: str
         df = {r.term: r.df for r in hits.groupBy("term").agg(F.sum("df").alias("df")).collect()}  # of the block's terms
         answers = _answers([sorted(r.terms) for r in rows], df, n_docs, n_terms, k)
         shards = whole.join(hits.select("shard").distinct(), "shard", "left_semi").select(*index.columns).unionByName(hits)
-        got = shards.groupBy("shard").applyInArrow(answers, "item int, doc_id long, score long")
+        # Few bytes a shard but much work: tasks by shards, not by bytes.
+        got = shards.repartition(max(1, min(total[2], MOST_TASKS)), "shard").groupBy("shard").applyInArrow(answers, "item int, doc_id long, score long")
         names = F.broadcast(spark.createDataFrame([(i, r.item) for i, r in enumerate(rows)], "item int, name string"))
         got = got.join(names, "item").select(F.col("name").cast(kind).alias("item_id"), "doc_id", "score")
         rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last()))
