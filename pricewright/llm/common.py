@@ -41,10 +41,33 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/pricewright/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: its lineage ends there, and lost executors cost nothing."""
+#: Rows that go to a Python worker at a time where they hold whole texts; Spark's own default of 10,000 makes batches of 50 MB and more.
+TEXT_ROWS = 500
+
+
+@contextlib.contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Within, jobs send TEXT_ROWS rows at a time to Python workers, unless the session already sends fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= TEXT_ROWS:
+        yield
+        return
+    spark.conf.set(key, TEXT_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def materialize(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it again: its lineage ends there, and lost executors cost nothing.
+
+    texts: whether whole texts go through Python workers on the way.
+    """
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with text_batches(spark) if texts else contextlib.nullcontext():
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

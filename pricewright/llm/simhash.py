@@ -169,7 +169,7 @@ def simhash_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     link but never name a component (component_id is null, and kept true, if all ids of it are null). Ids are cast to long. Other
     columns are ignored, whatever their names.
     """
-    prints = materialize(simhashes(docs, id_col=id_col, text_col=text_col), "simhashes")
+    prints = materialize(simhashes(docs, id_col=id_col, text_col=text_col), "simhashes", texts=True)
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     comps = connected(materialize(near_links(nodes.select("fp"), chain=chain, crowd=crowd), "links"))
     named = materialize(nodes.join(comps.withColumnRenamed("nid", "fp"), "fp", "left"), "named")
