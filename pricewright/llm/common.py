@@ -147,6 +147,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def drawn(key: Column, of: Column, wanted: int) -> Column:
+    """Whether a row is drawn, about `wanted` of `of` rows, by the low bits of its key; in doubles, so that no count is too large."""
+    return F.pmod(key, F.lit(1 << 30)).cast("double") < F.lit(float(wanted) * (1 << 30)) / F.greatest(of.cast("double"), F.lit(1.0))
+
+
 def byte_table(words: str, lower: bool = True) -> np.ndarray:
     """Maps bytes so that white space divides words.
 

@@ -5,10 +5,11 @@ model, whatever their length). A word's probability is the sum, over all ways to
 probabilities: a forward pass over its characters, in logarithms, so that no word is too long or too unlikely.
 A text's score in a language is the sum of its words' logarithms. Probabilities are learned by
 expectation-maximisation (forward-backward over the same cuts) from a bounded sample of labelled documents: about
-SAMPLE_DOCS of each language (fewer where there are more than SAMPLE_TOTAL / SAMPLE_DOCS languages), drawn by a hash from the
-different ones that can be used, whatever their length; their words are counted by executors. The model has a row of
-numbers for each piece and a column for each language, whatever the corpus's size; texts are scored whole, in Arrow
-batches, each different word of a batch once. The only shuffles are those of keys, to count and draw documents.
+SAMPLE_DOCS of each language, drawn by a hash from the different ones that can be used, whatever their length. Languages don't depend
+on each other, so each is fitted by a task of its own, from its own words only. At most MOST_LANGUAGES are learned, those of the most
+usable documents, so that what a wrong lang column holds doesn't count; the model has a row of numbers for each piece and a column for each
+language, whatever the corpus's size. Texts are scored whole, in Arrow batches, each different word of a batch once; lattices and slices
+shrink as languages grow. The only shuffles are those of keys, to count and draw documents.
 """
 
 from __future__ import annotations
@@ -22,12 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERS, coded, held_out, materialize, ship, slices, tidied, tidy, whole_row, with_text, words_of
+from .common import KEPT, LETTERS, coded, drawn, held_out, materialize, ship, slices, tidied, tidy, whole_row, with_text, words_of
 
 SAMPLE_DOCS = 300
 SAMPLE_TOTAL = 100_000
-#: Characters of words that one lattice is made of; a longer word has a lattice of its own.
+#: Languages of a model at most: those with the most usable documents, then by name.
+MOST_LANGUAGES = 256
+#: Characters of words that one lattice is made of, for up to FEW languages; a longer word has a lattice of its own.
 LATTICE_CHARS = 50_000
+FEW = 8
+#: Bytes of text that are scored at a time, for up to FEW languages.
+SCORE_BYTES = 4 << 20
 UNKNOWN = 1e-7
 ROUNDS = 4
 #: Up to so many drawn keys are broadcast; more are joined by a shuffle.
@@ -70,11 +76,11 @@ class Pieces:
     def _hash(p: str) -> int:
         return sum((ord(c) + 1) * pow(_B, i, 1 << 64) for i, c in enumerate(p)) % (1 << 64)
 
-    def lattices(self, words: list[str]) -> Iterator[tuple[int, Lattice]]:
-        """(number of the first word, lattice) of runs of words of about LATTICE_CHARS."""
+    def lattices(self, words: list[str], languages: int = 1) -> Iterator[tuple[int, Lattice]]:
+        """(number of the first word, lattice) of runs of words of about LATTICE_CHARS, fewer for many languages."""
         if not words:
             return
-        run = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words))) // LATTICE_CHARS
+        run = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words))) // max(1, LATTICE_CHARS * FEW // max(FEW, languages))
         starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         for a, b in zip(starts.tolist(), np.r_[starts[1:], len(words)].tolist(), strict=True):
             yield a, Lattice(self, words[a:b])
@@ -164,6 +170,23 @@ class Lattice:
         return used
 
 
+def log_scores(texts: pa.Array, table: Pieces, logp: np.ndarray) -> np.ndarray:
+    """The logarithm of each text's probability in each language; one lattice's words are in memory at a time."""
+    codes, words, bounds = words_and_counts(texts)
+    n, total = len(texts), np.zeros((len(texts), logp.shape[1]))
+    key, times = np.unique(codes * n + np.repeat(np.arange(n), np.diff(bounds)), return_counts=True)
+    word, text = key // max(n, 1), key % max(n, 1)
+    for a, lattice in table.lattices(words, logp.shape[1]):
+        first, stop = np.searchsorted(word, [a, a + len(lattice.last)])
+        order = first + np.argsort(text[first:stop], kind="stable")
+        likely = lattice.log_likelihood(logp)
+        for i in range(0, len(order), max(1, LATTICE_CHARS * FEW // logp.shape[1])):
+            some = order[i : i + max(1, LATTICE_CHARS * FEW // logp.shape[1])]
+            heads = np.flatnonzero(np.r_[True, text[some][1:] != text[some][:-1]])
+            total[text[some][heads]] += np.add.reduceat(likely[word[some] - a] * times[some][:, None], heads, axis=0)
+    return total
+
+
 def words_and_counts(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """(number of each word in the texts, the different words, where each text begins)."""
     words, bounds = words_of(texts, LETTERS)
@@ -171,20 +194,49 @@ def words_and_counts(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray
     return codes, pc.utf8_lower(different).to_pylist(), bounds
 
 
-def fit(words: list[str], times: np.ndarray, pieces: list[str], rounds: int = ROUNDS) -> np.ndarray:
+def fit(words: list[str], times: np.ndarray, pieces: list[str], rounds: int = ROUNDS, table: Pieces | None = None) -> np.ndarray:
     """Probabilities by piece and language (the last row is an unknown character's), from how often each word occurs in each language."""
-    table, n = Pieces(pieces), times.shape[1]
+    table, n = table or Pieces(pieces), times.shape[1]
     p = np.full((len(pieces) + 1, n), 1 / (len(pieces) + 1))
     p[-1] = UNKNOWN
     for _ in range(rounds):
         used, logp = np.zeros_like(p), np.log(p)
-        for a, lattice in table.lattices(words):
+        for a, lattice in table.lattices(words, n):
             used += lattice.expected(logp, times[a : a + len(lattice.last)])
         p = (used + 0.02) / (used[:-1].sum(axis=0) + 0.02 * len(pieces))
         p[-1] = UNKNOWN
     return p
 
 
+def fit_languages(counted: DataFrame, pieces: list[str]) -> tuple[list[str], np.ndarray]:
+    """(languages, probabilities) from lang, word, n: each language in a task of its own, from its own words.
+
+    The driver gets the pieces that a language uses and one number for all others.
+    """
+    shared = counted.sparkSession.sparkContext.broadcast(pieces)
+
+    def one(t: pa.Table) -> pa.Table:
+        with tidy("pieces"):
+            if "pieces" not in KEPT:
+                KEPT["pieces"] = Pieces(shared.value)
+            t = t.sort_by("word")
+            p = fit(t["word"].to_pylist(), t["n"].to_numpy().astype(float)[:, None], shared.value, table=KEPT["pieces"])[:-1, 0]
+            least = p.min(initial=1.0)
+            own = np.flatnonzero(p > least)
+            n = len(own) + 1
+            return pa.table({"lang": t["lang"].slice(0, 1).take(pa.array(np.zeros(n, np.int64))), "piece": pa.array(np.r_[-1, own], pa.int32()), "p": np.r_[least, p[own]]})
+
+    t = counted.groupBy("lang").applyInArrow(one, "lang string, piece int, p double").toArrow().combine_chunks()
+    names = sorted(set(t["lang"].to_pylist()))
+    lang, piece, own = pc.index_in(t["lang"], pa.array(names, pa.string())).to_numpy(), t["piece"].to_numpy(), t["p"].to_numpy()
+    rest = piece < 0
+    p = np.empty((len(pieces) + 1, len(names)))
+    p[:, lang[rest]] = own[rest]
+    p[piece[~rest], lang[~rest]] = own[~rest]
+    p[-1] = UNKNOWN
+    return names, p
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, text to lang, word, n: how often each word occurs in each language."""
     for batch in batches:
@@ -196,11 +248,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([langs.take(pa.array(key // max(1, len(words)))), word, pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
 
 
-def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
+def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL, most_languages: int = MOST_LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
     """(languages, pieces, probabilities), from documents that aren't held out, have a language and a letter.
 
-    Rows that repeat an id, language and text count once. Of each language about sample_docs rows are drawn, of all languages
-    about sample_total, but one row of each language at least is expected. A null id can be drawn. Columns other than the three named are ignored.
+    Rows that repeat an id, language and text count once. The most_languages languages of the most rows are learned; of each about sample_docs
+    rows are drawn, of all about sample_total, but one row of each at least. A null id can be drawn. Columns other than the three named are ignored.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
@@ -208,22 +260,17 @@ def train(docs: DataFrame, model_path: str, *, sample_docs: int = SAMPLE_DOCS, s
     # Keys are drawn without their texts; then the few drawn go to the texts, not the texts to a shuffle.
     usable = materialize(rows.select("lang", "key").distinct(), "usable")
     counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.pmod("key", F.lit(1 << 30))).alias("least")), "languages")
+    counts = counts.orderBy(F.col("n").desc(), "lang").limit(most_languages)
     quota = max(1, min(sample_docs, sample_total // max(1, counts.count())))
-    place = F.pmod("key", F.lit(1 << 30))
-    draw = (place * F.col("n") < F.lit(quota << 30)) | (place == F.col("least"))  # so each language has a row at least
-    drawn = materialize(usable.join(counts, "lang").filter(draw).select("lang", "key"), "drawn")
-    if drawn.count() <= BROADCAST_IDS:
-        drawn = F.broadcast(drawn)
-    sample = rows.join(drawn, ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "text")
-    counted = sample.mapInArrow(tidied(_count_words), "lang string, word string, n long")
-    t = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
-    names = sorted(set(t["lang"].to_pylist()))
-    words = sorted(set(t["word"].to_pylist()))
-    times = np.zeros((len(words), len(names)))
-    times[pc.index_in(t["word"], pa.array(words, pa.string())).to_numpy(), pc.index_in(t["lang"], pa.array(names, pa.string())).to_numpy()] = t["n"].to_numpy()
+    draw = drawn(F.col("key"), F.col("n"), quota) | (F.pmod("key", F.lit(1 << 30)) == F.col("least"))  # so each language has a row at least
+    chosen = materialize(usable.join(F.broadcast(counts), "lang").filter(draw).select("lang", "key"), "drawn")
+    if chosen.count() <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
+    sample = rows.join(chosen, ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "text")
+    counted = sample.mapInArrow(tidied(_count_words), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     pieces = vocabulary(model_path)
-    with tidy():
-        return names, pieces, fit(words, times, pieces)
+    names, p = fit_languages(counted, pieces)
+    return names, pieces, p
 
 
 def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
@@ -249,15 +296,10 @@ def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], *,
         names, table, logp = shared.value
         labels = np.array([*names, "und"], object)
         for batch in batches:
-            for b in slices(with_text(batch, "row", text_col) if with_row else batch, "text", 4 << 20):
+            for b in slices(with_text(batch, "row", text_col) if with_row else batch, "text", SCORE_BYTES * FEW // max(FEW, len(names))):
                 best, score = np.full(b.num_rows, len(names)), np.zeros(b.num_rows)
                 if names:
-                    codes, words, bounds = words_and_counts(b.column("text"))
-                    of_word = np.zeros((len(words) + 1, len(names)))
-                    for a, lattice in table.lattices(words):
-                        of_word[a : a + len(lattice.last)] = lattice.log_likelihood(logp)
-                    total = np.add.reduceat(of_word[np.r_[codes, len(words)]], np.minimum(bounds[:-1], len(codes)), axis=0)
-                    total[np.diff(bounds) == 0] = 0
+                    total = log_scores(b.column("text"), table, logp)
                     share = np.exp(total - total.max(axis=1, keepdims=True))
                     share /= share.sum(axis=1, keepdims=True)
                     letters = b.column("letters").to_numpy(zero_copy_only=False).astype(bool)

@@ -104,7 +104,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text", 4 << 20):
+            for b in slices(batch, "text", 1 << 20):
                 sets = shingle_sets(b.column("text"))
                 n = np.array([len(s) for s in sets], np.int64)
                 full = n > 0
@@ -125,7 +125,7 @@ def _sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text", 4 << 20):
+            for b in slices(batch, "text", 1 << 20):
                 sets = shingle_sets(b.column("text"))
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 own = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
@@ -183,7 +183,7 @@ class _Confirm:
         """
         need = self.nodes.join(nids, "nid", "left_semi").select(F.col("first_id").alias("of")).distinct()
         sets = _sets(self.docs.join(need, F.col("first_id").eqNullSafe(F.col("of")), "left_semi"))
-        return materialize(sets.join(nids, "nid", "left_semi").dropDuplicates(["nid"]), "sets")
+        return materialize(sets.join(nids, "nid", "left_semi").dropDuplicates(["nid"]), "sets", texts=True)
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sizes and estimate don't rule out the threshold."""
@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 80, id_col: str = "doc_
     (component_id is null if all ids of it are null; such rows are kept). Ids are cast to long: one that isn't a whole number fails
     under ANSI mode. Other columns are ignored, whatever their names.
     """
-    prints = materialize(fingerprints(docs, id_col, text_col), "prints")
+    prints = materialize(fingerprints(docs, id_col, text_col), "prints", texts=True)
     full = prints.filter(F.col("nid").isNotNull())
     nodes = materialize(full.groupBy("nid").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("low").alias("low"), F.first("bands").alias("bands")), "nodes")
     confirm = _Confirm(docs, nodes, threshold, id_col, text_col)

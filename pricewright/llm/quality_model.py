@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, coded, held_out, materialize, mix64, ship, slices, split_bytes, text_bytes, tidied
+from .common import SPACED, coded, drawn, held_out, materialize, mix64, ship, slices, split_bytes, text_bytes, tidied
 
 TAIL_BUCKETS, SHAPE_BUCKETS = 4096, 1024
 MIN_DOCS = 3
@@ -230,15 +230,15 @@ def draw_sample(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE
     """
     own = materialize(_usable(labels, id_col, label_col), "labels")
     total = own.count()
-    drawn = own.filter(F.pmod(F.xxhash64("of", F.lit(4)), F.lit(1 << 30)) * F.lit(total) < F.lit(sample_docs << 30))
-    if total <= sample_docs or drawn.count() <= 2 * sample_docs:  # about sample_docs rows of two numbers
-        drawn = F.broadcast(drawn)
-    rows = docs.select(F.col(id_col).cast("long").alias("of"), F.col(text_col).cast("string").alias("text")).join(drawn, "of")
+    some = own.filter(drawn(F.xxhash64("of", F.lit(4)), F.lit(total), sample_docs))
+    if total <= sample_docs or some.count() <= 2 * sample_docs:  # about sample_docs rows of two numbers
+        some = F.broadcast(some)
+    rows = docs.select(F.col(id_col).cast("long").alias("of"), F.col(text_col).cast("string").alias("text")).join(some, "of")
     rows = rows.withColumn("key", F.xxhash64("of", "text", F.lit(5))).dropDuplicates(["of", "key"])
     rows = materialize(rows, "sample")
     n = rows.count()
     if n > 2 * sample_docs:  # ids that many texts repeat
-        rows = rows.filter(F.pmod("key", F.lit(1 << 30)) * F.lit(n) < F.lit(sample_docs << 30))
+        rows = rows.filter(drawn(F.col("key"), F.lit(n), sample_docs))
     return rows.select("of", "y", "text")
 
 

@@ -655,3 +655,37 @@ def test_chat_of_one_number_long_texts_and_odd_columns(spark):
     assert sorted((r.conv_id, r.run, r.n_turns) for r in got) == [(1, k, 2000) for k in range(8)] + [(2, k, 600) for k in range(3)] + [(4, 0, 1)]
     text = "".join(r.text for r in sorted((r for r in got if r.conv_id == 1), key=lambda r: r.run))
     assert text == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for _, _, _, t in rows[:2000]) and len(got) == 12
+
+
+def test_draws_of_huge_counts(spark):
+    """No count overflows, and about as many rows as wanted are drawn."""
+    from pricewright.llm.common import drawn
+
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("key"), F.lit(10**11).alias("n"))
+    assert rows.filter(drawn(F.col("key"), F.col("n"), 10**9)).count() == pytest.approx(2000, rel=0.2)
+    assert rows.filter(drawn(F.col("key"), F.lit(9 * 10**18), 300)).count() == 0
+    assert rows.filter(drawn(F.col("key"), F.lit(5), 300)).count() == 200_000
+
+
+def test_languages_are_bounded(spark):
+    """2,000 values of lang: the most frequent ones are learned, in a model of bounded size; as one by one."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"{chr(97 + i % 20)}{rng.choice('aeiou')}{rng.choice('nrst')}" for _ in range(20)), f"l{i % 20}", "s", 0) for i in range(600)] + [(1000 + i, f"ruido {i} x", f"odd{i}", "s", 0) for i in range(1980)]
+    docs = spark.createDataFrame(rows, DOCS)
+    names, pieces, p = langid.train(docs, tokenizer_path("piece_bpe_32k.model"), most_languages=20)
+    assert names == sorted(f"l{i}" for i in range(20)) and p.shape == (len(pieces) + 1, 20)
+    got = langid.identify(docs.filter("doc_id < 600"), (names, pieces, p)).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id % 20}" for r in got) > 590
+    assert langid.train(docs, tokenizer_path("piece_bpe_32k.model"))[2].nbytes < 50 << 20
+
+
+def test_scores_of_many_languages_in_small_lattices(monkeypatch):
+    rng = np.random.default_rng(1)
+    pieces = sorted({"▁", "a", "b", "ab", "▁a"})
+    logp, table = np.log(rng.random((len(pieces) + 1, 40))), langid.Pieces(pieces)
+    texts = pa.array(["ab a b ab ab", None, "", "b" * 30 + " a", "c ab"])
+    want = langid.log_scores(texts, table, logp)
+    monkeypatch.setattr(langid, "LATTICE_CHARS", 7)
+    assert langid.log_scores(texts, table, logp) == pytest.approx(want)
+    for t, text in enumerate(texts.to_pylist()):
+        assert want[t, 3] == pytest.approx(sum(plain_log_word(w, pieces, logp[:, 3]) for w in (text or "").split()))
