@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _all() -> None:
-    from . import attribute_queries, identity_queries, match_queries, page_queries, table_queries  # noqa: F401
+    from . import attribute_queries, identity_queries, match_queries, page_queries, stream_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
