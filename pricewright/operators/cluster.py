@@ -68,9 +68,13 @@ def first_independent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         open_ = open_.join(fresh, "id", "left_anti")
 
 
-def leader_assign(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """rows (seq, node) with match_seed and review_seed (nodes); links: (i, j, decision) of nodes, in either direction. node: the first seq of a fingerprint."""
+def leader_assign(rows: DataFrame, links: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """rows (seq, node) with match_seed and review_seed (nodes); links: (i, j, decision) of nodes, in either direction. node: the first seq of a fingerprint.
+
+    earlier: seeds (id) of runs before, all before the rows and without links to each other; they stay seeds.
+    """
     nodes = rows.select(F.col("node").alias("id")).distinct()
+    nodes = nodes if earlier is None else nodes.union(earlier.select("id"))
     near = links.filter(F.col("decision").isin(MATCH, REVIEW))
     seeds = shared_table(first_independent(nodes, near), "seeds")
     near = near.union(near.select(F.col("j").alias("i"), F.col("i").alias("j"), "decision")).distinct()
@@ -111,20 +115,48 @@ def cluster_id(fp: Column) -> Column:
     return F.concat(F.lit("clus_"), F.substring(F.sha2(F.concat_ws("\x1f", *parts, color), 256), 1, 16))
 
 
-def reconcile(listings: DataFrame) -> DataFrame:
+def seeds_of(reconciled: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """id and fp of the seeds after a run, with those from before: what the next batch is compared with."""
+    new = reconciled.filter(F.col("seq") == F.col("cluster_seq")).select(F.col("seq").alias("id"), "fp")
+    return new if seeds is None else seeds.select("id", "fp").unionByName(new)
+
+
+def reconcile_batches(batches: list[DataFrame]) -> DataFrame:
+    """Listings batch by batch, in order: each is compared with the seeds that are stored so far; the result is that of one run over all."""
+    out, seeds = None, None
+    for b in batches:
+        r = shared_table(reconcile(b, seeds), "batch")
+        seeds = shared_table(seeds_of(r, seeds), "seeds")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def reconcile(listings: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """listings (with seq, the order of ingestion, no two alike) with quality columns, fp, cluster_id and cluster_seq of the cluster joined, and
-    review_cluster_id, review_cluster_seq of the one to be reviewed with; all null for rejected listings."""
+    review_cluster_id, review_cluster_seq of the one to be reviewed with; all null for rejected listings.
+
+    seeds (id, fp; seeds_of() earlier runs, all with smaller seq): the listings are compared with these and with each other, and with nothing
+    else that was there before. Since only seeds are ever compared with, batch after batch gives the clusters of one run over all.
+    """
     q = shared_table(with_fingerprint(classify(listings)), "listings")
     live = q.filter("quality_status <> 'REJECTED'").select("seq", "fp")
     key = F.sha2(F.to_json("fp"), 256)
     keyed = shared_table(live.select("seq", key.alias("key")), "keys")
     firsts = keyed.groupBy("key").agg(F.min("seq").alias("node"))
     rows = shared_table(keyed.join(firsts, "key").select("seq", "node"), "nodes")
-    heads = shared_table(live.join(firsts.select(F.col("node").alias("seq")), "seq", "left_semi").select(F.col("seq").alias("id"), "fp"), "heads")
+    heads = shared_table(live.join(firsts.select(F.col("node").alias("seq")), "seq", "left_semi").select(F.col("seq").alias("id"), "fp", F.lit(True).alias("fresh")), "heads")
     own = facts(F.col("fp"))
-    pairs = candidate_pairs(heads).unionByName(heads.select(F.col("id").alias("i"), F.col("id").alias("j"), F.col("fp").alias("l"), F.col("fp").alias("r"), own.alias("lf_"), own.alias("rf_")))
+    pairs = heads.select(F.col("id").alias("i"), F.col("id").alias("j"), F.col("fp").alias("l"), F.col("fp").alias("r"), own.alias("lf_"), own.alias("rf_"))
+    if seeds is not None:
+        seeds = seeds.select("id", "fp", F.lit(False).alias("fresh"))
+        # A seed's fingerprint that comes again is paired with it, whatever blocks say.
+        old = seeds.select(F.col("id").alias("i"), F.col("fp").alias("l"), own.alias("lf_"), key.alias("key"))
+        again = old.join(heads.select(F.col("id").alias("j"), F.col("fp").alias("r"), own.alias("rf_"), key.alias("key")), "key")
+        pairs = pairs.unionByName(again.select(*pairs.columns))
+        heads = shared_table(heads.unionByName(seeds), "heads")
+    pairs = pairs.unionByName(candidate_pairs(heads))
     links = shared_table(compare(pairs).select("i", "j", "decision").filter(F.col("decision") != "no_match"), "links")
-    placed = leader_assign(rows, links)
+    placed = leader_assign(rows, links, seeds)
     ids = heads.select(F.col("id").alias("s"), cluster_id(F.col("fp")).alias("cid"))
     named = lambda c, a, b: ids.select(F.col("s").alias(c), F.col("cid").alias(a), F.col("s").alias(b))
     placed = placed.join(named("match_seed", "cluster_id", "cluster_seq"), "match_seed", "left").join(named("review_seed", "review_cluster_id", "review_cluster_seq"), "review_seed", "left")

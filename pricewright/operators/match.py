@@ -197,7 +197,30 @@ def compare(pairs: DataFrame) -> DataFrame:
     return done.unionByName(rest.drop("missing", "alike", "whole"))
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
+#: Rows of each side that meet in one tile of a block.
+SIDE = 2_000
+
+
+def tiled_join(x: DataFrame, y: DataFrame, keys: list[str], condition: Column, side: int = SIDE) -> DataFrame:
+    """x and y (id and keys at least; aliases "x" and "y") joined on keys and the condition, however many rows share a key.
+
+    The pairs of a key with more than side * side of them are dealt over tiles, each of about `side` rows of x and of y by a hash of their
+    ids; every row goes to the tiles of its row or column. So the largest task is a few tiles, not a block, and rows are copied as often as
+    their block has tiles along the other side.
+    """
+    n = x.groupBy(*keys).agg(F.count("*").cast("double").alias("nx")).join(y.groupBy(*keys).agg(F.count("*").cast("double").alias("ny")), keys)
+    large = n.filter(F.col("nx") * F.col("ny") > float(side) * side).select(*keys, *[F.ceil(F.col(c) / side).cast("int").alias(m) for c, m in (("nx", "mx_"), ("ny", "my_"))])
+    tiles = lambda m: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(m), F.lit(1)) - 1))
+    tile = lambda m: F.pmod(F.xxhash64("id"), F.coalesce(F.col(m), F.lit(1))).cast("int")
+    xt = x.join(large, keys, "left").withColumn("tx_", tile("mx_")).withColumn("ty_", tiles("my_")).drop("mx_", "my_")
+    yt = y.join(large, keys, "left").withColumn("ty_", tile("my_")).withColumn("tx_", tiles("mx_")).drop("mx_", "my_")
+    on = condition
+    for k in (*keys, "tx_", "ty_"):
+        on = on & (F.col(f"x.{k}") == F.col(f"y.{k}"))
+    return xt.alias("x").join(yt.alias("y"), on)
+
+
+def candidate_pairs(nodes: DataFrame, side: int = SIDE) -> DataFrame:
     """Pairs (i < j by id) of nodes (id, fp) that aren't surely different: the same category, brand and no clash of family, RAM or storage, or a
     common GTIN or part number. Columns i, j, l, r, and the sides' facts lf_ and rf_.
 
@@ -207,32 +230,34 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     Nodes of a category without a normalizer that have no GTIN or part number are paired with the first such node of their brand and with
     those that have a number, not with each other: compare() puts any two of them at least to review, so that only the first of them
     can ever be the seed of a cluster, and pairs of the others decide nothing.
+
+    If nodes have a column fresh, pairs of two that aren't are left out. Large blocks are dealt over tiles (tiled_join).
     """
+    if "fresh" not in nodes.columns:
+        nodes = nodes.withColumn("fresh", F.lit(True))
     keys = ["family", "ram_gb", "storage_gb"]
-    n = nodes.select("id", "fp", *[F.col(f"fp.{k}").alias(k) for k in ("category", "brand", *keys, "gtin", "manufacturer_part_number")])
+    n = nodes.select("id", "fp", "fresh", *[F.col(f"fp.{k}").alias(k) for k in ("category", "brand", *keys, "gtin", "manufacturer_part_number")])
     n = n.withColumn("whole", F.col("family").isNotNull() & F.col("ram_gb").isNotNull() & F.col("storage_gb").isNotNull())
     numberless = ~F.coalesce(F.col("gtin") != "", F.lit(False)) & ~F.coalesce(F.col("manufacturer_part_number") != "", F.lit(False))
     loose = ~F.col("category").isin(list(identity.categories())) & numberless
     heads = n.filter(loose).groupBy("category", "brand").agg(F.min("id").alias("head")).select("head")
     n = n.join(heads, F.col("id") == F.col("head"), "left").withColumn("follows", loose & F.col("head").isNull()).drop("head")
-    x, y = n.alias("x"), n.alias("y")
-    same = lambda k: F.col(f"x.{k}") == F.col(f"y.{k}")
+    n = n.drop("fp")
     ids = [F.least("x.id", "y.id").alias("i"), F.greatest("x.id", "y.id").alias("j")]
-    block = same("category") & same("brand")
-    agree = block
+    some = F.col("x.fresh") | F.col("y.fresh")
+    agree = (F.col("x.id") != F.col("y.id")) & some
     for k in keys:
-        block_k = F.col(f"x.{k}").isNull() | F.col(f"y.{k}").isNull() | same(k)
-        agree = agree & block_k
-    exact = block & same("family") & same("ram_gb") & same("storage_gb")
-    out = x.filter("whole").join(y.filter("whole"), exact & (F.col("x.id") < F.col("y.id"))).select(*ids)
-    lacking = x.filter("not whole and not follows").join(y, agree & (F.col("x.id") != F.col("y.id"))).select(*ids)
-    return _numbered(n, out.union(lacking))
+        agree = agree & (F.col(f"x.{k}").isNull() | F.col(f"y.{k}").isNull() | (F.col(f"x.{k}") == F.col(f"y.{k}")))
+    whole = n.filter("whole")
+    out = tiled_join(whole, whole, ["category", "brand", *keys], (F.col("x.id") < F.col("y.id")) & some, side).select(*ids)
+    lacking = tiled_join(n.filter("not whole and not follows"), n, ["category", "brand"], agree, side).select(*ids)
+    return _numbered(n, out.union(lacking), nodes, side)
 
 
-def _numbered(n: DataFrame, pairs: DataFrame) -> DataFrame:
+def _numbered(n: DataFrame, pairs: DataFrame, nodes: DataFrame, side: int) -> DataFrame:
     for k in ("gtin", "manufacturer_part_number"):
-        own = n.filter(F.col(k) != "")
-        pairs = pairs.union(own.alias("x").join(own.alias("y"), (F.col(f"x.{k}") == F.col(f"y.{k}")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id"), F.col("y.id")))
+        own = n.filter(F.col(k) != "").select("id", k, "fresh")
+        pairs = pairs.union(tiled_join(own, own, [k], (F.col("x.id") < F.col("y.id")) & (F.col("x.fresh") | F.col("y.fresh")), side).select(F.col("x.id"), F.col("y.id")))
     pairs = pairs.distinct()
-    side = lambda i, f: n.select(F.col("id").alias(i), F.col("fp").alias(f), facts(F.col("fp")).alias(f"{f}f_"))
-    return pairs.join(side("i", "l"), "i").join(side("j", "r"), "j")
+    fp = lambda i, f: nodes.select(F.col("id").alias(i), F.col("fp").alias(f), facts(F.col("fp")).alias(f"{f}f_"))
+    return pairs.join(fp("i", "l"), "i").join(fp("j", "r"), "j")

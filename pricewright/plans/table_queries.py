@@ -198,6 +198,17 @@ def reconcile_catalog(spark: SparkSession, d: str) -> DataFrame:
     return c.select("cluster_seq", "offers", "sources", "best_price_paise", "best_source", "max_price_paise", "price_spread_paise", "savings_paise", "multi_source")
 
 
+@query("reconcile_increments", """WITH o AS (SELECT p_partkey AS seq, p_partkey // 5 AS g FROM part WHERE p_partkey % 11 <> 0), s AS (SELECT seq, min(seq) OVER (PARTITION BY g) AS cluster_seq FROM o)
+SELECT p_partkey AS seq, cluster_seq FROM part LEFT JOIN s ON p_partkey = seq""")
+def reconcile_increments(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog in three batches, each against the seeds stored so far: clusters reach over batches, as in one run over all."""
+    listings = cluster.shared_table(_catalog(spark, d), "catalog")
+    ends = listings.agg(F.min("seq"), F.max("seq")).first()
+    lo, third = ends[0] or 0, ((ends[1] or 0) - (ends[0] or 0)) // 3 + 1
+    parts = [listings.filter((F.col("seq") >= lo + k * third) & (F.col("seq") < lo + (k + 1) * third)) for k in range(3)]
+    return cluster.reconcile_batches(parts).select("seq", "cluster_seq")
+
+
 def _catalog(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     group = F.expr("p_partkey div 5")
