@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 Parse = Callable[[Column], Column]
 
+T = TypeVar("T")
+_BUILT: dict[tuple[str, ...], object] = {}
+
+
+def built(make: Callable[[], T], *name: str) -> T:
+    """What make() gives, made once for each application and name: trees of Columns that refer to columns by name only fit any frame, and
+    making them costs far more calls to the JVM than using them."""
+    key = (SparkSession.active().sparkContext.applicationId, *name)
+    if key not in _BUILT:
+        _BUILT[key] = make()
+    return _BUILT[key]  # type: ignore[return-value]
+
 
 def ordered(cases: list[tuple[Column, Column]], default: Column | None = None) -> Column:
     """The value of the first case that holds."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.rules import Keyed, first_key, first_pattern, first_present, first_words, get, map_of, ordered, overlay, refold
+from ..functions.rules import Keyed, built, first_key, first_pattern, first_present, first_words, get, map_of, ordered, overlay, refold
 from ..functions.text import any_word, capacity_gb, cm_to_inch, first_capacity, first_of, fold, group, has_any, is_ignored_key, nonblank, text_norm, weight_kg, within
 from .identity import staged
 
@@ -188,15 +188,16 @@ def mobile_attributes(title: Column, specs: Column) -> dict[str, Column]:
 
 def with_attributes(listings: DataFrame) -> DataFrame:
     """listings (category, title, specs map) with attributes: the specifications that mean something, by folded key, and what is typed (which wins)."""
-    clean = refold(F.col("specs"), text_norm)
-    kept = F.map_filter(F.col("n_"), lambda k, _: ~is_ignored_key(k))
-    d = staged(listings, lambda: {"n_": clean}, lambda: {"n_": kept})
+    d = staged(listings, lambda: {"n_": refold(F.col("specs"), text_norm)}, lambda: {"n_": F.map_filter(F.col("n_"), lambda k, _: ~is_ignored_key(k))}, name="attributes")
     code, kinds = F.lower(F.trim("category")), {}
     for name, build, of in (("l_", laptop_attributes, code == "laptop"), ("m_", mobile_attributes, code.isin("mobile", "smartphone", "phone"))):
         # Values of keys, then fields, then their map: each a step, so that nothing is worked out twice, and only for the category's rows.
-        values = Keyed(f"{name}k")
-        fields = {k: (f"{name}{i}", F.when(of, c)) for i, (k, c) in enumerate(build(F.col("title"), values).items())}
-        d = staged(d, lambda: {c: F.when(of, v) for c, v in values.values(F.col("n_")).items()}, lambda: dict(fields.values()), lambda: {name: F.when(of, map_of({k: F.col(c) for k, (c, _) in fields.items()}))})  # noqa: B023
+        def make(name: str = name, build: Callable[..., dict[str, Column]] = build, of: Column = of) -> tuple[Keyed, dict[str, tuple[str, Column]]]:
+            values = Keyed(f"{name}k")
+            return values, {k: (f"{name}{i}", F.when(of, c)) for i, (k, c) in enumerate(build(F.col("title"), values).items())}
+
+        values, fields = built(make, "attribute fields", name)
+        d = staged(d, lambda: {c: F.when(of, v) for c, v in values.values(F.col("n_")).items()}, lambda: dict(fields.values()), lambda: {name: F.when(of, map_of({k: F.col(c) for k, (c, _) in fields.items()}))}, name=f"attributes {name}")  # noqa: B023
         d = d.drop(*values.names.values(), *[c for c, _ in fields.values()])
         kinds[name] = of
     typed = ordered([(of, F.col(name)) for name, of in kinds.items()], F.create_map().cast("map<string,string>"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.rules import all_within, first_key, first_pattern, first_words, get, map_of, ordered, overlay, refold
+from ..functions.rules import all_within, built, first_key, first_pattern, first_words, get, map_of, ordered, overlay, refold
 from ..functions.text import any_word, cm_to_inch, collapse_repeats, count_of, first_of, fold, group, is_ignored_key, nonblank, text_norm, weight_kg, within
 
 FINGERPRINT = "category string, brand string, family string, model_name string, generation string, chip string, ram_gb int, storage_gb int, storage_type string, screen_size_inches double, gpu_model string, manufacturer_part_number string, gtin string, attributes map<string,string>"
@@ -158,10 +158,13 @@ def _basic(category: Column, brand: Column, name: Column, mpn: Column, gtin: Col
 IN = ("title_", "brand_", "name_", "mpn_", "gtin_", "specs_")
 
 
-def staged(df: DataFrame, *steps: Callable[[], dict[str, Column]]) -> DataFrame:
-    """df with each step's columns in turn, so that later steps refer to columns, not to the expressions behind them."""
-    for step in steps:
-        df = df.withColumns(step())
+def staged(df: DataFrame, *steps: Callable[[], dict[str, Column]], name: str | None = None) -> DataFrame:
+    """df with each step's columns in turn, so that later steps refer to columns, not to the expressions behind them.
+
+    name: the steps are always the same under this name, so their expressions are made once.
+    """
+    for k, step in enumerate(steps):
+        df = df.withColumns(built(step, name, str(k)) if name else step())
     return df
 
 
@@ -203,7 +206,7 @@ def laptop_fingerprint(df: DataFrame) -> DataFrame:
         )
         return {"fp_": F.when(f("sound"), full).otherwise(_basic(F.lit("laptop"), brand, name, mpn, gtin, specs))}
 
-    return staged(df, read, combine, call, whole)
+    return staged(df, read, combine, call, whole, name="laptop_fingerprint")
 
 
 def mobile_screen(title: Column, specs: Column) -> Column:
@@ -297,7 +300,7 @@ def mobile_fingerprint(df: DataFrame) -> DataFrame:
         )
         return {"fp_": F.when(f("sound"), full).otherwise(_basic(F.lit("mobile"), brand, name, mpn, gtin, specs))}
 
-    return staged(df, read, combine, call, whole)
+    return staged(df, read, combine, call, whole, name="mobile_fingerprint")
 
 
 Pair = Callable[[Column, Column], Column]
@@ -334,7 +337,7 @@ def category(code: str) -> Category:
 
 def plain_fingerprint(df: DataFrame) -> DataFrame:
     """Brand, name, numbers and attributes as they are."""
-    return df.withColumn("fp_", _basic(F.col("code_"), *(F.col(c) for c in IN[1:])))
+    return df.withColumns(built(lambda: {"fp_": _basic(F.col("code_"), *(F.col(c) for c in IN[1:]))}, "plain_fingerprint"))
 
 
 def with_fingerprint(listings: DataFrame, name: str = "fp") -> DataFrame:

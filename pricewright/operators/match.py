@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.rules import ordered
+from ..functions.rules import built, ordered
 from ..functions.ship import ship
 from ..functions.similarity import token_set_ratio
 from ..functions.text import fold, group
@@ -171,10 +171,11 @@ def compare(pairs: DataFrame) -> DataFrame:
     ship(pairs.sparkSession)
     x, y = F.col("l"), F.col("r")
     if "lf_" not in pairs.columns:
-        pairs = pairs.withColumns({"lf_": facts(x), "rf_": facts(y)})
+        pairs = pairs.withColumns(built(lambda: {"lf_": facts(x), "rf_": facts(y)}, "facts"))
     named = lambda k, what: (_both(x[k], y[k]), F.when(x[k] == y[k], F.lit(f"exact {what}")).otherwise(F.lit(f"different {what}s")))
     settled = ordered([named("gtin", "GTIN"), named("manufacturer_part_number", "manufacturer part number")])
-    p = pairs.withColumn("reason", F.coalesce(settled, conflict(x, y, F.col("lf_"), F.col("rf_")))).drop("lf_", "rf_").withColumn("score", points(x, y))
+    known = ", ".join(f"{k}={id(c)}" for k, c in identity.categories().items())
+    p = pairs.withColumns(built(lambda: {"reason": F.coalesce(settled, conflict(x, y, F.col("lf_"), F.col("rf_")))}, "conflict", known)).drop("lf_", "rf_").withColumns(built(lambda: {"score": points(x, y)}, "points"))
     clash = ~F.col("reason").startswith("exact ") & ~F.col("reason").isin("different GTINs", "different manufacturer part numbers")
     nothing = F.struct(*[F.lit(0).alias(k) for k in POINTS], F.lit(0).alias("total"), F.lit("no_match").alias("tier"))
     done = p.filter(F.col("reason").isNotNull()).withColumns({

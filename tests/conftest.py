@@ -13,7 +13,7 @@ def spark():
     s = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
