@@ -35,6 +35,24 @@ def token_set(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("a", "b", F.round(token_set_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
 
 
+@query("token_set_join", f"WITH RECURSIVE names AS (SELECT DISTINCT p_name || ' ' || lower(p_type) AS a FROM part WHERE p_name IS NOT NULL AND p_type IS NOT NULL), named AS (SELECT x.a, y.a AS b FROM names x JOIN names y ON x.a < y.a), {RATIO} SELECT a, b, round(alike, 6) AS ratio FROM ratio WHERE alike >= 75")
+def token_set_join(spark: SparkSession, d: str) -> DataFrame:
+    """Names of parts with their types that are at least 75 alike: a similarity join, where token_set compares all with all."""
+    from ..operators.names import similar_names
+
+    rows = table(spark, d, "part").select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("id")).filter("id is not null").distinct().withColumn("name", F.col("id"))
+    return similar_names(rows).select(F.col("i").alias("a"), F.col("j").alias("b"), F.round("ratio", 6).alias("ratio"))
+
+
+@query("price_band", "SELECT x.p_partkey AS i, y.p_partkey AS j FROM part x JOIN part y ON x.p_brand = y.p_brand AND x.p_partkey < y.p_partkey AND x.p_partkey // 1000 = y.p_partkey // 1000 AND abs(x.p_retailprice - y.p_retailprice) < 0.7")
+def price_band(spark: SparkSession, d: str) -> DataFrame:
+    """Parts of a brand, of 1,000 neighbours each, whose prices differ by less than 0.7."""
+    from ..operators.names import band_join
+
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_brand", F.expr("p_partkey div 1000").alias("slot"), "p_retailprice")
+    return band_join(rows, ["p_brand", "slot"], "p_retailprice", 0.7).select(F.col("x.id").alias("i"), F.col("y.id").alias("j"))
+
+
 REPEATS = {f"w{i}": Field(("Air", "air", "Pro", "15", "AIR"), 5**i) for i in range(6)}
 
 
