@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.canonical import json_map, json_object, json_string
 from .identity import with_fingerprint
 from .match import MATCH, REVIEW, candidate_pairs, compare, facts
 from .quality import classify
@@ -108,11 +109,9 @@ def leader_reference(decisions: dict[tuple[int, int], str], n: int) -> list[tupl
 
 
 def cluster_id(fp: Column) -> Column:
-    """A stable id from the seed's category, brand, name and identity attributes."""
-    names = ["family", "generation", "chip", "ram_gb", "storage_gb", "screen_size_inches", "gpu_model", "manufacturer_part_number", "gtin"]
-    parts = [F.coalesce(fp[k].cast("string"), F.lit("")) for k in ("category", "brand", "model_name", *names)]
-    color = F.coalesce(F.try_element_at(fp["attributes"], F.lit("color")), F.lit(""))
-    return F.concat(F.lit("clus_"), F.substring(F.sha2(F.concat_ws("\x1f", *parts, color), 256), 1, 16))
+    """A stable id: the hash of the seed's category, brand, name and attributes as canonical JSON, so that the order of attributes doesn't count."""
+    text = json_object({k: json_string(fp[k]) for k in ("category", "brand", "model_name")} | {"attributes": json_map(fp["attributes"])})
+    return F.concat(F.lit("clus_"), F.substring(F.sha2(text.cast("binary"), 256), 1, 16))
 
 
 def seeds_of(reconciled: DataFrame, seeds: DataFrame | None = None) -> DataFrame:

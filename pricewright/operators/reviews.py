@@ -7,10 +7,42 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.rules import ordered
+from .cluster import shared_table
 
 PAGE_LIMIT = 100
 
 
+def in_order(pages: DataFrame) -> DataFrame:
+    """pages (product_id, cursor, next_cursor, reviews) that a product's chain of cursors reaches, with page_no from 1 and a reason if the chain breaks
+    there: the page without a cursor is the first, each next_cursor names the page after it.
+
+    Pages come in any order; a chain is ranked in rounds that double its ranked length: each round adds the pages 2^k places on, then squares
+    the table of jumps. A chain ends with a page without reviews or next_cursor. A next_cursor that came before breaks it ("repeated
+    cursor"), as does one without a page ("no such page"). Of several pages with one cursor one counts (the smallest next_cursor); rows without a product are left out.
+    """
+    own = pages.filter("product_id is not null").withColumns({"k_": F.coalesce(F.concat(F.lit("c"), "cursor"), F.lit("")), "r_": F.xxhash64(F.col("next_cursor"))})
+    one = own.groupBy("product_id", "k_").agg(F.min_by(F.struct("cursor", "next_cursor", "reviews"), F.struct("next_cursor", "r_")).alias("p"))
+    one = shared_table(one.select("product_id", "k_", "p.*"), "pages")
+    live = F.col("next_cursor").isNotNull() & (F.coalesce(F.size("reviews"), F.lit(0)) > 0)
+    # What a page leads to, and through how many pages; null at the end of a chain.
+    jump = shared_table(one.filter(live).select("product_id", F.col("k_").alias("a"), F.concat(F.lit("c"), "next_cursor").alias("b")), "jumps")
+    known = one.select("product_id", F.col("k_").alias("b"))
+    jump = shared_table(jump.join(known, ["product_id", "b"], "left_semi").select("product_id", "a", "b"), "jumps")
+    step, n = 1, 0
+    ranked = shared_table(one.filter("k_ = ''").select("product_id", "k_", F.lit(0).cast("long").alias("at")), "ranked")
+    now = ranked.count()
+    while now > n:
+        n = now
+        on = ranked.join(jump.select("product_id", F.col("a").alias("k_"), "b"), ["product_id", "k_"]).select("product_id", F.col("b").alias("k_"), (F.col("at") + step).alias("at"))
+        ranked = shared_table(ranked.unionByName(on).groupBy("product_id", "k_").agg(F.min("at").alias("at")), "ranked")
+        jump = shared_table(jump.join(jump.select("product_id", F.col("a").alias("b"), F.col("b").alias("c")), ["product_id", "b"]).select("product_id", "a", F.col("c").alias("b")), "jumps")
+        step, now = 2 * step, ranked.count()
+    after = ranked.select("product_id", F.col("k_").alias("to_"), F.col("at").alias("next_at"))
+    out = one.join(ranked, ["product_id", "k_"]).withColumn("to_", F.when(live, F.concat(F.lit("c"), "next_cursor"))).join(after, ["product_id", "to_"], "left")
+    reason = F.when(F.col("to_").isNotNull(), ordered([(F.col("next_at").isNull(), F.lit("no such page")), (F.col("next_at") <= F.col("at"), F.lit("repeated cursor"))]))
+    return out.select("product_id", (F.col("at") + 1).alias("page_no"), "cursor", "next_cursor", "reviews", reason.alias("reason"))
+
+
 def page_faults(pages: DataFrame) -> DataFrame:
     """pages (product_id, page_no, cursor, reviews: array of struct with product_id) that break a rule, with the reason: a cursor that came before, a page
     of more than PAGE_LIMIT reviews, or one with another product's reviews."""

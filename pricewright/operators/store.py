@@ -12,9 +12,10 @@ from ..functions import fixed
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key in the order given."""
-    w = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order])
-    return rows.withColumn("n_", F.row_number().over(w)).filter("n_ = 1").drop("n_")
+    """The last row of each key in the order given; merged before the shuffle, so a key with many rows is no large task."""
+    rest = [c for c in rows.columns if c not in keys]
+    r = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("r_"))
+    return r.select(*[F.col(f"`{c}`") if c in keys else F.col("r_").getField(c).alias(c) for c in rows.columns])
 
 
 def first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -95,6 +96,9 @@ def add_identifiers(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new.select(*old.columns).join(old, ["identifier_type", "identifier_value"], "left_anti"))
 
 
+OBSERVATIONS = "offer_id string, price_paise long, mrp_paise long, coupon_price_paise long, in_stock boolean, seller string, observed_at timestamp"
+
+
 def price_observations(listings: DataFrame) -> DataFrame:
     """Append-only price points."""
     return listings.select(F.concat_ws(":", "source", "source_product_id").alias("offer_id"), "price_paise", "mrp_paise", "coupon_price_paise", "in_stock", "seller", "observed_at")

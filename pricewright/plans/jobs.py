@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cluster, ops, store
+from ..operators import cluster, identity, ops, store
 from ..sources import discovery, retail
+from ..streaming.ledger import Ledger, Tables
 
 PRODUCTS = "id string, category string, brand string, model_name string, family string, chip string, ram_gb int, storage_gb int, screen_size_inches double, gpu_model string, attributes map<string,string>, updated_at timestamp"
 LISTINGS = "source string, source_product_id string, canonical_product_id string, source_url string, title string, brand string, model_name string, quality_status string, quality_score int, quality_flags array<string>, in_stock boolean, lifecycle_status string, missed_crawls int, first_seen_at timestamp, last_seen_at timestamp"
@@ -56,6 +57,21 @@ def next_tables(tables: dict[str, DataFrame], reconciled: DataFrame, now: str) -
     }
 
 
+OBSERVED = ("price_observations", "seeds")
+
+
+def catalog(spark, path: str) -> Ledger:  # noqa: ANN001
+    """The tables under a ledger, with price observations and the clusters' seeds, whose rows are only added."""
+    kinds = {"products": PRODUCTS, "retailer_products": LISTINGS, "offers": OFFERS, "product_identifiers": IDENTIFIERS, "price_observations": store.OBSERVATIONS, "seeds": f"id long, fp struct<{identity.FINGERPRINT.replace(' ', ':').replace(',:', ', ')}>"}
+    return Ledger(spark, path, kinds, added=OBSERVED)
+
+
+def apply_batch(tables: Tables, listings: DataFrame, now: str) -> Tables:
+    """The tables after a batch of listings (seq after all earlier ones), which is compared with the stored seeds only: for Ledger.apply_once or Ledger.sink."""
+    reconciled = cluster.shared_table(cluster.reconcile(listings, tables["seeds"]), "reconciled")
+    return next_tables(tables, reconciled, now) | {"seeds": cluster.seeds_of(reconciled)}
+
+
 def write_report(reconciled: DataFrame, path: str) -> None:
     """Totals, sources and clusters as JSON in folders of their own."""
     cluster.report_totals(reconciled).write.mode("overwrite").json(f"{path}/totals")

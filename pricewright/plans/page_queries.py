@@ -132,10 +132,13 @@ def sitemap_references(spark: SparkSession, d: str) -> DataFrame:
     return discovery.references(items, "laptop", 50).select("source_product_id", "source", "source_url")
 
 
+def _listings(spark: SparkSession, d: str) -> DataFrame:
+    return _catalog(spark, d).withColumns({"manufacturer_part_number": F.lit(None).cast("string"), "mrp_paise": F.lit(None).cast("long"), "coupon_price_paise": F.lit(None).cast("long"), "seller": F.lit("S"), "rating": F.lit(4.0), "review_count": F.lit(1), "observed_at": F.lit("2026-01-01").cast("timestamp"), "attributes": F.create_map(F.lit("gtin"), F.col("gtin"))})
+
+
 def _tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The tables after a run over the catalog of reconcile_catalog, and the same run again."""
-    l = _catalog(spark, d).withColumns({"manufacturer_part_number": F.lit(None).cast("string"), "mrp_paise": F.lit(None).cast("long"), "coupon_price_paise": F.lit(None).cast("long"), "seller": F.lit("S"), "rating": F.lit(4.0), "review_count": F.lit(1), "observed_at": F.lit("2026-01-01").cast("timestamp"), "attributes": F.create_map(F.lit("gtin"), F.col("gtin"))})
-    r = cluster.shared_table(cluster.reconcile(l), "reconciled")
+    r = cluster.shared_table(cluster.reconcile(_listings(spark, d)), "reconciled")
     once = jobs.next_tables(jobs.empty_tables(spark), r, "2026-01-02")
     return jobs.next_tables({k: once[k] for k in jobs.empty_tables(spark)}, r, "2026-01-02") | {"reconciled": r}
 
@@ -159,7 +162,36 @@ def offers_table(spark: SparkSession, d: str) -> DataFrame:
     return _tables(spark, d)["offers"].select("source", "source_product_id", "price_paise", "in_stock", "lifecycle_status", "missed_crawls")
 
 
+@query("tables_incremental", "SELECT 's' || p_partkey % 3 AS source, 'p' || p_partkey AS source_product_id, (5000000 + 997 * (p_partkey % 1000))::BIGINT AS price_paise, (SELECT count(*) FROM part WHERE p_partkey % 11 <> 0)::BIGINT AS observations, (SELECT count(DISTINCT p_partkey // 5) FROM part WHERE p_partkey % 11 <> 0)::BIGINT AS products FROM part WHERE p_partkey % 11 <> 0")
+def tables_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The tables after two batches through the ledger, the first of which comes again: each is compared with the stored seeds only."""
+    l = cluster.shared_table(_listings(spark, d), "listings")
+    half = l.agg(F.expr("(min(seq) + max(seq)) div 2")).first()[0] or 0
+    log = jobs.catalog(spark, cluster.shared_path(spark, "catalog"))
+    for n, part in ((0, F.col("seq") <= half), (0, F.col("seq") <= half), (1, F.col("seq") > half)):
+        log.apply_once("listings", n, lambda t, part=part: jobs.apply_batch(t, l.filter(part), "2026-01-02"))
+    t = log.tables()
+    return t["offers"].select("source", "source_product_id", "price_paise", F.lit(t["price_observations"].count()).cast("long").alias("observations"), F.lit(t["products"].count()).cast("long").alias("products"))
+
+
 # Reviews.
+@query("reviews_by_cursor", """WITH RECURSIVE p AS (SELECT p_partkey AS k, p_size AS pages FROM part WHERE p_size IS NOT NULL), g AS (SELECT k, pages, unnest(range(1, pages + 1)) AS page FROM p),
+x AS (SELECT k, CASE WHEN page > 1 THEN 'c' || (page * 7919 + k) % 100003 END AS cursor, CASE WHEN page < pages THEN 'c' || ((page + 1) * 7919 + k) % 100003 WHEN k % 5 = 0 AND page > 2 THEN 'c' || (2 * 7919 + k) % 100003 WHEN k % 7 = 0 THEN 'lost' END AS next_cursor, CASE WHEN k % 3 = 0 AND page = 9 THEN 0 ELSE 1 END AS n FROM g),
+w(k, pos, cursor, next_cursor, n, seen, reason) AS (SELECT k, 1, cursor, next_cursor, n, []::VARCHAR[], NULL::VARCHAR FROM x WHERE cursor IS NULL
+  UNION ALL SELECT x.k, w.pos + 1, x.cursor, x.next_cursor, x.n, list_append(w.seen, x.cursor), NULL FROM w JOIN x ON x.k = w.k AND x.cursor = w.next_cursor WHERE w.n > 0 AND NOT list_contains(w.seen, w.next_cursor)),
+e AS (SELECT w.k, w.pos, CASE WHEN w.n = 0 OR w.next_cursor IS NULL THEN NULL WHEN list_contains(w.seen, w.next_cursor) THEN 'repeated cursor' WHEN w.next_cursor = 'lost' THEN 'no such page' END AS reason FROM w)
+SELECT k AS product_id, count(*)::BIGINT AS pages, max(reason) AS reason FROM e GROUP BY k""")
+def reviews_by_cursor(spark: SparkSession, d: str) -> DataFrame:
+    """Up to fifty pages a product, in no order: chains of cursors that end, come back to an earlier page, or name a page that isn't there."""
+    p = table(spark, d, "part").filter("p_size is not null").select(F.col("p_partkey").alias("product_id"), "p_size", F.explode(F.sequence(F.lit(1), "p_size")).alias("page"))
+    k, page = F.col("product_id"), F.col("page")
+    name = lambda n: F.concat(F.lit("c"), (n * 7919 + k) % 100003)
+    after = F.when(page < F.col("p_size"), name(page + 1)).when((k % 5 == 0) & (page > 2), name(F.lit(2))).when(k % 7 == 0, F.lit("lost"))
+    pages = p.select("product_id", F.when(page > 1, name(page)).alias("cursor"), after.alias("next_cursor"), F.when((k % 3 == 0) & (page == 9), F.array().cast("array<int>")).otherwise(F.array(F.lit(1))).alias("reviews"))
+    got = reviews.in_order(pages.repartition(F.hash("cursor")))
+    return got.groupBy("product_id").agg(F.count("*").alias("pages"), F.max("reason").alias("reason"))
+
+
 @query("reviews_collected", """WITH p AS (SELECT p_partkey AS k, p_size % 4 AS pages FROM part), g AS (SELECT k, unnest(range(1, pages + 1)) AS page FROM p), r AS (SELECT k, page, unnest(range(0, 60)) AS place FROM g WHERE NOT (k % 5 = 0 AND page >= 2) AND NOT (k % 7 = 0 AND page >= 3)),
 n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY page, place) AS n FROM r) SELECT k AS product_id, count(*)::BIGINT AS reviews, max(n)::INT AS last, sum(1000 * page + place)::BIGINT AS sum FROM n WHERE n <= 100 GROUP BY k""")
 def reviews_collected(spark: SparkSession, d: str) -> DataFrame:
@@ -176,13 +208,15 @@ def reviews_collected(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query("cluster_ids", "SELECT p_partkey, 'clus_' || substr(sha256(array_to_string(['laptop', p_brand, p_name, p_type, '', 'ryzen', p_size::VARCHAR, '', '15.6', '', '', '', CASE WHEN p_partkey % 2 = 0 THEN 'red' ELSE '' END], chr(31))), 1, 16) AS cluster_id FROM part")
+@query("cluster_ids", r"""SELECT p_partkey, 'clus_' || substr(sha256('{"attributes": {' || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '"_x": "a\\b\n", "color": "' || p_type || ' \"q\"", "gr\u00f6\u00dfe": "15\u2033 \ud83d\ude00\u007f"' END || '}, "brand": "' || p_brand || '", "category": "laptop", "model_name": "' || p_name || '"}'), 1, 16) AS cluster_id FROM part""")
 def cluster_ids(spark: SparkSession, d: str) -> DataFrame:
-    """A seed's identity as a hash."""
+    """A seed's identity as the hash of its canonical JSON; attributes in two orders, or none."""
     from ..operators.identity import FINGERPRINT
 
     kinds = dict(x.split(" ", 1) for x in FINGERPRINT.split(", "))
-    color = F.when(F.col("p_partkey") % 2 == 0, F.create_map(F.lit("color"), F.lit("red"))).otherwise(F.create_map().cast("map<string,string>"))
+    pairs = [(F.lit("größe"), F.lit("15\u2033 \U0001f600\x7f")), (F.lit("color"), F.concat("p_type", F.lit(' "q"'))), (F.lit("_x"), F.lit("a\\b\n"))]
+    map_of = lambda ps: F.create_map(*[c for p in ps for c in p])
+    color = F.when(F.col("p_partkey") % 3 == 0, F.create_map().cast("map<string,string>")).when(F.col("p_partkey") % 2 == 0, map_of(pairs)).otherwise(map_of(pairs[::-1]))
     put = {"category": F.lit("laptop"), "brand": F.col("p_brand"), "model_name": F.col("p_name"), "family": F.col("p_type"), "chip": F.lit("ryzen"), "ram_gb": F.col("p_size"), "screen_size_inches": F.lit(15.6), "attributes": color}
     fp = F.struct(*[put.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()])
     return table(spark, d, "part").select("p_partkey", fp.alias("fp")).select("p_partkey", cluster.cluster_id(F.col("fp")).alias("cluster_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cluster
-from ..streaming import frontier
+from ..streaming import frontier, ledger
 from .queries import query, table
 
 _LOG = """e AS (SELECT 'https://shop.example/p/' || user_id || '-' || event_id % 7 AS canonical_url, CASE event_type WHEN 'view' THEN 'enqueue' WHEN 'click' THEN 'start' WHEN 'purchase' THEN 'complete' ELSE 'fail' END AS kind,
@@ -54,3 +54,26 @@ def frontier_keyed(spark: SparkSession, d: str) -> DataFrame:
 def frontier_replay(spark: SparkSession, d: str) -> DataFrame:
     """The same log as one batch job."""
     return frontier.replay(_log(spark, d))
+
+
+@query("ledger_replay", "SELECT user_id, count(*)::BIGINT AS events, sum(round(value * 100)::BIGINT)::BIGINT AS cents, (SELECT count(*) FROM events WHERE event_type = 'error')::BIGINT AS all_errors FROM events GROUP BY user_id")
+def ledger_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Running sums, which count a batch twice if it is applied twice: three batches through the ledger, the second one again after each, the last also from
+    a stream that has lost its checkpoint's commit. Errors are rows that are only added."""
+    path = cluster.shared_path(spark, "ledger")
+    log = ledger.Ledger(spark, f"{path}/tables", {"sums": "user_id long, events long, cents long", "errors": "event_id long"}, added=("errors",))
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
+
+    def apply(tables: ledger.Tables, batch: DataFrame) -> ledger.Tables:
+        new = batch.groupBy("user_id").agg(F.count("*").alias("events"), F.sum("cents").alias("cents"))
+        sums = tables["sums"].unionByName(new).groupBy("user_id").agg(F.sum("events").alias("events"), F.sum("cents").alias("cents"))
+        return {"sums": sums, "errors": batch.filter("event_type = 'error'").select("event_id")}
+
+    for k in range(3):
+        e.filter(F.col("event_id") % 3 == k).write.mode("append").parquet(f"{path}/in")
+        for checkpoint in ("a", "b"):  # the second knows of no batch that was done, and sends all of them again, with the same numbers
+            if checkpoint == "a" or k == 0:
+                log.sink(spark.readStream.schema(e.schema).parquet(f"{path}/in"), "events", apply, f"{path}/{checkpoint}").awaitTermination()
+        log.apply_once("events", min(k, 1), lambda t: apply(t, e))
+    t = log.tables()
+    return t["sums"].withColumn("all_errors", F.lit(t["errors"].count()).cast("long"))
