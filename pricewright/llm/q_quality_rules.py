@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .quality_rules import MEASURES, MIN_GROUP, SPREAD, quality_rules
+from .quality_rules import MEASURES, MIN_GROUP, SPREAD, quality_rules, surely
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ q{i} AS (SELECT *, {least("b1")} AS q1, {least("b3")} AS q3, {least("bl")} AS lo
 f{i} AS (SELECT {"".join(x + ", " for x in keys)}max(docs) AS docs, {fence} FROM q{i} {"GROUP BY " + ", ".join(keys) if keys else ""})""")
         joins += f" LEFT JOIN f{i} ON " + (" AND ".join(f"r.{x} IS NOT DISTINCT FROM f{i}.{x}" for x in keys) or "true")
     pick = lambda c: f"CASE WHEN f0.docs >= {MIN_GROUP} THEN f0.{c} WHEN f1.docs >= {MIN_GROUP} THEN f1.{c} ELSE f2.{c} END"
-    beyond = ", ".join(f"CASE WHEN r.{m} > {pick(m + '_hi')} OR coalesce(r.{m} < {pick(m + '_lo')}, false) THEN '{m}' END" for m in MEASURES)
+    beyond = ", ".join(f"CASE WHEN {surely(m)} > {pick(m + '_hi')}" + (f" OR coalesce({surely(m, 1)} < {pick(m + '_lo')}, false)" if both else "") + f" THEN '{m}' END" for m, (_, both) in MEASURES.items())
     melt = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM r WHERE NOT base_failed" for m in MEASURES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {split} AS ws FROM documents),

@@ -3,10 +3,12 @@
 One pass over the texts measures each document; the measures (a few numbers a row) go to the shared folder. Documents that
 pass the base rules feed sketches: counts of values in buckets of about 3 % width (the high bits of an integer), which add up
 exactly in any order, so sketches of sources merge into one of a language, and of all. From each sketch come quartiles
-and and a tail quantile, and from these alone the fences: a document is dropped where a measure lies beyond both the group's tail
+and a tail quantile, and from these alone the fences: a document is dropped where a measure lies beyond both the group's tail
 quantile (so each measure drops at most its TAIL per cent of a group) and SPREAD interquartile ranges from a quartile (so a group
 without outliers loses nothing). Nothing of a fence is fixed: where most documents of a source have symbols, many are
-let pass; where next to none has, few are. Groups of fewer than MIN_GROUP documents
+let pass; where next to none has, few are. A document is only beyond a fence if it is by more than chance: what is held against the fence is the
+lower limit of its share, CHANCE standard deviations below it (of a count among so many characters, lines or words). So a single mark in a long text
+fails nowhere, not even where the fence is 0 as nearly no document has any, and a short text needs more of them than a long one. Groups of fewer than MIN_GROUP documents
 use their language's sketch, and languages of fewer use that of all. Thresholds join the documents on (lang, source);
 Spark splits that join where one source holds much of the rows.
 """
@@ -33,6 +35,10 @@ SPREAD = 3
 #: Measures as whole numbers: shares in ten-thousandths, word length in hundredths. For each: TAIL, the per cent of a group's documents that may
 #: lie beyond its fence (less for what good texts have as well: repeated lines and passages), and whether small values fail as well.
 MEASURES = {"symbols": (10, False), "dup_lines": (1, False), "repeats": (1, False), "stutter": (5, False), "upper": (5, False), "word_length": (10, True)}
+#: Standard deviations of chance that a document must be beyond a fence.
+CHANCE = 2
+#: What each share is a share of.
+PARTS = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "stutter": ("n_again", "n_words"), "upper": ("n_upper", "word_chars")}
 _SUB = 32
 
 _SYMBOL = np.zeros(256, bool)
@@ -120,12 +126,19 @@ def _share(part: str, whole: str, by: int = 10_000) -> Column:
 def derived(measures: DataFrame) -> DataFrame:
     """With the columns of MEASURES and base_failed."""
     return measures.withColumns({
-        "symbols": _share("n_symbols", "word_chars"), "dup_lines": _share("n_dup_lines", "n_lines"), "repeats": _share("n_repeat_words", "n_words"), "stutter": _share("n_again", "n_words"),
-        "upper": _share("n_upper", "word_chars"), "word_length": _share("word_chars", "n_words", 100),
+        **{m: _share(*p) for m, p in PARTS.items()}, "word_length": _share("word_chars", "n_words", 100),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     })
 
 
+def surely(measure: str, sign: int = -1) -> str:
+    """SQL, in Spark's words and others', of the value that a document's measure has at least (sign -1) or at most (1), but for chance."""
+    if measure == "word_length":  # words' lengths deviate by about half their mean
+        return f"word_length * (1 + {sign * CHANCE / 2} / sqrt(greatest(n_words, 1)))"
+    part, whole = PARTS[measure]
+    return f"floor(10000 * greatest({part} + {sign * CHANCE} * sqrt({part} * (1 - {part} / CAST(greatest({whole}, 1) AS DOUBLE))), 0) / greatest({whole}, 1))"
+
+
 def bucket(v: Column) -> Column:
     """The bucket of a whole number of 0 or more: the number itself below 64, then 32 for each power of two."""
     e = F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
@@ -183,7 +196,7 @@ def thresholds(sketches: DataFrame, groups: DataFrame, min_group: int = MIN_GROU
 def quality_rules(docs: DataFrame, *, min_group: int = MIN_GROUP, **cols: str) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed.
 
-    kept is false beyond a fence as well. failed names the base rules' failure ("base") or the measures beyond their fences, comma-joined. Null languages and sources are groups of
+    kept is false beyond a fence, too, if that is more than chance. failed names the base rules' failure ("base") or the measures beyond their fences, comma-joined. Null languages and sources are groups of
     their own. Null, empty and one-word texts fail the base rules. Rows that repeat an id are judged each by its own text. An empty table gives none. Other columns are
     ignored, whatever their names. A group whose documents all fail the base rules takes its language's fences, or all documents' ones.
     """
@@ -191,6 +204,8 @@ def quality_rules(docs: DataFrame, *, min_group: int = MIN_GROUP, **cols: str) -
     sketches = materialize(sketch(rows.filter(~F.col("base_failed")), ["lang", "source"], list(MEASURES)), "sketches")
     limits = materialize(thresholds(sketches, rows.select("lang", "source").distinct(), min_group), "thresholds")
     out = rows.join(limits, rows["lang"].eqNullSafe(limits["t_lang"]) & rows["source"].eqNullSafe(limits["t_source"]), "left")
-    beyond = [F.when((F.col(m) > F.col(f"{m}_hi")) | F.coalesce(F.col(m) < F.col(f"{m}_lo"), F.lit(False)), F.lit(m)) for m in MEASURES]
+    above = lambda m: F.expr(surely(m)) > F.col(f"{m}_hi")
+    below = lambda m: F.coalesce(F.expr(surely(m, 1)) < F.col(f"{m}_lo"), F.lit(False))
+    beyond = [F.when(above(m) | below(m) if both else above(m), F.lit(m)) for m, (_, both) in MEASURES.items()]
     failed = F.when(F.col("base_failed"), F.lit("base")).otherwise(F.array_join(F.array_compact(F.array(*beyond)), ","))
     return out.withColumn("failed", failed).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (F.col("failed") == "").alias("kept"), "failed")

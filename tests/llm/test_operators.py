@@ -339,6 +339,21 @@ def test_quality_rules_adapt_to_the_source(spark):
     assert sum(not r.kept for i, r in got.items() if i < 300) <= 15
 
 
+def test_quality_rules_let_single_marks_pass(spark):
+    """One mark, or one stuttered word, in 1,500 words fails nowhere, however uniform its group is; a text full of marks does."""
+    rng = random.Random(2)
+    say = lambda n=1500: " ".join(rng.choice(["Haus", "tree", "garden", "water", "night"]) for _ in range(n))
+    clean = [(i, say() + ".", "en", "s", 0) for i in range(200)]
+    base = "A tree stands. " + " ".join(f"word{k}" for k in range(1500))
+    even = [(1000 + i, base + f" end{i}", "en", "even", 0) for i in range(200)]
+    odd_ones = [(500, say() + " 5%", "en", "s", 0), (501, say() + " Hello Hello", "en", "s", 0), (502, base + " 5%", "en", "even", 0), (503, base + " Hello Hello", "en", "even", 0)]
+    junk = [(600, say(300) + " ###" * 60, "en", "s", 0), (601, base + " %&" * 40, "en", "even", 0)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(clean + even + odd_ones + junk, DOCS)).collect()}
+    assert all(got[i].kept for i in (500, 501, 502, 503)), [got[i].failed for i in (500, 501, 502, 503)]
+    assert "symbols" in got[600].failed and "symbols" in got[601].failed
+    assert sum(r.kept for r in got.values()) >= 404 - 4
+
+
 # Mixing.
 def test_mix(spark):
     rows = [(i, "word " * (1 + i % 7), "en", ["a", "b", None][i % 3] if i < 300 else "tiny", 1) for i in range(310)] + [(900, None, "en", "void", 0)]
