@@ -89,12 +89,16 @@ def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
     places = [(i, x) for p, x in license_scan.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
     labels, share = {x for _, x in places}, 0.0
-    for _, label, size, own, need in license_scan.notice_table():
+    found = []
+    for _, family, label, size, own, need in license_scan.notice_table():
         for start in range(0, max(1, len(words)), size):
             common = len(set(own) & set(words[start : start + 2 * size]))
             if common >= need:
-                labels.add(label)
-                share = max(share, common / len(own))
+                found.append((family, size, start // size, common / len(own) * 1e6 + len(own), label, common / len(own)))
+    for family, size, cell, weight, label, of in found:
+        if weight == max(f[3] for f in found if f[:2] == (family, size) and abs(f[2] - cell) <= 1):
+            labels.add(label)
+            share = max(share, of)
     at = [i for i, _ in places]
     return len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})), ",".join(sorted(labels)), 1.0 if places else share
 
@@ -103,16 +107,36 @@ def plain_license(text):
 def test_license_scan_is_exact(spark, seed):
     rng = random.Random(seed)
     rows = random_docs(seed)
-    for k, (label, notice) in enumerate(license_scan.NOTICES):
+    for k, (_, _, notice) in enumerate(license_scan.NOTICES):
         own = notice.split()
         for w in range(0, len(own) // 3, 2):
             own[rng.randrange(len(own))] = f"other{w}"
-            rows.append((1000 + 50 * k + w, " ".join(["pre"] * rng.randrange(150) + own + ["post"] * 5), "en", "s", 1))
+            rows.append((1000 + 500 * k + w, " ".join(["pre"] * rng.randrange(150) + own + ["post"] * 5), "en", "s", 1))
     got = {r[0]: tuple(r)[1:] for r in license_scan.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()}
     for i, text, *_ in rows:
         assert got[i] == plain_license(text), (i, text)
 
 
+def test_licenses_of_a_family_are_told_apart(spark):
+    """Each notice alone, whole texts too, gives its own label and those of phrases only."""
+    rng = random.Random(4)
+    pad = lambda n: " ".join(f"x{rng.randrange(999)}" for _ in range(n))
+    texts = [(f"{pad(i * 7 % 40)} {notice} {pad(30)}", label) for i, (_, label, notice) in enumerate(license_scan.NOTICES)]
+    texts += [(f"Licensed under CC BY{more} 4.0.", f"cc-by{more.lower()}") for more in ("", "-NC", "-SA", "-NC-SA")]
+    got = license_scan.scan_licenses(spark.createDataFrame([(i, t, "en", "s", 0) for i, (t, _) in enumerate(texts)], DOCS)).collect()
+    for r in got:
+        extra = set(r.labels.split(",")) - set(r.base_labels.split(","))
+        want = {texts[r.doc_id][1]}
+        assert extra == want - set(r.base_labels.split(",")) or extra | {"bsd"} == want | {"bsd"}, (texts[r.doc_id], r.labels)
+
+
+def test_whole_license_texts_as_notices(spark):
+    long_ = " ".join(f"term{i % 700}" for i in range(1500))
+    docs = [(1, f"before {long_} after", "en", "s", 0), (2, " ".join(long_.split()[:900]), "en", "s", 0), (3, " ".join(long_.split()[:500]), "en", "s", 0)]
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(spark.createDataFrame(docs, DOCS), notices=[("own", "own-license", long_)]).collect()}
+    assert got == {1: "own-license", 2: "own-license", 3: ""} and license_scan.size_of(1500) >= 1500
+
+
 def test_license_scan_odd(spark, odd, empty):
     rows = license_scan.scan_licenses(odd).collect()
     assert len(rows) == len(ODD) and {r.score for r in rows} == {0.0}
