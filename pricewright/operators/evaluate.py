@@ -10,14 +10,20 @@ from .identity import with_fingerprint
 from .match import compare
 
 
+def decide(pairs: DataFrame) -> DataFrame:
+    """pairs (id, category, expected, left_title, right_title) with the matcher's decision, confidence and reason on their titles; each different title
+    of a category is worked on once."""
+    title = lambda c: pairs.select("category", F.col(c).alias("title"))
+    own = with_fingerprint(title("left_title").union(title("right_title")).distinct())
+    for c, k in (("left_title", "l"), ("right_title", "r")):
+        named = own.select(F.col("category").alias(f"{k}c"), F.col("title").alias(f"{k}t"), F.col("fp").alias(k))
+        pairs = pairs.join(named, (F.col("category") == F.col(f"{k}c")) & (F.col(c) == F.col(f"{k}t"))).drop(f"{k}c", f"{k}t")
+    return compare(pairs).select("id", "category", "expected", "left_title", "right_title", "decision", "confidence", "reason")
+
+
 def decided_pairs(spark: SparkSession, rows: list[tuple[str, str, str, str]] | None = None) -> DataFrame:
-    """category, expected, left_title, right_title, decision, confidence, reason."""
-    p = [(i, *r) for i, r in enumerate(rows or PAIRS)]
-    own = spark.createDataFrame([x for i, c, _, a, b in p for x in ((i, c, "l", a), (i, c, "r", b))], "id int, category string, side string, title string")
-    own = with_fingerprint(own)
-    side = lambda k: own.filter(F.col("side") == k).select("id", F.col("fp").alias(k))
-    pairs = spark.createDataFrame(p, "id int, category string, expected string, left_title string, right_title string").join(side("l"), "id").join(side("r"), "id")
-    return compare(pairs).select("category", "expected", "left_title", "right_title", "decision", "confidence", "reason")
+    """category, expected, left_title, right_title, decision, confidence, reason of labelled pairs of titles."""
+    return decide(spark.createDataFrame([(i, *r) for i, r in enumerate(rows or PAIRS)], "id int, category string, expected string, left_title string, right_title string")).drop("id")
 
 
 def metrics(decided: DataFrame) -> DataFrame:

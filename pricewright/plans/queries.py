@@ -63,12 +63,15 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def values(spark: SparkSession, rows: list[str]) -> DataFrame:
-    return spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "id long, v string")
+def values(spark: SparkSession, d: str, rows: list[str]) -> DataFrame:
+    """id and v: each part with the text that its key picks."""
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select(k.alias("id"), F.element_at(F.array(*[F.lit(v) for v in rows]), (k % len(rows) + 1).cast("int")).alias("v"))
 
 
 def sql_values(rows: list[str]) -> str:
-    return "(VALUES " + ", ".join(f"({i}, '{v.replace(chr(39), chr(39) * 2)}')" for i, v in enumerate(rows)) + ") AS t(id, v)"
+    own = ", ".join("'" + v.replace("'", "''") + "'" for v in rows)
+    return f"(SELECT p_partkey AS id, list_extract([{own}], (p_partkey % {len(rows)} + 1)::INT) AS v FROM part) AS t"
 
 
 def sql_list(rows: list[str]) -> str:
@@ -88,7 +91,7 @@ def text_norm(spark: SparkSession, d: str) -> DataFrame:
 @query("capacity_parse", f"WITH a AS (SELECT id, v, coalesce(nullif(regexp_extract(v, '(?i)\\d+(\\.\\d+)?\\s*(tb|gb)', 0), ''), v) AS f FROM {sql_values(CAPACITIES)}), b AS (SELECT id, {_CAP.replace('(x,', '(v,')} AS c1, {_CAP.replace('(x,', '(f,')} AS c2 FROM a) SELECT id::BIGINT AS id, CASE WHEN c1 > 0 AND c1 = floor(c1) THEN c1::BIGINT END AS whole_gb, CASE WHEN c2 > 0 AND c2 = floor(c2) THEN c2::BIGINT END AS first_gb FROM b")
 def capacity_parse(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("v")
-    return values(spark, CAPACITIES).select("id", text.capacity_gb(v).alias("whole_gb"), attributes.capacity(v).alias("first_gb"))
+    return values(spark, d, CAPACITIES).select("id", text.capacity_gb(v).alias("whole_gb"), attributes.capacity(v).alias("first_gb"))
 
 
 @query("price_to_paise", "SELECT p_partkey, CASE WHEN p_retailprice >= 50 THEN trunc(p_retailprice * 100)::BIGINT END AS paise FROM part")
@@ -106,7 +109,7 @@ KEYS = ["RAM", "Customer Support Number", "1,299", "x", "₹ off", "Grievance Of
 
 @query("ignored_keys", f"SELECT id::BIGINT AS id, length(k) < 2 OR length(k) > 60 OR k IN {sql_list(fixed.IGNORED_KEYS)} OR contains(k, '₹') OR contains(k, '$') OR regexp_matches(k, '^[\\d,./_+-]+$') OR {' OR '.join(f'contains(k, {chr(39)}{p}{chr(39)})' for p in fixed.IGNORED_PARTS)} AS ignored FROM (SELECT id, lower(trim(v)) AS k FROM {sql_values(KEYS)})")
 def ignored_keys(spark: SparkSession, d: str) -> DataFrame:
-    return values(spark, KEYS).select("id", text.is_ignored_key(F.col("v")).alias("ignored"))
+    return values(spark, d, KEYS).select("id", text.is_ignored_key(F.col("v")).alias("ignored"))
 
 
 # Pages and discovery.
@@ -223,7 +226,7 @@ def _cases(rules: list[tuple[str, str]]) -> str:
 
 @query("identity_family", f"SELECT id::BIGINT AS id, {_cases(fixed.LAPTOP_FAMILIES)} AS laptop_family, {_cases(fixed.MOBILE_FAMILIES)} AS mobile_family FROM (SELECT id, lower(v) AS t FROM {sql_values(TITLES)})")
 def identity_family(spark: SparkSession, d: str) -> DataFrame:
-    t = values(spark, TITLES).select("id", text.fold(F.col("v")).alias("t"))
+    t = values(spark, d, TITLES).select("id", text.fold(F.col("v")).alias("t"))
     return t.select("id", first_pattern(F.col("t"), fixed.LAPTOP_FAMILIES).alias("laptop_family"), first_pattern(F.col("t"), fixed.MOBILE_FAMILIES).alias("mobile_family"))
 
 
@@ -456,6 +459,30 @@ def run_telemetry(spark: SparkSession, d: str) -> DataFrame:
     return store.finish_runs(runs, done).select("id", "started_at", "completed_at", "duration_seconds", "items_parsed")
 
 
-@query("taxonomy_lookup", "SELECT c AS category, count(*)::BIGINT AS subcategories FROM (VALUES ('laptop', 6), ('mobile', 5)) v(c, n), range(n) GROUP BY c")
+_SAID = """p AS (SELECT p_partkey, list_extract(['Laptop ', 'mobile', 'camera', 'laptop', NULL], (p_partkey % 5 + 1)::INT) AS category, list_extract(['gaming_laptop', 'Foldable', 'chromebook', NULL, 'budget', 'nothing', 'flagship'], (p_partkey % 7 + 1)::INT) AS subcategory, list_extract(['amazon', 'Croma ', 'ebay'], (p_partkey % 3 + 1)::INT) AS retailer FROM part),
+t(c, s, label) AS (VALUES """ + ", ".join(f"('{c}', '{x}', '{label}')" for c, t in fixed.TAXONOMY.items() for x, label in t["subcategories"].items()) + ")"
+
+
+def _said(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    pick = lambda *v: F.element_at(F.array(*[F.lit(x) for x in v]), (k % len(v) + 1).cast("int"))
+    return table(spark, d, "part").select(k, pick("Laptop ", "mobile", "camera", "laptop", None).alias("category"), pick("gaming_laptop", "Foldable", "chromebook", None, "budget", "nothing", "flagship").alias("subcategory"), pick("amazon", "Croma ", "ebay").alias("retailer"))
+
+
+@query("taxonomy_lookup", f"WITH {_SAID} SELECT p_partkey, label FROM p JOIN t ON lower(trim(category)) = c AND lower(subcategory) = s")
 def taxonomy_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return ops.taxonomy(spark).groupBy("category").agg(F.count("*").alias("subcategories"))
+    """The label of each part's subcategory, where the taxonomy has it."""
+    t = F.broadcast(ops.taxonomy(spark).select(F.col("category").alias("c"), F.col("subcategory").alias("s"), F.col("subcategory_label").alias("label")))
+    return _said(spark, d).join(t, (F.lower(F.trim("category")) == F.col("c")) & (F.lower("subcategory") == F.col("s"))).select("p_partkey", "label")
+
+
+@query("supported_rows", f"WITH {_SAID} SELECT p_partkey, coalesce(lower(trim(retailer)) IN {sql_list(list(fixed.RETAILER_CATEGORIES))} AND lower(trim(category)) IN ('laptop', 'mobile'), false) AS supported FROM p")
+def supported_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a retailer has the category."""
+    return ops.supported(_said(spark, d)).select("p_partkey", "supported")
+
+
+@query("unsupported_quarantine", f"WITH {_SAID} SELECT p_partkey, CASE WHEN lower(trim(category)) NOT IN ('laptop', 'mobile') THEN 'unsupported category: ' || category ELSE 'unsupported subcategory: ' || subcategory END AS reason FROM p WHERE lower(trim(category)) NOT IN ('laptop', 'mobile') OR (subcategory IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE c = lower(trim(category)) AND s = lower(trim(subcategory)))) AND category IS NOT NULL")
+def unsupported_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with a category or subcategory that the taxonomy hasn't."""
+    return ops.unsupported_rows(_said(spark, d).filter("category is not null")).select("p_partkey", "reason")

@@ -181,10 +181,13 @@ def _decided(category: str, want: str, a: str) -> str:
 _PAIR_ROWS = ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in (c, w, a, b, _decided(c, w, a))) + ")" for c, w, a, b in PAIRS)
 
 
-@query("labelled_pairs", f"SELECT * FROM (VALUES {_PAIR_ROWS}) v(category, expected, left_title, right_title, decision)")
+@query("labelled_pairs", f"SELECT p_partkey AS id, category, expected, left_title, right_title, decision FROM part JOIN (SELECT *, row_number() OVER () - 1 AS n FROM (VALUES {_PAIR_ROWS}) v(category, expected, left_title, right_title, decision)) ON n = p_partkey % {len(PAIRS)}")
 def labelled_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The matcher's decisions on the labelled pairs of titles."""
-    return evaluate.decided_pairs(spark).drop("confidence", "reason")
+    """The matcher's decisions on labelled pairs of titles, one for each part."""
+    names = ("category", "expected", "left_title", "right_title")
+    picked = F.element_at(F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, p, strict=True)]) for p in PAIRS]), (F.col("p_partkey") % len(PAIRS) + 1).cast("int"))
+    pairs = table(spark, d, "part").select(F.col("p_partkey").alias("id"), picked.alias("p")).select("id", "p.*")
+    return evaluate.decide(pairs).drop("confidence", "reason")
 
 
 @query("reconcile_catalog", """WITH o AS (SELECT p_partkey AS seq, 's' || p_partkey % 3 AS source, p_partkey // 5 AS g, 5000000 + 997 * (p_partkey % 1000) AS price, p_partkey % 4 <> 0 AS in_stock FROM part WHERE p_partkey % 11 <> 0),
