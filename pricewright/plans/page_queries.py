@@ -269,3 +269,30 @@ def small_forms(spark: SparkSession, d: str) -> DataFrame:
 def price_points(spark: SparkSession, d: str) -> DataFrame:
     l = _catalog(spark, d).withColumns({k: F.lit(None).cast("long") for k in ("mrp_paise", "coupon_price_paise")} | {"seller": F.lit(None).cast("string"), "observed_at": F.lit(None).cast("timestamp")})
     return store.price_observations(l).select("offer_id", "price_paise", "in_stock")
+
+
+@query("source_adapter", """SELECT page_id, nullif(trim(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '') AS title, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, len(regexp_extract_all(html, '<a href="'))::BIGINT AS links, NULL::VARCHAR AS error_ FROM pages""")
+def source_adapter(spark: SparkSession, d: str) -> DataFrame:
+    """A source of one's own, registered by name: every page read by its function in a lateral join, called as a table function from SQL."""
+    from ..sources import registry
+
+    def read(url: str | None, html: str | None):  # noqa: ANN202
+        from pricewright.sources.html import parse, select
+
+        top = parse(html or "")
+        title = [n.text().strip() for n in select(top, "h1")]
+        yield {"title": (title or [None])[0] or None, "lang": next((n.attrs.get("lang") for n in top.walk() if n.tag == "html"), None), "links": sum("href" in n.attrs for n in top.walk() if n.tag == "a")}
+
+    registry.page_source(spark, "press", ("example.com",), ("news",), read, "title string, lang string, links long")
+    table(spark, d, "pages").select("page_id", "url", "html").createOrReplaceTempView("press_pages")
+    return spark.sql("SELECT p.page_id, r.* FROM press_pages p, LATERAL parse_press(p.url, p.html) r")
+
+
+@query("sources_listed", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN 'unsupported source: nowhere' ELSE NULL END AS reason FROM part WHERE p_partkey % 4 = 3")
+def sources_listed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of sources that nobody registered."""
+    from ..sources import registry
+
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(k, F.element_at(F.array(*[F.lit(x) for x in ("amazon", " Croma", "flipkart", "nowhere")]), (k % 4 + 1).cast("int")).alias("source"))
+    return registry.unknown_sources(rows).select("p_partkey", "reason")
