@@ -45,6 +45,21 @@ def sitemap_parse(spark: SparkSession, d: str) -> DataFrame:
     return discovery.sitemap_items(p.select("source", content.alias("content")), "laptop").withColumn("lastmod", F.unix_timestamp("lastmod"))
 
 
+@query("sitemap_scan", """WITH p AS (SELECT page_id, CASE WHEN page_id % 10 = 3 THEN 'broken entry' WHEN page_id % 10 = 7 THEN 'no location' END AS reason FROM pages WHERE page_id IS NOT NULL)
+SELECT CASE WHEN reason IS NULL THEN 'https://www.croma.com/laptop/p/' || (300000 + page_id % 600000) END AS url, CASE WHEN reason IS NULL THEN (300000 + page_id % 600000)::VARCHAR END AS source_product_id, CASE WHEN reason IS NULL THEN (page_id % 11) / 10.0::DOUBLE END AS priority, reason FROM p""")
+def sitemap_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Sitemap files with an entry for each page, some broken or without a location: what is read and what goes to quarantine are all of them."""
+    p = table(spark, d, "pages").filter("page_id is not null")
+    k = F.col("page_id")
+    loc = F.concat(F.lit("<loc> https://www.croma.com/laptop/p/"), 300_000 + k % 600_000, F.lit(" </loc>"))
+    tail = F.concat(F.lit("<priority>"), (k % 11) / 10.0, F.lit("</priority></url>"))
+    entry = F.concat(F.lit("<url>"), F.when(k % 10 == 3, F.concat(loc, F.lit("<lastmod>"))).when(k % 10 == 7, F.lit("<loc> </loc>")).otherwise(loc), tail)
+    path = cluster.shared_path(spark, "sitemaps")
+    p.select(entry.alias("value")).write.option("compression", "gzip").text(path)
+    bad = discovery.broken_entries(spark, path, "croma").select(F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("source_product_id"), F.lit(None).cast("double").alias("priority"), "reason")
+    return discovery.sitemap_files(spark, path, "croma", "laptop").select("url", "source_product_id", "priority", F.lit(None).cast("string").alias("reason")).unionByName(bad)
+
+
 def _scan_pages(spark: SparkSession, d: str, host: str, html: str) -> DataFrame:
     return table(spark, d, "pages").filter("page_id is not null").select("page_id", F.lit(f"https://www.{host}/search?q=laptop").alias("url"), F.expr(html).alias("html"))
 

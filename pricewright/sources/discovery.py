@@ -76,12 +76,28 @@ def sitemap_items(maps: DataFrame, category: str | None = None) -> DataFrame:
     return _items(rows, category)
 
 
+def _entries(spark, path: str) -> DataFrame:  # noqa: ANN001
+    """The <url> entries of the files under path (gzip by name): Spark splits files at the entries' ends, so that a broken one doesn't harm the others; broken_
+    has the text of one that isn't sound."""
+    kind = "loc string, lastmod string, changefreq string, priority string, broken_ string"
+    entry = F.regexp_extract("value", r"(?s)<url(?:\s[^>]*)?>.*", 0)
+    rows = spark.read.option("lineSep", "</url>").text(path).select(entry.alias("entry")).filter("entry <> ''")
+    return rows.select(F.from_xml(F.concat("entry", F.lit("</url>")), kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_"}).alias("e")).select("e.*")
+
+
 def sitemap_files(spark, path: str, source: str, category: str | None = None) -> DataFrame:  # noqa: ANN001
-    """Items of sitemap files in a folder, by Spark's XML reader (gzip by name); broken entries are dropped."""
-    rows = spark.read.format("xml").option("rowTag", "url").option("mode", "DROPMALFORMED").schema("loc string, lastmod string, changefreq string, priority string").load(path)
+    """Items of sitemap files in a folder; entries that aren't sound are in broken_entries."""
+    rows = _entries(spark, path).filter("broken_ is null")
     return _items(rows.select(F.lit(source).alias("source"), F.trim("loc").alias("url"), "lastmod", "changefreq", "priority").filter("url <> ''"), category)
 
 
+def broken_entries(spark, path: str, source: str) -> DataFrame:  # noqa: ANN001
+    """source, entry, reason: what sitemap_files leaves out, for quarantine: entries that aren't sound XML, or have no location."""
+    e = _entries(spark, path)
+    reason = F.when(F.col("broken_").isNotNull(), "broken entry").when(F.coalesce(F.trim("loc"), F.lit("")) == "", "no location")
+    return e.select(F.lit(source).alias("source"), F.coalesce("broken_", F.lit("")).alias("entry"), reason.alias("reason")).filter("reason is not null")
+
+
 def _items(rows: DataFrame, category: str | None) -> DataFrame:
     rows = rows.filter(wanted(F.col("url"), category)) if category else rows
     return rows.select("url", "source", product_id(F.col("url"), F.col("source")).alias("source_product_id"), iso_time(F.col("lastmod")).alias("lastmod"), F.when(F.trim("changefreq") != "", F.trim("changefreq")).alias("changefreq"), F.trim("priority").try_cast("double").alias("priority"))
