@@ -132,13 +132,13 @@ def sitemap_references(spark: SparkSession, d: str) -> DataFrame:
     return discovery.references(items, "laptop", 50).select("source_product_id", "source", "source_url")
 
 
-def _listings(spark: SparkSession, d: str) -> DataFrame:
+def _observed(spark: SparkSession, d: str) -> DataFrame:
     return _catalog(spark, d).withColumns({"manufacturer_part_number": F.lit(None).cast("string"), "mrp_paise": F.lit(None).cast("long"), "coupon_price_paise": F.lit(None).cast("long"), "seller": F.lit("S"), "rating": F.lit(4.0), "review_count": F.lit(1), "observed_at": F.lit("2026-01-01").cast("timestamp"), "attributes": F.create_map(F.lit("gtin"), F.col("gtin"))})
 
 
 def _tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The tables after a run over the catalog of reconcile_catalog, and the same run again."""
-    r = cluster.shared_table(cluster.reconcile(_listings(spark, d)), "reconciled")
+    r = cluster.shared_table(cluster.reconcile(_observed(spark, d)), "reconciled")
     once = jobs.next_tables(jobs.empty_tables(spark), r, "2026-01-02")
     return jobs.next_tables({k: once[k] for k in jobs.empty_tables(spark)}, r, "2026-01-02") | {"reconciled": r}
 
@@ -165,7 +165,7 @@ def offers_table(spark: SparkSession, d: str) -> DataFrame:
 @query("tables_incremental", "SELECT 's' || p_partkey % 3 AS source, 'p' || p_partkey AS source_product_id, (5000000 + 997 * (p_partkey % 1000))::BIGINT AS price_paise, (SELECT count(*) FROM part WHERE p_partkey % 11 <> 0)::BIGINT AS observations, (SELECT count(DISTINCT p_partkey // 5) FROM part WHERE p_partkey % 11 <> 0)::BIGINT AS products FROM part WHERE p_partkey % 11 <> 0")
 def tables_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The tables after two batches through the ledger, the first of which comes again: each is compared with the stored seeds only."""
-    l = cluster.shared_table(_listings(spark, d), "listings")
+    l = cluster.shared_table(_observed(spark, d), "listings")
     half = l.agg(F.expr("(min(seq) + max(seq)) div 2")).first()[0] or 0
     log = jobs.catalog(spark, cluster.shared_path(spark, "catalog"))
     for n, part in ((0, F.col("seq") <= half), (0, F.col("seq") <= half), (1, F.col("seq") > half)):
