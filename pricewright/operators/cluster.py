@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canonical import json_map, json_object, json_string
+from ..functions.spread import spread
 from .identity import with_fingerprint
 from .match import MATCH, REVIEW, candidate_pairs, compare, facts
 from .quality import classify
@@ -137,7 +138,7 @@ def reconcile(listings: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     seeds (id, fp; seeds_of() earlier runs, all with smaller seq): the listings are compared with these and with each other, and with nothing
     else that was there before. Since only seeds are ever compared with, batch after batch gives the clusters of one run over all.
     """
-    q = shared_table(with_fingerprint(classify(listings)), "listings")
+    q = shared_table(with_fingerprint(classify(spread(listings, "seq"))), "listings")
     live = q.filter("quality_status <> 'REJECTED'").select("seq", "fp")
     key = F.sha2(F.to_json("fp"), 256)
     keyed = shared_table(live.select("seq", key.alias("key")), "keys")

@@ -225,6 +225,9 @@ def candidate_pairs(nodes: DataFrame, side: int = SIDE) -> DataFrame:
     """Pairs (i < j by id) of nodes (id, fp) that aren't surely different: the same category, brand and no clash of family, RAM or storage, or a
     common GTIN or part number. Columns i, j, l, r, and the sides' facts lf_ and rf_.
 
+    Two nodes that both have a GTIN, or both have a part number, are decided by those alone, so they come together by an equal number only: in
+    blocks a node meets those whose numbers aren't of its kinds. However many listings with numbers share a block, none are compared in it.
+
     Nodes that have family, RAM and storage join each other on all of them; only those that lack one are paired within their brand, where what
     both have must agree. So the pairs are exact, and a brand's listings aren't all paired with each other.
 
@@ -244,15 +247,19 @@ def candidate_pairs(nodes: DataFrame, side: int = SIDE) -> DataFrame:
     heads = n.filter(loose).groupBy("category", "brand").agg(F.min("id").alias("head")).select("head")
     n = n.join(heads, F.col("id") == F.col("head"), "left").withColumn("follows", loose & F.col("head").isNull()).drop("head")
     n = n.drop("fp")
+    # kind: 1 for a GTIN, 2 for a part number, 3 for both; a node meets kinds that it has nothing in common with.
+    has = lambda k: F.coalesce(F.col(k) != "", F.lit(False))
+    n = n.withColumn("kind", F.when(has("gtin"), 1).otherwise(0) + F.when(has("manufacturer_part_number"), 2).otherwise(0))
+    meets = F.array(*[F.array(*[F.lit(b) for b in range(4) if not a & b]) for a in range(4)])
+    met = n.withColumn("kind", F.explode(meets[F.col("kind")]))
     ids = [F.least("x.id", "y.id").alias("i"), F.greatest("x.id", "y.id").alias("j")]
     some = F.col("x.fresh") | F.col("y.fresh")
     agree = (F.col("x.id") != F.col("y.id")) & some
     for k in keys:
         agree = agree & (F.col(f"x.{k}").isNull() | F.col(f"y.{k}").isNull() | (F.col(f"x.{k}") == F.col(f"y.{k}")))
-    whole = n.filter("whole")
-    out = tiled_join(whole, whole, ["category", "brand", *keys], (F.col("x.id") < F.col("y.id")) & some, side).select(*ids)
-    lacking = tiled_join(n.filter("not whole and not follows"), n, ["category", "brand"], agree, side).select(*ids)
-    return _numbered(n, out.union(lacking), nodes, side)
+    out = tiled_join(n.filter("whole"), met.filter("whole"), ["category", "brand", *keys, "kind"], (F.col("x.id") < F.col("y.id")) & some, side).select(*ids)
+    lacking = tiled_join(n.filter("not whole and not follows"), met, ["category", "brand", "kind"], agree, side).select(*ids)
+    return _numbered(n.drop("kind"), out.union(lacking), nodes, side)
 
 
 def _numbered(n: DataFrame, pairs: DataFrame, nodes: DataFrame, side: int) -> DataFrame:
