@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.spread import spread
 from ..operators import attributes as A
 from .queries import query, table
 from .sample import Field, cases, columns, field, first_label, first_words, fold, group, selects
@@ -39,7 +40,7 @@ MOBILE_SPECS = {
 
 
 def _frame(spark: SparkSession, d: str, code: str, title: dict[str, Field], specs: dict[str, Field]) -> DataFrame:
-    p = table(spark, d, "part").select("p_partkey").withColumns(columns(title))
+    p = spread(table(spark, d, "part").select("p_partkey"), "p_partkey").withColumns(columns(title))
     odd = lambda k: F.when(F.col("p_partkey") % 2 == 1, F.lit(k.upper() + " ")).otherwise(F.lit(k))
     entries = [F.when(f.spark("p_partkey").isNotNull(), F.struct(odd(k).alias("key"), f.spark("p_partkey").alias("value"))) for k, f in specs.items()]
     return A.with_attributes(p.select("p_partkey", F.lit(code).alias("category"), F.concat_ws(" ", *title).alias("title"), F.map_from_entries(F.array_compact(F.array(*entries))).alias("specs")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.spread import spread
 from ..operators import identity
 from .queries import query, table
 from .sample import Field, cases, columns, field, first_label, first_words, fold, group, norm, selects
@@ -33,7 +34,7 @@ NUMBER = r"(\d+(?:\.\d+)?)"
 
 
 def _frame(spark: SparkSession, d: str, code: str, title: dict[str, Field], specs: dict[str, Field]) -> DataFrame:
-    p = table(spark, d, "part").select("p_partkey").withColumns(columns(title) | columns(SAID))
+    p = spread(table(spark, d, "part").select("p_partkey"), "p_partkey").withColumns(columns(title) | columns(SAID))
     entries = [F.when(f.spark("p_partkey").isNotNull(), F.struct(F.lit(k).alias("key"), f.spark("p_partkey").alias("value"))) for k, f in specs.items()]
     rows = p.select(
         "p_partkey", F.lit(code).alias("category"), F.concat_ws(" ", *title).alias("title"), F.col("said").alias("brand"), F.col("name").alias("model_name"), F.col("mpn").alias("manufacturer_part_number"), "gtin",

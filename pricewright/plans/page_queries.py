@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from ..functions.spread import spread
 from ..operators import cluster, reviews, store
 from ..sources import discovery, retail
 from . import jobs
@@ -43,7 +44,7 @@ AMAZON_SAYS = {"title": A_TITLE[1], "known": A_TITLE[2], "ld": A_TITLE[3], "pric
 
 
 def _listings(spark: SparkSession, d: str, source: str, fragments: dict[str, Field], link: Field, made: Column | None = None) -> DataFrame:
-    p = table(spark, d, "part").select("p_partkey").withColumns(columns(fragments) | {"source_url": link.spark("p_partkey")})
+    p = spread(table(spark, d, "part").select("p_partkey"), "p_partkey").withColumns(columns(fragments) | {"source_url": link.spark("p_partkey")})
     body = F.concat_ws("", *fragments) if made is None else made
     raw = p.select(F.lit(source).alias("source"), F.concat(F.lit("p"), F.col("p_partkey")).alias("source_product_id"), F.lit("laptop").alias("category"), F.lit(None).cast("string").alias("subcategory"), "source_url", F.lit("2026-01-01T00:00:00Z").alias("observed_at"), F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"))
     return retail.parse_listings(raw)
