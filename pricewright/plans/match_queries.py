@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.spread import spread
 from ..operators import identity, match
 from .queries import query, table
 from .sample import Field, cases, columns, field, group, selects
@@ -49,7 +50,7 @@ def price_band(spark: SparkSession, d: str) -> DataFrame:
     """Parts of a brand, of 1,000 neighbours each, whose prices differ by less than 0.7."""
     from ..operators.names import band_join
 
-    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_brand", F.expr("p_partkey div 1000").alias("slot"), "p_retailprice")
+    rows = spread(table(spark, d, "part"), "p_partkey").select(F.col("p_partkey").alias("id"), "p_brand", F.expr("p_partkey div 1000").alias("slot"), "p_retailprice")
     return band_join(rows, ["p_brand", "slot"], "p_retailprice", 0.7).select(F.col("x.id").alias("i"), F.col("y.id").alias("j"))
 
 
@@ -86,7 +87,7 @@ IDENTITY = {"laptop": ("cpu_model", "gpu_model", "ram_gb", "storage_gb"), "mobil
 
 def _pairs(spark: SparkSession, d: str, code: str, fields: dict[str, Field]) -> DataFrame:
     """Parts with the one so many keys further on, as fingerprints of fields made of their keys."""
-    p = table(spark, d, "part").select("p_partkey").withColumns(columns(fields) | {"present": PRESENT.spark("p_partkey")})
+    p = spread(table(spark, d, "part").select("p_partkey"), "p_partkey").withColumns(columns(fields) | {"present": PRESENT.spark("p_partkey")})
     kinds = dict(x.split(" ", 1) for x in identity.FINGERPRINT.split(", "))
     there = {"cpu_model": "chip", "chipset": "chip"}
     entries = [F.struct(F.lit(k).alias("key"), F.coalesce(F.col(there.get(k, k)).cast("string"), F.lit("?")).alias("value")) for k in IDENTITY[code]]
