@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -22,49 +22,63 @@ def in_order(pages: DataFrame) -> DataFrame:
     """
     own = pages.filter("product_id is not null").withColumns({"k_": F.coalesce(F.concat(F.lit("c"), "cursor"), F.lit("")), "r_": F.xxhash64(F.col("next_cursor"))})
     one = own.groupBy("product_id", "k_").agg(F.min_by(F.struct("cursor", "next_cursor", "reviews"), F.struct("next_cursor", "r_")).alias("p"))
-    one = shared_table(one.select("product_id", "k_", "p.*"), "pages")
+    # Pages get numbers, so that rounds handle pairs of numbers and no texts.
+    one = shared_table(one.select(F.monotonically_increasing_id().alias("id"), "product_id", "k_", "p.*"), "pages")
     live = F.col("next_cursor").isNotNull() & (F.coalesce(F.size("reviews"), F.lit(0)) > 0)
-    # What a page leads to, and through how many pages; null at the end of a chain.
-    jump = shared_table(one.filter(live).select("product_id", F.col("k_").alias("a"), F.concat(F.lit("c"), "next_cursor").alias("b")), "jumps")
-    known = one.select("product_id", F.col("k_").alias("b"))
-    jump = shared_table(jump.join(known, ["product_id", "b"], "left_semi").select("product_id", "a", "b"), "jumps")
+    # What a page leads to, and through how many pages.
+    to = one.filter(live).select("product_id", F.concat(F.lit("c"), "next_cursor").alias("k_"), F.col("id").alias("a"))
+    jump = following = shared_table(to.join(one.select("product_id", "k_", F.col("id").alias("b")), ["product_id", "k_"]).select("a", "b"), "jumps")
     step, n = 1, 0
-    ranked = shared_table(one.filter("k_ = ''").select("product_id", "k_", F.lit(0).cast("long").alias("at")), "ranked")
+    ranked = shared_table(one.filter("k_ = ''").select("id", F.lit(0).cast("long").alias("at")), "ranked")
     now = ranked.count()
     while now > n:
         n = now
-        on = ranked.join(jump.select("product_id", F.col("a").alias("k_"), "b"), ["product_id", "k_"]).select("product_id", F.col("b").alias("k_"), (F.col("at") + step).alias("at"))
-        ranked = shared_table(ranked.unionByName(on).groupBy("product_id", "k_").agg(F.min("at").alias("at")), "ranked")
-        jump = shared_table(jump.join(jump.select("product_id", F.col("a").alias("b"), F.col("b").alias("c")), ["product_id", "b"]).select("product_id", "a", F.col("c").alias("b")), "jumps")
+        on = ranked.join(jump.withColumnRenamed("a", "id"), "id").select(F.col("b").alias("id"), (F.col("at") + step).alias("at"))
+        ranked = shared_table(ranked.unionByName(on).groupBy("id").agg(F.min("at").alias("at")), "ranked")
         step, now = 2 * step, ranked.count()
-    after = ranked.select("product_id", F.col("k_").alias("to_"), F.col("at").alias("next_at"))
-    out = one.join(ranked, ["product_id", "k_"]).withColumn("to_", F.when(live, F.concat(F.lit("c"), "next_cursor"))).join(after, ["product_id", "to_"], "left")
-    reason = F.when(F.col("to_").isNotNull(), ordered([(F.col("next_at").isNull(), F.lit("no such page")), (F.col("next_at") <= F.col("at"), F.lit("repeated cursor"))]))
+        if now > n:
+            jump = shared_table(jump.join(jump.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b")), "jumps")
+    after = following.join(ranked.select(F.col("id").alias("b"), F.col("at").alias("next_at")), "b").select(F.col("a").alias("id"), "next_at")
+    out = one.join(ranked.join(after, "id", "left"), "id")
+    reason = F.when(live, ordered([(F.col("next_at").isNull(), F.lit("no such page")), (F.col("next_at") <= F.col("at"), F.lit("repeated cursor"))]))
     return out.select("product_id", (F.col("at") + 1).alias("page_no"), "cursor", "next_cursor", "reviews", reason.alias("reason"))
 
 
 def page_faults(pages: DataFrame) -> DataFrame:
     """pages (product_id, page_no, cursor, reviews: array of struct with product_id) that break a rule, with the reason: a cursor that came before, a page
     of more than PAGE_LIMIT reviews, or one with another product's reviews."""
+    return _judged(pages.withColumns(_marks())).filter("reason is not null").drop(*_marks())
+
+
+def _marks() -> dict[str, Column]:
+    """What rules ask of a page's reviews."""
+    return {"n_": F.size("reviews"), "other_": F.exists("reviews", lambda r: r["product_id"] != F.col("product_id"))}
+
+
+def _judged(pages: DataFrame) -> DataFrame:
     w = Window.partitionBy("product_id", "cursor")
-    p = pages.withColumn("first_", F.min("page_no").over(w))
     reason = ordered([
-        (F.col("cursor").isNotNull() & (F.col("page_no") > F.col("first_")), F.lit("repeated cursor")), (F.size("reviews") > PAGE_LIMIT, F.lit("too many reviews on a page")),
-        (F.exists("reviews", lambda r: r["product_id"] != F.col("product_id")), F.lit("reviews of another product")),
+        (F.col("cursor").isNotNull() & (F.col("page_no") > F.col("first_")), F.lit("repeated cursor")), (F.col("n_") > PAGE_LIMIT, F.lit("too many reviews on a page")),
+        (F.col("other_"), F.lit("reviews of another product")),
     ])
-    return p.withColumn("reason", reason).filter("reason is not null").drop("first_")
+    return pages.withColumn("first_", F.min("page_no").over(w)).withColumn("reason", reason).drop("first_")
 
 
 def collect_reviews(pages: DataFrame, maximum: int) -> DataFrame:
-    """The first `maximum` reviews of each product, in order of pages and places; pages after an empty one or after a faulty one don't count."""
+    """The first `maximum` reviews of each product, in order of pages and places; pages after an empty one or after a faulty one don't count.
+
+    Pages are counted, without their reviews, before those that count are taken apart: reviews are never sorted.
+    """
     if not 0 <= maximum <= 500:
         raise ValueError("a product's reviews are capped at 500")
-    stops = pages.filter((F.size("reviews") == 0) | F.col("reviews").isNull()).select("product_id", F.col("page_no").alias("stop"))
-    stops = stops.union(page_faults(pages).select("product_id", F.col("page_no").alias("stop"))).groupBy("product_id").agg(F.min("stop").alias("stop"))
+    marks = _judged(pages.select("product_id", "page_no", "cursor", *[c.alias(k) for k, c in _marks().items()]))
+    ends = marks.filter((F.coalesce("n_", F.lit(0)) <= 0) | F.col("reason").isNotNull())
+    stops = ends.groupBy("product_id").agg(F.min("page_no").alias("stop"))
     live = pages.join(stops, "product_id", "left").filter(F.col("stop").isNull() | (F.col("page_no") < F.col("stop")))
-    rows = live.select("product_id", "page_no", F.posexplode("reviews").alias("place", "review"))
-    w = Window.partitionBy("product_id").orderBy("page_no", "place")
-    return rows.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= maximum).select("product_id", "n", "review")
+    w = Window.partitionBy("product_id").orderBy("page_no", "cursor").rowsBetween(Window.unboundedPreceding, -1)
+    live = live.withColumn("before_", F.coalesce(F.sum(F.size("reviews")).over(w), F.lit(0)).cast("int"))
+    rows = live.select("product_id", "before_", F.posexplode(F.slice("reviews", F.lit(1), F.greatest(F.lit(maximum) - F.col("before_"), F.lit(0)))).alias("place", "review"))
+    return rows.select("product_id", (F.col("before_") + F.col("place") + 1).alias("n"), "review")
 
 
 def aspects(spark) -> DataFrame:  # noqa: ANN001

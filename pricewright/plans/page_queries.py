@@ -183,13 +183,13 @@ w(k, pos, cursor, next_cursor, n, seen, reason) AS (SELECT k, 1, cursor, next_cu
 e AS (SELECT w.k, w.pos, CASE WHEN w.n = 0 OR w.next_cursor IS NULL THEN NULL WHEN list_contains(w.seen, w.next_cursor) THEN 'repeated cursor' WHEN w.next_cursor = 'lost' THEN 'no such page' END AS reason FROM w)
 SELECT k AS product_id, count(*)::BIGINT AS pages, max(reason) AS reason FROM e GROUP BY k""")
 def reviews_by_cursor(spark: SparkSession, d: str) -> DataFrame:
-    """Up to fifty pages a product, in no order: chains of cursors that end, come back to an earlier page, or name a page that isn't there."""
-    p = table(spark, d, "part").filter("p_size is not null").select(F.col("p_partkey").alias("product_id"), "p_size", F.explode(F.sequence(F.lit(1), "p_size")).alias("page"))
+    """Up to fifty pages a product: chains of cursors that end, come back to an earlier page, or name a page that isn't there."""
+    p = spread(table(spark, d, "part").filter("p_size is not null").select(F.col("p_partkey").alias("product_id"), "p_size"), "product_id").select("product_id", "p_size", F.explode(F.sequence(F.lit(1), "p_size")).alias("page"))
     k, page = F.col("product_id"), F.col("page")
     name = lambda n: F.concat(F.lit("c"), (n * 7919 + k) % 100003)
     after = F.when(page < F.col("p_size"), name(page + 1)).when((k % 5 == 0) & (page > 2), name(F.lit(2))).when(k % 7 == 0, F.lit("lost"))
     pages = p.select("product_id", F.when(page > 1, name(page)).alias("cursor"), after.alias("next_cursor"), F.when((k % 3 == 0) & (page == 9), F.array().cast("array<int>")).otherwise(F.array(F.lit(1))).alias("reviews"))
-    got = reviews.in_order(pages.repartition(F.hash("cursor")))
+    got = reviews.in_order(pages)
     return got.groupBy("product_id").agg(F.count("*").alias("pages"), F.max("reason").alias("reason"))
 
 
@@ -197,7 +197,7 @@ def reviews_by_cursor(spark: SparkSession, d: str) -> DataFrame:
 n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY page, place) AS n FROM r) SELECT k AS product_id, count(*)::BIGINT AS reviews, max(n)::INT AS last, sum(1000 * page + place)::BIGINT AS sum FROM n WHERE n <= 100 GROUP BY k""")
 def reviews_collected(spark: SparkSession, d: str) -> DataFrame:
     """Up to three pages of 60 reviews a product, 100 at most; a page whose cursor came before, or with another product's review, ends it."""
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), F.explode(F.expr("sequence(1, 3)")).alias("page_no"), "p_size").filter("page_no <= p_size % 4")
+    p = spread(table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), "p_size"), "product_id").select("product_id", F.explode(F.expr("sequence(1, 3)")).alias("page_no"), "p_size").filter("page_no <= p_size % 4")
     k, page = F.col("product_id"), F.col("page_no")
     cursor = F.when((k % 5 == 0) & (page == 2), F.lit(1)).otherwise(page).cast("string")
     place = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.struct(F.when((k % 7 == 0) & (page == 3) & (i == 30), k + 1).otherwise(k).alias("product_id"), (1000 * page + i).alias("at")))

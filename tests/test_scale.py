@@ -50,3 +50,37 @@ def test_leader_cluster_links_kinds_only(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("name", ["laptop_attributes", "mobile_attributes", "laptop_fingerprint", "mobile_fingerprint", "parse_amazon"])
 def test_costly_rows_are_dealt_over_tasks(spark, name):
     assert plans.queries()[name](spark, D).rdd.getNumPartitions() >= 4
+
+
+@pytest.mark.parametrize(("name", "word"), [("price_band", "Repartition"), ("match_decision_mobile", "Repartition"), ("reviews_collected", "Repartition"), ("reviews_by_cursor", None)])
+def test_rows_of_a_small_file_are_dealt_over_tasks(spark, monkeypatch, name, word):
+    from pricewright.operators import reviews
+
+    seen, real = [], reviews.in_order
+    monkeypatch.setattr(reviews, "in_order", lambda p: seen.append(p) or real(p))
+    df = plans.queries()[name](spark, D)
+    plan = (seen or [df])[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [" in plan and (word is None or word in plan)
+
+
+def test_reviews_are_not_sorted(spark):
+    """Pages are counted before their reviews are taken apart: the window is below the generator."""
+    plan = plans.queries()["reviews_collected"](spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("posexplode") < plan.index("Window [")
+    assert "row_number" not in plan
+
+
+def test_offer_latest_carries_what_it_gives(spark):
+    plan = plans.queries()["offer_latest"](spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_name" not in plan.split("Relation")[0] and "p_type" not in plan.split("Relation")[0]
+
+
+def test_chains_are_ranked_by_numbers(spark, monkeypatch):
+    from pricewright.operators import reviews
+
+    seen, real = [], reviews.shared_table
+    monkeypatch.setattr(reviews, "shared_table", lambda df, name: seen.append((name, dict(df.dtypes))) or real(df, name))
+    rows = [("p", None, "a", [1]), ("p", "a", "b", [2]), ("p", "b", "a", [3]), ("q", None, "x", [4]), ("r", "z", None, [5])]
+    got = reviews.in_order(spark.createDataFrame(rows, "product_id string, cursor string, next_cursor string, reviews array<int>")).collect()
+    assert sorted((r.product_id, r.page_no, r.reviews[0], r.reason) for r in got) == [("p", 1, 1, None), ("p", 2, 2, None), ("p", 3, 3, "repeated cursor"), ("q", 1, 4, "no such page")]
+    assert all(set(kinds.values()) == {"bigint"} for name, kinds in seen if name in ("jumps", "ranked"))
