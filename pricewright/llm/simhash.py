@@ -137,7 +137,7 @@ def near_links(prints: DataFrame, *, chain: int | None = None, crowd: int = CROW
         chain = 2 if prints.count() <= FEW else 3
     exact = prints.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(mask(i, chain))).alias("key")) for i in range(PARTS)])).alias("x")).select("fp", "x.start", "x.key")
     sizes = materialize(exact.groupBy("start", "key").agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select("start", "key"), "crowds")
-    own = exact.join(sizes, ["start", "key"], "left_anti")
+    own = exact.join(sizes.hint("merge"), ["start", "key"], "left_anti")
     masks = F.create_map(*[c for i in range(PARTS) for c in (F.lit(i), F.lit(flips(i, chain)))])
     other = prints.select("fp", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("start")).withColumn("flip", F.explode(masks[F.col("start")]))
     firsts = F.create_map(*[c for i in range(PARTS) for c in (F.lit(i), F.lit(mask(i, chain)))])
@@ -169,14 +169,15 @@ def simhash_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     link but never name a component (component_id is null, and kept true, if all ids of it are null). Ids are cast to long. Other
     columns are ignored, whatever their names.
     """
+    # Tables that grow with the documents are merged, not broadcast: a broadcast comes together in the driver.
     prints = materialize(simhashes(docs, id_col=id_col, text_col=text_col), "simhashes", texts=True)
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     comps = connected(materialize(near_links(nodes.select("fp"), chain=chain, crowd=crowd), "links"))
-    named = materialize(nodes.join(comps.withColumnRenamed("nid", "fp"), "fp", "left"), "named")
+    named = materialize(nodes.join(comps.withColumnRenamed("nid", "fp").hint("merge"), "fp", "left"), "named")
     # As in near_dup: members of a large component are dealt over SALTS tasks.
     own = named.filter(F.col("comp").isNotNull()).withColumn("salt", F.pmod("fp", F.lit(SALTS)))
     least = own.groupBy("comp").agg(F.min("first_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    of = own.join(least, ["comp", "salt"]).select("fp", "component_id")
+    of = own.join(least.hint("merge"), ["comp", "salt"]).select("fp", "component_id")
     of = materialize(of.unionByName(named.filter(F.col("comp").isNull()).select("fp", F.col("first_id").alias("component_id"))), "of")
-    out = prints.join(of, "fp")
+    out = prints.join(of.hint("merge"), "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))

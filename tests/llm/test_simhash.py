@@ -120,3 +120,13 @@ def test_simhash_query_against_a_plain_version(spark, crowd):
     got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), crowd=crowd).collect()), key=repr)
     assert got == plain_components([(i, plain_print(t)) for i, t in docs])
     assert len({r[2] for r in got}) < 100
+
+
+def test_tables_that_grow_are_not_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from pricewright.llm.simhash import simhash_duplicates
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words that stand here "), F.col("id")).alias("text"))
+    plan = simhash_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
