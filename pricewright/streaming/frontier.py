@@ -10,11 +10,12 @@ The rules of one event are those of ops.enqueue, ops.completed and ops.failed; r
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from datetime import UTC, datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -30,10 +31,6 @@ STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.e
 KINDS = ("enqueue", "start", "complete", "fail")
 
 
-def _millis(t: datetime) -> int:
-    return round(t.astimezone(UTC).timestamp() * 1000)
-
-
 def delay(errors: int, base: int) -> int:
     """Minutes until a URL that failed so often in a row is tried again."""
     return base * 2 ** min(errors - 1, 4)
@@ -55,65 +52,110 @@ def after(state: dict[str, Any] | None, kind: str, at: int, fields: tuple[Any, .
     return state | {"status": "completed" if kind == "complete" else "failed", "error_count": errors, "due": at + minutes * 60_000, "waits": True}
 
 
+#: Events and changes pass between Spark and Python as one text each, times in milliseconds.
+_EVENT = ("seq", "kind", "url", "source", "category", "priority")
+_TEXT = CHANGE.replace("timestamp", "long")
+_FIELDS = [f.split()[0] for f in _STATE.split(", ")]
+_WAITS, _DUE = _FIELDS.index("waits"), _FIELDS.index("due")
+#: URLs share their state's reads, writes and timers with those of their bucket: each of these is a call back to Spark, which costs more than many URLs.
+#: A micro-batch writes the buckets that it has events for. A checkpoint goes on only with the number it was begun with.
+BUCKETS = 4096
+
+
+def _events(texts: list[str]) -> list[dict[str, Any]]:
+    """In order of time and number, those without a number first."""
+    return sorted((json.loads(t) for t in sorted(texts)), key=lambda e: (e["at"], e["seq"] is not None, e["seq"] or 0, e["kind"]))
+
+
+def _change(url: str, state: dict[str, Any], change: str, at: int) -> str:
+    given = {k: v for k, v in state.items() if k not in ("due", "waits")}
+    return json.dumps(given | {"canonical_url": url, "change": change, "at": at, "recrawl_after": state["due"]})
+
+
+def _next(urls: dict[str, list[Any]]) -> int | None:
+    """When the first of the URLs that wait is due."""
+    return min((v[_DUE] for v in urls.values() if v[_WAITS]), default=None)
+
+
 class FrontierProcessor(StatefulProcessor):
-    """State of one URL; a timer at its due time, which a later event replaces."""
+    """State of a bucket's URLs, and one timer, at the time when the first of them is due."""
 
-    def __init__(self, hours: int = 24, base: int = 30):
-        self.hours, self.base = hours, base
+    def __init__(self, hours: int = 24, base: int = 30, live: bool = False):
+        self.hours, self.base, self.live = hours, base, live
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("url", _STATE)
-
-    def _read(self) -> dict[str, Any] | None:
-        if not self.state.exists():
-            return None
-        return dict(zip([f.split()[0] for f in _STATE.split(", ")], self.state.get(), strict=True))
-
-    def _change(self, key: tuple[Any, ...], state: dict[str, Any], change: str, at: int) -> Row:
-        stamp = lambda ms: None if ms is None else datetime.fromtimestamp(ms / 1000, UTC).replace(tzinfo=None)
-        return Row(canonical_url=key[0], version=state["version"], change=change, at=stamp(at), url=state["url"], source=state["source"], category=state["category"], priority=state["priority"], status=state["status"], error_count=state["error_count"], recrawl_after=stamp(state["due"]), releases=state["releases"])
-
-    def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:  # noqa: N802, N803
-        """Events in order of time and number; a due time that passes between two of them counts as a release."""
-        state = before = self._read()
-        events = sorted((_millis(r.at), r.seq, r.kind, (r.url, r.source, r.category, r.priority)) for r in rows)
-        for at, _, kind, fields in events:
-            if state is not None and state["waits"] and state["due"] <= at:
-                state = state | {"waits": False, "releases": state["releases"] + 1}
-            state = after(state, kind, at, fields, self.hours, self.base)
-        if state is None:
-            return
-        if before is not None and before["waits"]:
-            self.handle.deleteTimer(before["due"])
-        if state["waits"]:
-            self.handle.registerTimer(state["due"])
-        state = state | {"version": state["version"] + 1}
-        self.state.update(tuple(state.values()))
-        yield self._change(key, state, "added" if before is None else "changed", events[-1][0])
-
-    def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        state = self._read()
-        if state is None or not state["waits"]:
-            return
-        state = state | {"waits": False, "releases": state["releases"] + 1, "version": state["version"] + 1}
-        self.state.update(tuple(state.values()))
-        yield self._change(key, state, "released", expiredTimerInfo.getExpiryTimeInMs())
+        self.state = handle.getValueState("bucket", "urls string")
+
+    def _read(self) -> dict[str, list[Any]]:
+        found = self.state.get()
+        return json.loads(found[0]) if found else {}
+
+    def _write(self, urls: dict[str, list[Any]], timer: int | None) -> None:
+        """timer: the one that stands."""
+        self.state.update((json.dumps(urls),))
+        due = _next(urls)
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        if due is not None and timer != due:
+            self.handle.registerTimer(due)
+
+    def handleInputRows(self, key: tuple[Any, ...], rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """Each URL's events in order of time and number; a due time that passes between two of them counts as a release."""
+        of: dict[str, list[str]] = {}
+        for part in rows:
+            for u, text in zip(part["canonical_url"], part["event"], strict=True):
+                of.setdefault(u, []).append(text)
+        urls, out = self._read(), []
+        timer = _next(urls)
+        for u, texts in of.items():
+            state = before = dict(zip(_FIELDS, urls[u], strict=True)) if u in urls else None
+            for e in (events := _events(texts)):
+                if state is not None and state["waits"] and state["due"] <= e["at"]:
+                    state = state | {"waits": False, "releases": state["releases"] + 1}
+                state = after(state, e["kind"], e["at"], (e["url"], e["source"], e["category"], e["priority"]), self.hours, self.base)
+            if state is not None:
+                state = state | {"version": state["version"] + 1}
+                urls[u] = [state[k] for k in _FIELDS]
+                out.append(_change(u, state, "added" if before is None else "changed", events[-1]["at"]))
+        if out:
+            self._write(urls, timer)
+            yield pd.DataFrame({"change": out})
+
+    def handleExpiredTimer(self, key: tuple[Any, ...], timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """All URLs that are due by now; Spark deletes the timer that has expired."""
+        now = timerValues.getCurrentProcessingTimeInMs() if self.live else timerValues.getCurrentWatermarkInMs()
+        urls, out = self._read(), []
+        for u, v in urls.items():
+            if v[_WAITS] and v[_DUE] <= now:
+                state = dict(zip(_FIELDS, v, strict=True))
+                state = state | {"waits": False, "releases": state["releases"] + 1, "version": state["version"] + 1}
+                urls[u] = [state[k] for k in _FIELDS]
+                out.append(_change(u, state, "released", state["due"]))
+        if out:
+            self._write(urls, None)
+            yield pd.DataFrame({"change": out})
 
     def close(self) -> None:
         pass
 
 
-def frontier_changes(events: DataFrame, *, hours: int = 24, base: int = 30, late: str = "0 seconds", live: bool = False) -> DataFrame:
+def frontier_changes(events: DataFrame, *, hours: int = 24, base: int = 30, late: str = "0 seconds", live: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """A stream of FRONTIER_EVENTS to CHANGE rows. live: timers go by the clock, else by the events' own time, so that a log can be replayed.
 
     Events that are later than `late` behind the newest ones are dropped unless live. A URL's events of one micro-batch are put in order by
-    time and seq. Events without a URL, a known kind or a time are dropped; a null priority counts as 9.
+    time and seq. Events without a URL, a known kind or a time are dropped; a null priority counts as 9. buckets: see BUCKETS; more of them for
+    more than some hundred million URLs.
     """
     ship(events.sparkSession)
     known = events.filter(F.col("canonical_url").isNotNull() & F.col("kind").isin(*KINDS) & F.col("at").isNotNull()).withColumn("priority", F.coalesce("priority", F.lit(9)))
     known = known if live else known.withWatermark("at", late)
-    return known.groupBy("canonical_url").transformWithState(FrontierProcessor(hours, base), CHANGE, "update", "ProcessingTime" if live else "EventTime")
+    event = F.to_json(F.struct(F.unix_millis("at").alias("at"), *_EVENT), {"ignoreNullFields": "false"})
+    dealt = known.select(F.pmod(F.xxhash64("canonical_url"), F.lit(buckets)).alias("bucket"), "canonical_url", "at", event.alias("event"))
+    texts = dealt.groupBy("bucket").transformWithStateInPandas(FrontierProcessor(hours, base, live), "change string", "update", "ProcessingTime" if live else "EventTime")
+    c = texts.select(F.from_json("change", _TEXT).alias("c"))
+    times = ("at", "recrawl_after")
+    return c.select(*[(F.timestamp_millis(f"c.{k}") if k in times else F.col(f"c.{k}")).alias(k) for k in (f.split()[0] for f in CHANGE.split(", "))])
 
 
 def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

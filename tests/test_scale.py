@@ -84,3 +84,33 @@ def test_chains_are_ranked_by_numbers(spark, monkeypatch):
     got = reviews.in_order(spark.createDataFrame(rows, "product_id string, cursor string, next_cursor string, reviews array<int>")).collect()
     assert sorted((r.product_id, r.page_no, r.reviews[0], r.reason) for r in got) == [("p", 1, 1, None), ("p", 2, 2, None), ("p", 3, 3, "repeated cursor"), ("q", 1, 4, "no such page")]
     assert all(set(kinds.values()) == {"bigint"} for name, kinds in seen if name in ("jumps", "ranked"))
+
+
+def test_frontier_state_is_kept_by_bucket(spark, tmp_path):
+    """URLs of a bucket share a row of state and a timer; each URL's changes are its own."""
+    from pricewright.streaming import frontier
+
+    s = spark.newSession()
+    for k, v in frontier.STORE.items():
+        s.conf.set(k, v)
+    rng, rows = random.Random(3), []
+    for n in range(900):
+        u, m = f"http://x/{rng.randrange(200)}?\"ü\\", n // 2
+        rows.append((u, rng.choice(frontier.KINDS), f"2026-01-01 {m // 60:02d}:{m % 60:02d}:00", n, f"{u}&{n}", rng.choice([None, "s"]), "laptop", rng.choice([None, 1, 2])))
+    log = spark.createDataFrame(rows, frontier.FRONTIER_EVENTS.replace("at timestamp", "at string")).withColumn("at", F.col("at").cast("timestamp"))
+    for k in range(2):
+        log.filter((F.col("seq") >= 450) == bool(k)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        changes = frontier.frontier_changes(s.readStream.schema(frontier.FRONTIER_EVENTS).parquet(f"{tmp_path}/log"))
+        q = frontier.write_changes(changes, f"{tmp_path}/changes", f"{tmp_path}/checkpoint")
+        q.awaitTermination()
+    # The same with a few buckets: what Spark holds is a row and a timer of each, whatever the number of URLs.
+    few = frontier.write_changes(frontier.frontier_changes(s.readStream.schema(frontier.FRONTIER_EVENTS).parquet(f"{tmp_path}/log"), buckets=3), f"{tmp_path}/few", f"{tmp_path}/few_checkpoint")
+    few.awaitTermination()
+    held = max(p["stateOperators"][0]["numRowsTotal"] for p in few.recentProgress if p["stateOperators"])
+    assert held <= 9
+    want = {r.canonical_url: r for r in frontier.replay(log).collect()}
+    assert len(want) > 100
+    for name in ("changes", "few"):
+        got = {r.canonical_url: r for r in frontier.frontier_table(spark.read.schema(frontier.CHANGE).parquet(f"{tmp_path}/{name}")).collect()}
+        assert set(got) == set(want)
+        assert all(got[u][c] == want[u][c] for u in want for c in ("url", "source", "category", "priority", "status", "error_count", "recrawl_after"))
