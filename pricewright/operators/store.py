@@ -18,6 +18,13 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return r.select(*[F.col(f"`{c}`") if c in keys else F.col("r_").getField(c).alias(c) for c in rows.columns])
 
 
+def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """latest, by columns of rows, which are carried once; what they leave open the other columns decide, so none may be a map."""
+    rest = [c for c in rows.columns if c not in (*keys, *order)]
+    r = rows.groupBy(*keys).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in (*order, *rest)])).alias("r_"))
+    return r.select(*[F.col(f"`{c}`") if c in keys else F.col("r_").getField(c).alias(c) for c in rows.columns])
+
+
 def first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("n_", F.row_number().over(w)).filter("n_ = 1").drop("n_")

@@ -114,3 +114,31 @@ def test_frontier_state_is_kept_by_bucket(spark, tmp_path):
         got = {r.canonical_url: r for r in frontier.frontier_table(spark.read.schema(frontier.CHANGE).parquet(f"{tmp_path}/{name}")).collect()}
         assert set(got) == set(want)
         assert all(got[u][c] == want[u][c] for u in want for c in ("url", "source", "category", "priority", "status", "error_count", "recrawl_after"))
+
+
+def test_offer_latest_shuffles_rows_once(spark):
+    """Where the parts are no small table, the rows lie as the join wants them, and what is latest is found there."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plans.queries()["offer_latest"](s, D)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert dealt and all(x.startswith(("l_partkey#", "p_partkey#", "l_suppkey#")) for x in dealt)
+    assert "l_suppkey" in plan and not any(x.startswith("l_partkey#") and "l_suppkey#" in x for x in dealt)
+
+
+def test_offers_without_a_supplier_are_one(spark, tmp_path):
+    import datetime
+
+    import duckdb
+
+    day = lambda k: datetime.datetime(2024, 1, 1 + k)
+    rows = [(k, 1 + k % 3, None if k % 2 else k % 4, 1, 2.0, 10.0 + k, 0.1, 0.1, "A", "O" if k % 3 else None, None if k == 8 else day(k)) for k in range(20)]
+    kind = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, "n", "b", "t", 1) for k in (1, 2)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    c = duckdb.connect()
+    for t in ("lineitem", "part"):
+        c.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = sorted(map(str, c.execute(plans.oracle_sql()["offer_latest"]).fetchall()))
+    got = sorted(str(tuple(r)) for r in plans.queries()["offer_latest"](spark, str(tmp_path)).collect())
+    assert got == want and sum("(None, None" in x for x in got) == 1
