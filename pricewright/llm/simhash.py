@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACED, materialize, ship, slices, text_bytes, tidied, words_of
@@ -132,7 +132,10 @@ def _bits(x: Column | str, parts: int, start: int) -> Column:
 
 
 def near_links(prints: DataFrame, *, chain: int | None = None, crowd: int = CROWD) -> DataFrame:
-    """Links a, b between different fingerprints (fp) that differ in at most TAU bits; whatever is within TAU is connected by them."""
+    """Links a, b between different fingerprints (fp) that differ in at most TAU bits; whatever is within TAU is connected by them.
+
+    No table here is broadcast: each grows with prints, and Spark sizes what explode() made as if it had made one row of each.
+    """
     if chain is None:
         chain = 2 if prints.count() <= FEW else 3
     exact = prints.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(mask(i, chain))).alias("key")) for i in range(PARTS)])).alias("x")).select("fp", "x.start", "x.key")
@@ -147,17 +150,17 @@ def near_links(prints: DataFrame, *, chain: int | None = None, crowd: int = CROW
     for parts in range(chain + 1, PARTS):
         longer = F.create_map(*[c for i in range(PARTS) for c in (F.lit(i), F.lit(mask(i, parts)))])
         fits = fits & (F.bit_count(differ.bitwiseAND(longer[F.col("start")])) <= budget(parts))
-    links = own.join(other, fits & (F.bit_count(differ) <= TAU)).select(F.col("fp").alias("a"), "b").distinct()
-    # Crowded buckets: every fingerprint that is in one, or a variant of one that is, through midpoints.
-    dense = exact.join(sizes, ["start", "key"], "left_semi").select("fp").union(other.join(sizes, (F.col("at") == F.col("start")) & (F.col("of") == F.col("key")), "left_semi").select(F.col("b").alias("fp"))).distinct()
+    links = own.join(other.hint("merge"), fits & (F.bit_count(differ) <= TAU)).select(F.col("fp").alias("a"), "b").distinct()
+    # Crowded buckets: every fingerprint that is in one, or has a variant that is, through midpoints. Its own key is a variant of the crowded one then.
+    around = sizes.withColumn("flip", F.explode(masks[F.col("start")])).select("start", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
+    dense = exact.join(around.hint("merge"), ["start", "key"], "left_semi").select("fp").distinct()
     dense = materialize(dense, "dense")
     if dense.isEmpty():
         return links
     near = [0] + [_signed(1 << i | 1 << j) for i in range(64) for j in range(i, 64)]
     assert TAU // 2 == 2
     middle = dense.select("fp", F.explode(F.lit(near)).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
-    least = middle.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).filter("a < most").select(F.col("mid").alias("of"), "a")
-    met = middle.join(least, F.col("mid") == F.col("of")).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    met = middle.withColumn("a", F.min("fp").over(Window.partitionBy("mid"))).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     return links.unionByName(met)
 
 

@@ -130,3 +130,25 @@ def test_tables_that_grow_are_not_broadcast(spark):
     docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words that stand here "), F.col("id")).alias("text"))
     plan = simhash_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def _plans(monkeypatch, module):
+    """The plans of all that the module writes, as far as Spark lays them out before they run."""
+    plans, write = [], module.materialize
+
+    def noted(df, name, *rest, **named):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name, *rest, **named)
+
+    monkeypatch.setattr(module, "materialize", noted)
+    return plans
+
+
+@pytest.mark.parametrize("crowd", [64, 1])
+def test_links_broadcast_nothing(spark, monkeypatch, crowd):
+    """Tables that explode() makes 14 to 2,081 times as long are small in Spark's eyes."""
+    plans = _plans(monkeypatch, simhash)
+    links = simhash.near_links(spark.range(200).select(F.col("id").alias("fp")), chain=2, crowd=crowd)
+    plans.append(("links", links._jdf.queryExecution().executedPlan().toString()))
+    assert [n for n, _ in plans] == ["crowds", "dense", "links"]
+    assert not [n for n, p in plans if "Broadcast" in p]
