@@ -221,6 +221,38 @@ def tiled_join(x: DataFrame, y: DataFrame, keys: list[str], condition: Column, s
     return xt.alias("x").join(yt.alias("y"), on)
 
 
+#: Ids in an array of group_pairs: the pairs of two arrays are in a task's memory at a time.
+PIECE = 200
+
+
+def group_pairs(rows: DataFrame, keys: list[str], alike: list[str], made: dict[str, Column], side: int = SIDE) -> DataFrame:
+    """Groups of rows (id, keys and the columns alike) joined on keys, aliases "x" and "y": keys, alike, what is made of these, and ids, a sorted array.
+    Rows i < j that share the keys are in one pair of groups, i in x's and j in y's; a pair may hold others, with i >= j (expanded leaves them out).
+
+    What two rows' columns alike decide is decided once for all such rows. Blocks are dealt over tiles as in tiled_join; groups are
+    made within a tile's side and cut into arrays of PIECE ids, however many rows are alike. Pairs outnumber the rows, so that the
+    shuffle's size says nothing about the work: its partitions aren't put together.
+    """
+    n = rows.groupBy(*keys).agg(F.count("*").alias("n_")).filter(F.col("n_") > side).select(*keys, F.ceil(F.col("n_") / side).cast("int").alias("m_"))
+    m = F.coalesce(F.col("m_"), F.lit(1))
+    own = rows.filter("id is not null").join(n, keys, "left").groupBy(*keys, *alike, m.alias("m_"), F.pmod(F.xxhash64("id"), m).cast("int").alias("t_")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    own = own.withColumn("ids", F.explode(F.transform(F.sequence(F.lit(1), F.size("ids"), F.lit(PIECE)), lambda k: F.slice("ids", k, PIECE)))).withColumns(made)
+    other, parts = F.explode(F.sequence(F.lit(0), F.col("m_") - 1)), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = own.withColumns({"tx_": F.col("t_"), "ty_": other}).drop("t_", "m_").repartition(parts, *keys, "tx_", "ty_")
+    y = own.withColumns({"ty_": F.col("t_"), "tx_": other}).drop("t_", "m_").repartition(parts, *keys, "tx_", "ty_")
+    on = F.element_at("x.ids", 1) < F.element_at("y.ids", -1)
+    for k in (*keys, "tx_", "ty_"):
+        on = on & (F.col(f"x.{k}") == F.col(f"y.{k}"))
+    return x.alias("x").join(y.alias("y").hint("merge"), on)
+
+
+def expanded(groups: DataFrame) -> DataFrame:
+    """Pairs i < j of the ids in the arrays i and j, with the other columns."""
+    rest = [c for c in groups.columns if c not in ("i", "j")]
+    one = groups.select(F.explode("i").alias("i"), "j", *rest)
+    return one.select("i", F.explode("j").alias("j"), *rest).filter("i < j")
+
+
 def candidate_pairs(nodes: DataFrame, side: int = SIDE) -> DataFrame:
     """Pairs (i < j by id) of nodes (id, fp) that aren't surely different: the same category, brand and no clash of family, RAM or storage, or a
     common GTIN or part number. Columns i, j, l, r, and the sides' facts lf_ and rf_.
