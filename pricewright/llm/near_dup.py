@@ -147,15 +147,15 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """nid and comp, the smallest nid that edges (a, b) lead to; for nodes with edges."""
+    """nid and comp, the smallest nid that edges (a, b) lead to; for nodes with edges. Nothing is broadcast, since all of it grows with the edges."""
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     before = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.join(low.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        small = large.join(low.hint("merge"), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         e = materialize(small, "components")
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30)))).first()
         if now == before:

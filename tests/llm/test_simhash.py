@@ -152,3 +152,12 @@ def test_links_broadcast_nothing(spark, monkeypatch, crowd):
     plans.append(("links", links._jdf.queryExecution().executedPlan().toString()))
     assert [n for n, _ in plans] == ["crowds", "dense", "links"]
     assert not [n for n, p in plans if "Broadcast" in p]
+
+
+def test_components_broadcast_nothing(spark, monkeypatch):
+    from pricewright.llm import near_dup
+
+    plans = _plans(monkeypatch, near_dup)
+    edges = spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert near_dup.connected(edges).select("comp").distinct().count() == 1
+    assert plans and not [n for n, p in plans if "Broadcast" in p]
